@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import bpe_codec
+from corpusmill.llm import ans_store, bpe_codec
 from corpusmill.llm.common import parallel
 
 
@@ -21,6 +21,11 @@ def op1_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.encode_documents(_documents(spark, sf_dir), path, public_tokenizers.PATTERN, keep_ids=False)
 
 
+def op3_ans_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return ans_store.store_and_read(_documents(spark, sf_dir), path, vocab_size=50257)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
