@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import ans_store, bpe_codec
+from corpusmill.llm import ans_store, bpe_codec, fst_tokens
 from corpusmill.llm.common import parallel
 
 
@@ -26,6 +26,10 @@ def op3_ans_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ans_store.store_and_read(_documents(spark, sf_dir), path, vocab_size=50257)
 
 
+def op5_fst_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fst_tokens.count_tokens(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
