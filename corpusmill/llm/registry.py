@@ -8,8 +8,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import ans_store, bpe_codec, fst_tokens
-from corpusmill.llm.common import parallel
+from corpusmill.llm import ans_store, bpe_codec, chat_trees, fst_tokens
+from corpusmill.llm.common import materialize, parallel
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +21,15 @@ def op1_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.encode_documents(_documents(spark, sf_dir), path, public_tokenizers.PATTERN, keep_ids=False)
 
 
+def op2_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = parallel(spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text"))
+    said = "</s>[INST] ok [/INST]"
+    probe = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    messages = materialize(chat_trees.from_turns(turns.unionByName(probe)), "messages")
+    written = materialize(chat_trees.format_paths(messages, chat_trees.paths(messages)), "conversations")
+    return chat_trees.digests(chat_trees.parse(written))
+
+
 def op3_ans_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return ans_store.store_and_read(_documents(spark, sf_dir), path, vocab_size=50257)
@@ -35,4 +44,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_chat_trees": chat_trees.ORACLE,
+    }
