@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import ans_store, bpe_codec, chat_trees, fst_tokens
+from corpusmill.llm import ans_store, bpe_codec, chat_trees, fst_tokens, line_rules, url_rules
 from corpusmill.llm.common import materialize, parallel
 
 
@@ -39,6 +39,16 @@ def op5_fst_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fst_tokens.count_tokens(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
 
 
+def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = line_rules.judge(_documents(spark, sf_dir))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = parallel(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url"))
+    return url_rules.apply_rules(pages, spark.createDataFrame(url_rules.RULES, "host string, path string, verdict string"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
@@ -46,4 +56,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_chat_trees": chat_trees.ORACLE,
+        "op7_line_rules": line_rules.ORACLE,
+        "op10_url_rules": url_rules.ORACLE,
     }
