@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import ans_store, bpe_codec, chat_trees, fst_tokens, line_rules, url_rules
+from corpusmill.llm import ans_store, bpe_codec, chat_trees, fst_tokens, line_rules, rank_language, url_rules
 from corpusmill.llm.common import materialize, parallel
 
 
@@ -44,6 +44,11 @@ def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op9_rank_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return rank_language.predict(docs, rank_language.learn(docs))
+
+
 def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = parallel(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url"))
     return url_rules.apply_rules(pages, spark.createDataFrame(url_rules.RULES, "host string, path string, verdict string"))
