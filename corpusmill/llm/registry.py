@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import ans_store, bpe_codec, chat_trees, fst_tokens, line_rules, rank_language, url_rules
+from corpusmill.llm import ans_store, bpe_codec, chat_trees, fst_tokens, line_rules, pigeonhole_join, rank_language, url_rules
 from corpusmill.llm.common import materialize, parallel
 
 
@@ -39,6 +39,10 @@ def op5_fst_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fst_tokens.count_tokens(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
 
 
+def op6_pigeonhole_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pigeonhole_join.link(_documents(spark, sf_dir))
+
+
 def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = line_rules.judge(_documents(spark, sf_dir))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
