@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corpusmill.llm import ans_store, bpe_codec, chat_trees, fst_tokens, line_rules, pigeonhole_join, rank_language, url_rules
+from corpusmill.llm import ans_store, backoff_lm, bpe_codec, chat_trees, fst_tokens, line_rules, pigeonhole_join, rank_language, url_rules
 from corpusmill.llm.common import materialize, parallel
 
 
@@ -48,6 +49,10 @@ def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff_lm.score(_documents(spark, sf_dir)).withColumn("score", F.round("score", 6))
+
+
 def op9_rank_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     return rank_language.predict(docs, rank_language.learn(docs))
@@ -66,5 +71,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_chat_trees": chat_trees.ORACLE,
         "op7_line_rules": line_rules.ORACLE,
+        "op8_backoff_lm": backoff_lm.ORACLE,
         "op10_url_rules": url_rules.ORACLE,
     }
