@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import ans_store, backoff_lm, bpe_codec, chat_trees, fst_tokens, line_rules, pigeonhole_join, rank_language, url_rules
+from corpusmill.llm import ans_store, backoff_lm, bpe_codec, chat_trees, fst_tokens, latent_leaks, line_rules, pigeonhole_join, rank_language, url_rules
 from corpusmill.llm.common import materialize, parallel
 
 
@@ -36,6 +36,10 @@ def op3_ans_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ans_store.store_and_read(_documents(spark, sf_dir), path, vocab_size=50257)
 
 
+def op4_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latent_leaks.leaks(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op5_fst_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fst_tokens.count_tokens(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
 
