@@ -10,7 +10,7 @@ sort the windows themselves, which settles it exactly.
 
 Defined results: null text is no text: all counts 0, base_failed; lines without a word are
 neither removed nor counted; repeated rows give repeated results; an empty table gives an
-empty table; other columns are ignored (``clean`` keeps them).
+empty table; other columns are ignored unless named.
 """
 
 from __future__ import annotations
@@ -70,11 +70,13 @@ def line_fails(line: Column) -> Column:
     return fails
 
 
-def judge(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text) with n_words, word_chars, n_symbols, n_dup_lines,
+def judge(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """``docs`` (doc_id, text; other columns only as ``keep`` names them) with n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, kept and the cleaned text."""
-    d = pick(docs, "doc_id", "text").select("doc_id", F.coalesce("text", F.lit("")).alias("t"))
-    d = d.select("doc_id", "t", F.filter(F.split("t", WORD_BREAK), lambda w: w != "").alias("words"), F.split("t", "\n").alias("lines"))
+    own = pick(docs, "doc_id", "text", *(keep or []))
+    # Whatever the other columns are called, they travel in one of their own.
+    d = own.select("doc_id", F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in keep or []]).alias("rest"), F.coalesce("text", F.lit("")).alias("t"))
+    d = d.select("doc_id", "rest", "t", F.filter(F.split("t", WORD_BREAK), lambda w: w != "").alias("words"), F.split("t", "\n").alias("lines"))
     d = d.select("*", F.size("words").alias("n"), F.transform("lines", lambda x: F.struct(x.alias("line"), x.rlike(HAS_WORD).alias("worded"))).alias("marked"))
     at = lambda i, k: F.get("words", i + k)
     starts = F.when(F.col("n") >= WINDOW, F.sequence(F.lit(0), F.col("n") - WINDOW)).otherwise(F.expr("cast(array() as array<int>)"))
@@ -82,7 +84,7 @@ def judge(docs: DataFrame) -> DataFrame:
     d = d.withColumn("judged", F.transform("marked", lambda m: F.struct(m["line"].alias("line"), m["worded"].alias("worded"), (m["worded"] & line_fails(m["line"])).alias("fails"))))
     worded = F.transform(F.filter("judged", lambda m: m["worded"]), lambda m: m["line"])
     removed = F.transform(F.filter("judged", lambda m: m["fails"]), lambda m: m["line"])
-    d = d.select("doc_id", "t", "words", "n", "hashes", worded.alias("worded"), removed.alias("removed"), F.array_join(F.transform(F.filter("judged", lambda m: ~m["fails"]), lambda m: m["line"]), "\n").alias("clean"))
+    d = d.select("doc_id", "rest", "t", "words", "n", "hashes", worded.alias("worded"), removed.alias("removed"), F.array_join(F.transform(F.filter("judged", lambda m: ~m["fails"]), lambda m: m["line"]), "\n").alias("clean"))
     d = d.withColumn("repeats", F.size(F.array_distinct("hashes")) < F.size("hashes"))
     window = F.transform(F.sequence(F.lit(0), F.col("n") - WINDOW), lambda i: F.struct(F.concat_ws(" ", F.slice("words", i + 1, WINDOW)).alias("w"), i.alias("i")))
     d = d.withColumn("windows", F.when(F.col("repeats"), F.sort_array(window)))
@@ -100,9 +102,13 @@ def judge(docs: DataFrame) -> DataFrame:
         F.length(F.array_join("removed", "")).cast("long").alias("lost_chars"),
         F.length(F.array_join("worded", "")).cast("long").alias("line_chars"),
         "clean",
+        *[F.col("rest")[c].alias(c) for c in keep or []],
     )
     d = d.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
-    return d.withColumn("kept", ~F.col("base_failed") & (100 * F.col("lost_chars") <= MAX_LOST_PERCENT * F.col("line_chars")))
+    d = d.withColumn("kept", ~F.col("base_failed") & (100 * F.col("lost_chars") <= MAX_LOST_PERCENT * F.col("line_chars")))
+    # As a generated row, so that a filter on the verdict is not pushed into, and does not
+    # multiply, the expressions below.
+    return d.select(F.inline(F.array(F.struct(*d.columns))))
 
 
 def _sql_line_fails(x: str) -> str:
