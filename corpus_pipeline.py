@@ -1,12 +1,67 @@
-"""The corpus pipeline: STAGES, each written as Parquet and read again as the next one's input."""
+"""The corpus pipeline: each stage is written as Parquet and read again as the next one's input.
+
+Stages take (spark, docs, sf_dir) and return a DataFrame; all but the last return the columns
+of documents.  Rows that a stage rejects are gone for the ones behind it; line cleaning
+replaces a kept document's text, and n_chars with it.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from corpusmill.llm import bpe_codec, common, latent_leaks, line_rules, pigeonhole_join, rank_language
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents in which a language is found (operator 9); lang stays what it was."""
+    found = rank_language.predict(docs, rank_language.learn(docs)).filter(F.col("lang_pred") == rank_language.UNKNOWN).select("doc_id").distinct()
+    return _without(docs, found)
+
+
+def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents that pass, with the lines that pass (operator 7)."""
+    judged = line_rules.judge(docs, keep=[c for c in docs.columns if c not in ("doc_id", "text")])
+    kept = judged.filter("kept").withColumnRenamed("clean", "text").withColumn("n_chars", F.length("text").cast("long"))
+    return kept.select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group of linked ones (operator 6)."""
+    copies = pigeonhole_join.link(docs).filter("doc_id <> component_id").select("doc_id").distinct()
+    return _without(docs, copies)
+
+
+def remove_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents without an item of the benchmark (operator 4)."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return _without(docs, latent_leaks.leaks(docs, benchmark).select("doc_id").distinct())
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, digests and packed ids of what is left (operator 1)."""
+    return bpe_codec.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Documents whose doc_id is not among ``ids``, which are few beside them: up to
+    ``BROADCAST_IDS`` they are broadcast, beyond it the join is shuffled."""
+    ids = common.materialize(ids, "rejected")
+    if ids.count() <= pigeonhole_join.BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return docs.join(ids, "doc_id", "left_anti")
+
 
-from corpusmill.llm import common
+STAGES = [
+    ("language", identify_language),
+    ("quality", apply_quality_rules),
+    ("near_copies", drop_near_copies),
+    ("leaks", remove_benchmark_leaks),
+    ("encode", encode),
+]
 
-STAGES = []
+#: The sets of linked documents and the tokenizer have no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
