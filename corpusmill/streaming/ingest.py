@@ -22,7 +22,7 @@ def filtered(stream: DataFrame, text: str = "text", least: int = 500) -> DataFra
 
 def per_window(events: DataFrame, width: str, delay: str, at: str = "ts", by: str = "event_type") -> DataFrame:
     """Counts and sums by window and kind, closed by the watermark."""
-    return events.withWatermark(at, delay).groupBy(F.window(at, width).alias("w"), by).agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("w.start").alias("start"), by, "n", "total")
+    return events.withColumn(at, F.col(at).cast("timestamp")).withWatermark(at, delay).groupBy(F.window(at, width).alias("w"), by).agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("w.start").alias("start"), by, "n", "total")
 
 
 def run_available(stream: DataFrame, path: str, checkpoint: str) -> None:
