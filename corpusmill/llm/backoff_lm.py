@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,10 +39,28 @@ from corpusmill.llm.pigeonhole_join import _WordHashes, mix
 MIN_COUNT = 2
 BACKOFF = 0.4
 #: Words of a group of documents.
-GROUP_WORDS = 1 << 20
+GROUP_WORDS = 1 << 21
 _HASHES = _WordHashes()
 
 
+def _pack(x: np.ndarray) -> bytes:
+    """Numbers byte plane by byte plane, compressed; ordered ones by their steps."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes())
+
+
+def _unpack(packed: bytes, dtype: str) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(np.dtype(dtype).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(dtype).reshape(-1)
+
+
+def _pack_keys(k: np.ndarray) -> bytes:
+    return _pack(np.diff(k, prepend=np.uint64(0)))
+
+
+def _unpack_keys(packed: bytes) -> np.ndarray:
+    return np.cumsum(_unpack(packed, "<u8"), dtype=np.uint64)
+
+
 def _words(text: str | None) -> np.ndarray:
     if len(_HASHES) > 1 << 18:
         _HASHES.clear()
@@ -66,8 +85,12 @@ def gather(docs: DataFrame, group_words: int = GROUP_WORDS) -> DataFrame:
         number, ids, found, held = TaskContext.get().partitionId() << 32, [], [], 0
 
         def flush() -> pa.RecordBatch:
-            table, at = np.unique(np.concatenate(found), return_inverse=True)
-            row = [pa.array([number], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([[len(h) for h in found]], pa.list_(pa.int64())), pa.array([table.tobytes()], pa.binary()), pa.array([at.astype("<u4").tobytes()], pa.binary())]
+            table, at, n = np.unique(np.concatenate(found), return_inverse=True, return_counts=True)
+            order = np.argsort(-n, kind="stable")  # frequent words get small numbers
+            rank = np.empty(len(table), np.int64)
+            rank[order] = np.arange(len(table))
+            table, at = table[order], rank[at]
+            row = [pa.array([number], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([[len(h) for h in found]], pa.list_(pa.int64())), pa.array([_pack(table)], pa.binary()), pa.array([_pack(at.astype("<u4"))], pa.binary())]
             return pa.RecordBatch.from_arrays(row, ["group", "doc_ids", "sizes", "words", "places"])
 
         for batch in batches:
@@ -85,9 +108,13 @@ def gather(docs: DataFrame, group_words: int = GROUP_WORDS) -> DataFrame:
     return docs.select(docs.doc_id.cast("long"), docs.text).mapInArrow(run, "group long, doc_ids array<long>, sizes array<long>, words binary, places binary")
 
 
-def _unpack(words: bytes, places: bytes, sizes: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    table, at = np.frombuffer(words, np.uint64), np.frombuffer(places, "<u4")
-    return table, at, table[at], np.array(sizes, np.int64)
+def _group(words: bytes, places: bytes, sizes: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct words in order, each word's place among them, its hash, and documents' sizes."""
+    table, at = _unpack(words, "<u8"), _unpack(places, "<u4")
+    order = np.argsort(table)
+    place = np.empty(len(table), np.int64)
+    place[order] = np.arange(len(table))
+    return table[order], place[at], table[at], np.array(sizes, np.int64)
 
 
 def count_tables(groups: DataFrame, buckets: int) -> DataFrame:
@@ -98,24 +125,24 @@ def count_tables(groups: DataFrame, buckets: int) -> DataFrame:
         ends = np.array([(b << 32) // buckets for b in range(buckets)], np.uint64) << np.uint64(32)
         for batch in batches:
             for group, sizes, words, places in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                table, at, h, sizes = _unpack(words, places, sizes)
+                table, at, h, sizes = _group(words, places, sizes)
                 keys, inside = _bigrams(h, sizes)
                 for kind, (k, n) in ((1, (table, np.bincount(at, minlength=len(table)))), (2, np.unique(keys[inside], return_counts=True))):
                     cut = np.append(np.searchsorted(k, ends), len(k))
                     some = [b for b in range(buckets) if cut[b] < cut[b + 1]]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(some, pa.int32()), pa.array([group] * len(some), pa.int64()), pa.array([kind] * len(some), pa.int32()), pa.array([k[cut[b] : cut[b + 1]].tobytes() for b in some], pa.binary()), pa.array([n[cut[b] : cut[b + 1]].astype("<u4").tobytes() for b in some], pa.binary())],
+                        [pa.array(some, pa.int32()), pa.array([group] * len(some), pa.int64()), pa.array([kind] * len(some), pa.int32()), pa.array([_pack_keys(k[cut[b] : cut[b + 1]]) for b in some], pa.binary()), pa.array([_pack(n[cut[b] : cut[b + 1]].astype("<u4")) for b in some], pa.binary())],
                         ["bucket", "group", "kind", "k", "n"],
                     )
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(of: tuple[int, int], held: list) -> pa.RecordBatch:
-            k = np.concatenate([np.frombuffer(x[1], np.uint64) for x in held])
-            n = np.concatenate([np.frombuffer(x[2], "<u4") for x in held])
+            parts = [_unpack_keys(x[1]) for x in held]
+            k, n = np.concatenate(parts), np.concatenate([_unpack(x[2], "<u4") for x in held])
             _, at = np.unique(k, return_inverse=True)
             total = np.bincount(at, weights=n).astype("<u8")[at]
-            ends = np.cumsum([len(x[1]) // 8 for x in held])[:-1]
-            return pa.RecordBatch.from_arrays([pa.array([x[0] for x in held], pa.int64()), pa.array([of[1]] * len(held), pa.int32()), pa.array([of[0]] * len(held), pa.int32()), pa.array([x.tobytes() for x in np.split(total, ends)], pa.binary())], ["group", "kind", "bucket", "counts"])
+            ends = np.cumsum([len(x) for x in parts])[:-1]
+            return pa.RecordBatch.from_arrays([pa.array([x[0] for x in held], pa.int64()), pa.array([of[1]] * len(held), pa.int32()), pa.array([of[0]] * len(held), pa.int32()), pa.array([_pack(x) for x in np.split(total, ends)], pa.binary())], ["group", "kind", "bucket", "counts"])
 
         now, held = None, []
         for batch in batches:
@@ -143,9 +170,9 @@ def score(docs: DataFrame, *, min_count: int = MIN_COUNT, backoff: float = BACKO
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for ids, sizes, words, places, found in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-                _, at, h, sizes = _unpack(words, places, sizes)
+                _, at, h, sizes = _group(words, places, sizes)
                 keys, inside = _bigrams(h, sizes)
-                got = {kind: np.frombuffer(b"".join(x["counts"] for x in sorted((x for x in found or [] if x["kind"] == kind), key=lambda x: x["bucket"])), "<u8") for kind in (1, 2)}
+                got = {kind: np.concatenate([np.empty(0, "<u8"), *[_unpack(x["counts"], "<u8") for x in sorted((x for x in found or [] if x["kind"] == kind), key=lambda x: x["bucket"])]]) for kind in (1, 2)}
                 own = got[1][at].astype(np.float64) if len(at) else np.empty(0)
                 pair = np.zeros(len(h))
                 if inside.any():
