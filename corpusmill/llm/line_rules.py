@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm.common import pick
 
-BLANKS = " \t\n\x0b\f\r"
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 HAS_WORD = r"[^\x20\x09-\x0D]"
 SYMBOLS = "#*$%&|<>"
@@ -51,23 +50,31 @@ BOILERPLATE = [
     "click here",
     "sign up for our newsletter",
 ]
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def _count(line: Column, chars: str) -> Column:
-    return F.length(line) - F.length(F.translate(line, chars, ""))
+def _count(text: Column, chars: str) -> Column:
+    return F.length(text) - F.length(F.regexp_replace(text, "[" + chars.replace("&", r"\&") + "]", ""))
 
 
-def line_fails(line: Column) -> Column:
-    """Whether a line with a word fails a rule."""
-    low = F.translate(line, _UPPER, _LOWER)
-    fails = ~line.rlike(END_MARK)
-    fails |= _count(line, NAVIGATION) >= NAVIGATION_LEAST
-    fails |= 10 * _count(line, LINE_SYMBOLS) > F.length(line)
-    fails |= F.length(line) - F.length(F.replace(line, F.lit(SHOUT), F.lit(""))) >= SHOUT_LEAST * len(SHOUT)
+def suspects(text: Column) -> Column:
+    """What occurs in a text at all; only then are its lines held against those rules."""
+    low = F.lower(text)
+    phrases = F.lit(False)
     for phrase in BOILERPLATE:
-        fails |= F.contains(low, F.lit(phrase))
-    return fails
+        phrases |= F.contains(low, F.lit(phrase))
+    return F.struct(F.contains(text, F.lit(SHOUT)).alias("shout"), text.rlike(f"[{NAVIGATION}]").alias("navigation"), text.rlike("[" + LINE_SYMBOLS.replace("&", r"\&") + "]").alias("symbols"), phrases.alias("phrases"))
+
+
+def line_fails(line: Column, has: Column) -> Column:
+    """Whether a line with a word fails a rule; ``has``: the suspects of its text."""
+    phrases = F.lit(False)
+    for phrase in BOILERPLATE:
+        phrases |= F.contains(F.lower(line), F.lit(phrase))
+    fails = ~(F.endswith(line, F.lit(".")) | F.endswith(line, F.lit("!")) | line.rlike(END_MARK))
+    fails |= has["shout"] & (F.length(line) - F.length(F.replace(line, F.lit(SHOUT), F.lit(""))) >= SHOUT_LEAST * len(SHOUT))
+    fails |= has["navigation"] & (_count(line, NAVIGATION) >= NAVIGATION_LEAST)
+    fails |= has["symbols"] & (10 * _count(line, LINE_SYMBOLS) > F.length(line))
+    return fails | (has["phrases"] & phrases)
 
 
 def judge(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -77,11 +84,11 @@ def judge(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     # Whatever the other columns are called, they travel in one of their own.
     d = own.select("doc_id", F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in keep or []]).alias("rest"), F.coalesce("text", F.lit("")).alias("t"))
     d = d.select("doc_id", "rest", "t", F.filter(F.split("t", WORD_BREAK), lambda w: w != "").alias("words"), F.split("t", "\n").alias("lines"))
-    d = d.select("*", F.size("words").alias("n"), F.transform("lines", lambda x: F.struct(x.alias("line"), x.rlike(HAS_WORD).alias("worded"))).alias("marked"))
-    at = lambda i, k: F.get("words", i + k)
+    d = d.select("*", F.size("words").alias("n"), suspects(F.col("t")).alias("has"), F.transform("lines", lambda x: F.struct(x.alias("line"), x.rlike(HAS_WORD).alias("worded"))).alias("marked"))
+    d = d.withColumn("each", F.transform("words", lambda w: F.xxhash64(w)))
     starts = F.when(F.col("n") >= WINDOW, F.sequence(F.lit(0), F.col("n") - WINDOW)).otherwise(F.expr("cast(array() as array<int>)"))
-    d = d.withColumn("hashes", F.transform(starts, lambda i: F.xxhash64(*[at(i, k) for k in range(WINDOW)])))
-    d = d.withColumn("judged", F.transform("marked", lambda m: F.struct(m["line"].alias("line"), m["worded"].alias("worded"), (m["worded"] & line_fails(m["line"])).alias("fails"))))
+    d = d.withColumn("hashes", F.transform(starts, lambda i: F.xxhash64(*[F.get("each", i + k) for k in range(WINDOW)])))
+    d = d.withColumn("judged", F.transform("marked", lambda m: F.struct(m["line"].alias("line"), m["worded"].alias("worded"), (m["worded"] & line_fails(m["line"], F.col("has"))).alias("fails"))))
     worded = F.transform(F.filter("judged", lambda m: m["worded"]), lambda m: m["line"])
     removed = F.transform(F.filter("judged", lambda m: m["fails"]), lambda m: m["line"])
     d = d.select("doc_id", "rest", "t", "words", "n", "hashes", worded.alias("worded"), removed.alias("removed"), F.array_join(F.transform(F.filter("judged", lambda m: ~m["fails"]), lambda m: m["line"]), "\n").alias("clean"))
@@ -95,7 +102,7 @@ def judge(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     d = d.select(
         "doc_id",
         F.col("n").cast("long").alias("n_words"),
-        F.length(F.translate("t", BLANKS, "")).cast("long").alias("word_chars"),
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         _count(F.col("t"), SYMBOLS).cast("long").alias("n_symbols"),
         (F.size("worded") - F.size(F.array_distinct("worded"))).cast("long").alias("n_dup_lines"),
         "n_repeat_words",
@@ -113,7 +120,7 @@ def judge(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
 def _sql_line_fails(x: str) -> str:
     quote = lambda s: "'" + s.replace("'", "''") + "'"
-    low = f"translate({x}, '{_UPPER}', '{_LOWER}')"
+    low = f"lower({x})"
     rules = [f"NOT regexp_matches({x}, {quote(END_MARK)})", f"length({x}) - length(translate({x}, {quote(NAVIGATION)}, '')) >= {NAVIGATION_LEAST}"]
     rules += [f"10 * (length({x}) - length(translate({x}, {quote(LINE_SYMBOLS)}, ''))) > length({x})", f"length({x}) - length(replace({x}, '{SHOUT}', '')) >= {SHOUT_LEAST * len(SHOUT)}"]
     return " OR ".join(rules + [f"contains({low}, {quote(p)})" for p in BOILERPLATE])
