@@ -85,3 +85,12 @@ def budgets(mix: DataFrame, target: int) -> DataFrame:
     n = mix.withColumn("_n", F.expr("count(*) over ()"))  # a row per category
     w = n.withColumn("weight", F.coalesce("weight", 1.0 / F.col("_n"))).drop("_n")
     return w.withColumn("fraction", F.col("weight") / F.expr("sum(weight) over ()")).withColumn("budget", F.floor(F.col("fraction") * target).cast("long")).drop("weight")
+
+
+def param_count(hidden: Column, layers: Column, inner: Column, heads: Column, kv_heads: Column, head_dim: Column, vocab: Column, tied: Column) -> Column:
+    """Parameters of a gated decoder without biases: attention with normalised queries and
+    keys, three matrices per inner layer, two norms per layer and one at the end."""
+    width = heads * head_dim
+    attention = 2 * hidden * width + 2 * hidden * kv_heads * head_dim + 2 * head_dim
+    layer = attention + 3 * hidden * inner + 2 * hidden
+    return vocab * hidden * F.when(tied, 1).otherwise(2) + layers * layer + hidden

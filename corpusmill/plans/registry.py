@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as X
-from corpusmill.operators import dedup, filters, intervals, packing, rollouts
+from corpusmill.operators import dedup, filters, intervals, judging, packing, rollouts, tokens
 from corpusmill.plans import planner
 from corpusmill.sources import tables
 
@@ -448,3 +448,49 @@ def parsed_sizes(t, spark):
     unit = F.element_at(F.array(*[F.lit(u) for u in ("KB", "mib", "G", "")]), (F.col("p_partkey") % 4 + 1).cast("int"))
     p = t("part").select("p_partkey", F.concat(F.col("p_size"), F.lit(" "), unit).alias("s"))
     return p.select("p_partkey", X.parse_size(F.col("s")).alias("si"), X.parse_size(F.col("s"), 1024).alias("binary"))
+
+
+@query("""WITH p AS (SELECT p_partkey, 64 * (p_partkey % 16 + 1) AS h, CAST(p_size AS BIGINT) AS l FROM part)
+  SELECT p_partkey, 32000 * h * (CASE WHEN p_partkey % 2 = 0 THEN 1 ELSE 2 END) + l * (h * 512 * 2 + h * 256 * 2 + 128 + 3 * h * 3 * h + 2 * h) + h AS params FROM p""")
+def param_counts(t, spark):
+    h = 64 * (F.col("p_partkey") % 16 + 1)
+    n = planner.param_count(h, F.col("p_size").cast("long"), 3 * h, F.lit(8), F.lit(4), F.lit(64), F.lit(32000), F.col("p_partkey") % 2 == 0)
+    return t("part").select("p_partkey", n.alias("params"))
+
+
+# ---- token arrays --------------------------------------------------------------------------------
+
+
+@query(f"""WITH {_PAIR}, n AS (SELECT conv_id, length(prompt) AS p, length(answer) AS a FROM pair), f AS (SELECT conv_id, CASE WHEN p + a > 128 AND 128 - p < 32 THEN least(p, greatest(0, 128 - least(32, a))) ELSE p END AS np,
+  CASE WHEN p + a > 128 AND 128 - p < 32 THEN least(a, 32) WHEN p + a > 128 THEN 128 - p ELSE a END AS na FROM n)
+  SELECT conv_id, CAST(np AS BIGINT) AS prompt_ids, CAST(na AS BIGINT) AS answer_ids, CAST(np + na + 1 AS BIGINT) AS ids, CAST(np AS BIGINT) AS masked_from FROM f WHERE np + na >= 4""")
+def pair_truncation(t, spark):
+    """Lengths stand for ids; the rule is the one that packs pairs."""
+    ids = lambda c: F.sequence(F.lit(1), F.length(c))
+    p = tables.first_exchange(t("conversations")).select("conv_id", *tokens.fitted(ids("prompt"), ids("answer"), 128)).toDF("conv_id", "p", "a").filter(tokens.long_enough(F.col("p"), F.col("a")))
+    p = p.withColumn("r", tokens.record(F.col("p"), F.col("a"), 0))
+    return p.select("conv_id", F.size("p").cast("long").alias("prompt_ids"), F.size("a").cast("long").alias("answer_ids"), F.size("r.ids").cast("long").alias("ids"), tokens.prompt_length(F.col("r.mask")).cast("long").alias("masked_from"))
+
+
+@query("SELECT conv_id, turn, CAST(max(length(text)) OVER (PARTITION BY conv_id) - length(text) AS BIGINT) AS padding FROM conversations")
+def left_padding(t, spark):
+    c = t("conversations").select("conv_id", "turn", F.sequence(F.lit(1), F.length("text")).alias("ids"))
+    return tokens.left_padded(c, "conv_id", "ids", 0).select("conv_id", "turn", F.col("padding").cast("long").alias("padding"))
+
+
+@query("SELECT doc_id, true AS keep FROM documents")
+def judge_gate(t, spark):
+    """Without a judge everything is kept."""
+    return judging.judged(t("documents").select("doc_id", "text")).select("doc_id", "keep")
+
+
+@query("SELECT count(*) FILTER (length(text) >= 5000) AS out_of_range, count(DISTINCT length(text)) AS distinct_ids FROM documents")
+def stream_sanity(t, spark):
+    """Ids beyond the vocabulary, and distinct ids; lengths stand for ids."""
+    n = F.length("text")
+    return t("documents").agg(F.count(F.when(n >= 5000, 1)).alias("out_of_range"), F.countDistinct(n).alias("distinct_ids"))
+
+
+@query(r"SELECT doc_id, md5(regexp_replace(text, '[\x{00}-\x{08}\x{0B}\x{0C}\x{0E}-\x{1F}\x{7F}\x{FFFD}\x{FEFF}\x{200B}-\x{200D}\x{202A}-\x{202E}\x{2066}-\x{2069}]', '', 'g')) AS hash FROM documents")
+def cleaned_text(t, spark):
+    return t("documents").select("doc_id", F.md5(X.strip_bad(F.col("text"))).alias("hash"))

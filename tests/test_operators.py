@@ -142,3 +142,24 @@ def test_records_from_any_table(spark):
 def test_presets_are_nearest_in_proportion(spark):
     p = spark.createDataFrame([(1_600_000_000,), (20_000_000_000,)], "n long")
     assert [r.preset for r in planner.nearest_preset(p, "n").collect()] == ["1.7B", "32B"]
+
+
+def test_judges_that_fail_keep_rows(spark):
+    from corpusmill.operators import judging
+
+    df = spark.createDataFrame([(i, "good" if i % 2 else "bad") for i in range(20)], "id long, text string")
+    got = {r.id: r.keep for r in judging.judged(df, lambda texts: [t == "good" for t in texts]).collect()}
+    assert got == {i: bool(i % 2) for i in range(20)}
+    assert all(r.keep for r in judging.judged(df, lambda texts: [1 / 0]).collect())
+
+
+def test_token_arrays_round_trip(spark):
+    import public_tokenizers
+
+    from corpusmill.operators import tokens
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    df = spark.createDataFrame([("prose here",), ("def f(x): return x",), ("<think>2+2</think>4",), (None,)], "text string")
+    got = tokens.decoded(tokens.encoded(df, "text", path, end_id=0), "ids", path).collect()
+    assert [r.decoded for r in got] == [(r.text or "") + "!" for r in got]
+    assert [len(r.ids) for r in tokens.encoded(df, "text", path, most=2).collect()] == [2, 2, 2, 0]
