@@ -21,8 +21,11 @@ its own; other columns are ignored.
 
 from __future__ import annotations
 
+import json
+import os
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,13 +35,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from corpusmill.llm.bpe_codec import to_chars
 from corpusmill.llm.common import PieceEncoder, groups, materialize, new_path, pick, strings
 
 MAGIC = b"RNS1"
-LANES = 64
-STEPS = 256  # rounds between checkpoints: 16,384 ids
+LANES = 256
+STEPS = 256  # rounds between checkpoints: 65,536 ids
 BLOCK_IDS = LANES * STEPS * 4
-SCALE_BITS = 20  # the table's frequencies sum to 2**20
+SCALE_BITS = 19  # the table's frequencies sum to 2**19
 LOW = np.uint64(1 << 31)  # states stay in [2**31, 2**63)
 _HEADER = struct.Struct("<4sIIII")
 
@@ -47,39 +51,56 @@ _HEADER = struct.Struct("<4sIIII")
 
 
 class LibraryEncoder:
-    """Ids of texts as the tokenizers library gives them without added special tokens."""
+    """Ids of texts as the tokenizers library gives them without added special tokens.
 
-    def __init__(self, path: str):
-        import os
+    Where the file has byte-level splitting and no normaliser, a single match goes straight
+    to the library's model, byte-mapped as its splitter would; all else takes the whole way.
+    """
 
+    def __init__(self, path: str, width: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.width = Tokenizer.from_file(path), width
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.pieces = PieceEncoder(self._run, self._run, lambda t: any(s in t for s in special))
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        before = spec["pre_tokenizer"] or {}
+        direct = spec["normalizer"] is None and before.get("type") == "ByteLevel" and before["use_regex"] and not before["add_prefix_space"]
+        self.pieces = PieceEncoder(self._matches if direct else self._texts, self._texts, lambda t: any(s in t for s in special))
+
+    def _matches(self, matches: list[str]) -> list[bytes]:
+        run, code = self.tokenizer.model.tokenize, "H" if self.width == "<u2" else "I"
+        return [array(code, [t.id for t in run(to_chars(m.encode()))]).tobytes() for m in matches]
 
-    def _run(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _texts(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, self.width).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         return self.pieces(texts)
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> LibraryEncoder:
-    return LibraryEncoder(path)
+def encoder(path: str, width: str) -> LibraryEncoder:
+    return LibraryEncoder(path, width)
+
+
+def width_of(vocab_size: int) -> str:
+    """Ids travel as 16-bit integers where the vocabulary allows it."""
+    return "<u2" if vocab_size <= 1 << 16 else "<u4"
 
 
-def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int = 0) -> DataFrame:
+def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, vocab_size: int) -> DataFrame:
     """doc_id, n_tokens (with the end id) and packed ids of every document."""
-    end = np.array([end_id], "<u4").tobytes()
+    width = width_of(vocab_size)
+    end = np.array([end_id], width).tobytes()
+    each = len(end)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer_path)
+        enc = encoder(tokenizer_path, width)
         for batch in batches:
             at = 0
             for texts in groups(strings(batch.column(1))):
                 packed = [ids + end for ids in enc(texts)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), pa.array([len(p) // 4 for p in packed], pa.int64()), pa.array(packed, pa.binary())], ["doc_id", "n_tokens", "ids"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), pa.array([len(p) // each for p in packed], pa.int64()), pa.array(packed, pa.binary())], ["doc_id", "n_tokens", "ids"])
                 at += len(texts)
 
     docs = pick(docs, "doc_id", "text")
@@ -133,8 +154,8 @@ class Coder:
             np.greater_equal(state, most[t], out=full[t])
             words[t] = state.astype(np.uint32)
             state = np.where(full[t], state >> half, state)
-            q, r = np.divmod(state, freq[t])
-            state = (q << scale) + r + start[t]
+            q = state // freq[t]
+            state = (q << scale) + (state - q * freq[t]) + start[t]
             if t % STEPS == 0:
                 states[t // STEPS] = state
         places = np.concatenate([[0], np.cumsum(full.sum(axis=1))]).astype(np.uint32)
@@ -191,14 +212,13 @@ def write(tokens: DataFrame, path: str, vocab_size: int, n_buckets: int, block_i
     What reaches the driver: at most one count per vocabulary entry, and one boundary and
     one sum per bucket.
     """
-    spark = tokens.sparkSession
+    spark, width = tokens.sparkSession, width_of(vocab_size)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(vocab_size, np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                part = np.bincount(np.frombuffer(ids.as_buffer(), "<u4"), minlength=vocab_size)
-                seen += part
+            for i in range(0, batch.num_rows, 1024):
+                seen += np.bincount(np.frombuffer(b"".join(batch.column(0).slice(i, 1024).to_pylist()), width), minlength=vocab_size)
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(seen[at])], ["id", "n"])
 
@@ -244,7 +264,7 @@ def write(tokens: DataFrame, path: str, vocab_size: int, n_buckets: int, block_i
                     if size:
                         yield flush()
                     now, number, start, docs, parts, size = b, 0, starts[b], [], [], 0
-                ids, begin = np.frombuffer(packed.as_buffer(), "<u4"), start + size
+                ids, begin = np.frombuffer(packed.as_buffer(), width), start + size
                 while len(ids):
                     if not size:
                         first = begin
@@ -327,7 +347,7 @@ def store_and_read(docs: DataFrame, tokenizer_path: str, *, end_id: int = 0, voc
     """Encode, write, read back."""
     spark = docs.sparkSession
     n_buckets = n_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tokens = materialize(tokenize(docs, tokenizer_path, end_id), "tokens")
+    tokens = materialize(tokenize(docs, tokenizer_path, end_id, vocab_size), "tokens")
     path = new_path(spark, "blocks")
     write(tokens, path, vocab_size, n_buckets)
     return read(spark, path)

@@ -50,6 +50,8 @@ def read_ranks(path: str) -> list[bytes]:
 
 
 def to_chars(data: bytes) -> str:
+    if data[:1] == b" " and data[1:].isalnum():  # ASCII letters and digits stand for themselves
+        return "\u0120" + data[1:].decode()
     return data.decode("latin-1").translate(_TO_CHARS)
 
 
@@ -101,7 +103,7 @@ class Codec:
     def _matches(self, matches: list[str]) -> list[bytes]:
         if not matches:
             return []
-        ids = self.model.encode(["\u0120" + m[1:] if m[0] == " " and m.isascii() and m[1:].isalpha() else to_chars(m.encode()) for m in matches], num_threads=1)
+        ids = self.model.encode([to_chars(m.encode()) for m in matches], num_threads=1)
         if self.direct:
             ids = [self.direct.get(m.encode(), x) for m, x in zip(matches, ids, strict=True)]
         return [array("I", x).tobytes() for x in ids]

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 #: Characters of text that are tokenised at a time; bounds the worker's lists.
 GROUP_CHARS = 1 << 20
 #: Distinct pieces that a worker remembers before it starts afresh.
-CACHE_PIECES = 1 << 18
+CACHE_PIECES = 1 << 19
 
 _BEFORE_SPACE = re.compile(r"\s ")
 
@@ -97,14 +97,15 @@ class PieceEncoder:
         self.matches, self.texts, self.whole = matches, texts, whole
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.marks = dict(zip(sorted(self.MARKS), matches(sorted(self.MARKS)), strict=True))
+        alone = [*sorted(self.MARKS), "\n"]
+        self.marks = dict(zip(alone, matches(alone), strict=True))
 
     def _learn(self, wanted: set[str]) -> dict[str, bytes]:
         """The memory, now with all wanted pieces; what wasn't met for long is forgotten."""
         if len(self.young) > CACHE_PIECES:
             self.young, self.old = {}, self.young
         young, old = self.young, self.old
-        words, marked, rest = [], [], []
+        words, marked, rest, broken = [], [], [], []
         for p in wanted.difference(young):
             if (ids := old.get(p)) is not None:
                 young[p] = ids
@@ -113,16 +114,29 @@ class PieceEncoder:
             elif p[-1:] in self.MARKS and p[:-1].isalpha():
                 marked.append(p)
             else:
-                rest.append(p)
-        if marked:
-            words.extend({p[:-1] for p in marked}.difference(young, words))
-        young.update(zip(words, self.matches([" " + p for p in words]), strict=True))
+                left, line, right = p.partition("\n")
+                (broken if line and self._simple(left) and self._simple(right) else rest).append(p)
+        more = {p[:-1] for p in marked}
+        for p in broken:  # a line break between non-blanks is a match of its own, and right has no space before it
+            left, _, right = p.partition("\n")
+            more.add(left if left.isalpha() else left[:-1])
+            more.add("\n" + (right if right.isalpha() else right[:-1]))
+        words.extend(more.difference(young, words))
+        young.update(zip(words, self.matches([p[1:] if p[0] == "\n" else " " + p for p in words]), strict=True))
         for p in marked:
             young[p] = young[p[:-1]] + self.marks[p[-1]]
+        for p in broken:
+            left, _, right = p.partition("\n")
+            first = young[left] if left.isalpha() else young[left[:-1]] + self.marks[left[-1]]
+            second = young["\n" + right] if right.isalpha() else young["\n" + right[:-1]] + self.marks[right[-1]]
+            young[p] = first + self.marks["\n"] + second
         if rest:
             young.update(zip(rest, self.texts([" " + p for p in rest]), strict=True))
         return young
 
+    def _simple(self, p: str) -> bool:
+        return p.isalpha() or (p[-1:] in self.MARKS and p[:-1].isalpha())
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         split = [None if _BEFORE_SPACE.search(t) or (self.whole and self.whole(t)) else t.split(" ") for t in texts]
         heads = self.texts([t if pieces is None else pieces.pop(0) for t, pieces in zip(texts, split, strict=True)])
