@@ -14,8 +14,9 @@ others have.
 
 1. Keys and nodes are dealt into buckets of keys, packed; a bucket yields the keys that
    several nodes share.
-2. Each node is held against the one hub (smallest node of a key) it shares most keys with;
-   linked ones form first components, so that near copies never expand into all pairs.
+2. In some rounds, each by a part of the keys, nodes are held against one hub: the node of
+   a key that shares most with others.  Linked ones form components, so that near copies
+   never expand into all pairs.
 3. Pairs of different components that meet in a key the larger one probes, and that a bound
    on the difference (distance of small histograms) doesn't exclude, are verified exactly.
 
@@ -36,7 +37,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.llm.common import groups, materialize, pick, strings
@@ -49,6 +50,10 @@ SLACK = 0.15
 HISTOGRAM = 64
 #: Candidate ids up to this many are broadcast (16 MB); beyond it the join is shuffled.
 BROADCAST_IDS = 1_000_000
+#: Pairs that are verified together against one hub.
+GROUP = 512
+#: Rounds that hold nodes against one hub each, by a part of the keys, before all pairs left are.
+ROUNDS = 2
 _MASK = (1 << 64) - 1
 
 
@@ -70,20 +75,34 @@ class _WordHashes(dict):
 _HASHES = _WordHashes()
 
 
-def shingles(text: str | None, n: int = WORDS) -> np.ndarray:
-    """Sorted distinct hashes of the n-word shingles; bytes lower-case only A-Z and split at
-    exactly the six blanks."""
-    words = (text or "").encode().lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
+def shingles(texts: list[str | None], n: int = WORDS) -> list[np.ndarray]:
+    """Each text's sorted distinct hashes of n-word shingles; bytes lower-case only A-Z and
+    split at exactly the six blanks."""
     if len(_HASHES) > 1 << 18:
         _HASHES.clear()
-    h = np.array([_HASHES[w] for w in words], np.uint64)
-    k = min(n, len(h))
-    out = np.full(len(h) - k + 1, k, np.uint64)
-    for i in range(k):
-        out = mix(out ^ h[i : len(h) - k + 1 + i], i)
-    return np.unique(out)
+    words = [(t or "").encode().lower().split() for t in texts]
+    h = np.array([_HASHES[w] for ws in words for w in ws], np.uint64)
+    rolled = np.zeros(len(h), np.uint64)
+    factor = 1
+    for i in range(min(n, len(h))):  # a polynomial of the words' hashes, odd base
+        rolled[: len(h) - i] += h[i:] * np.uint64(factor)
+        factor = factor * 0x9E3779B97F4A7C15 & _MASK
+    rolled = mix(rolled, n)
+    out, at = [], 0
+    for ws in words:
+        k = len(ws)
+        if k >= n:
+            one = np.sort(rolled[at : at + k - n + 1])
+            out.append(one[np.concatenate([[True], one[1:] != one[:-1]])])
+        elif k:  # the whole sequence as one
+            x = np.uint64(k)
+            for w in h[at : at + k]:
+                x = mix(np.array([x ^ w]), k)[0]
+            out.append(np.array([x], np.uint64))
+        else:
+            out.append(np.empty(0, np.uint64))
+        at += k
+    return out
 
 
 def most_different(r: int, s: int, percent: int = PERCENT) -> int:
@@ -92,6 +111,11 @@ def most_different(r: int, s: int, percent: int = PERCENT) -> int:
     return r + s - 2 * common if common <= min(r, s) else -1
 
 
+def _most_different(r: np.ndarray, s: np.ndarray, percent: int) -> np.ndarray:
+    common = -(-percent * (r + s) // (100 + percent))
+    return np.where(common <= np.minimum(r, s), r + s - 2 * common, -1)
+
+
 @lru_cache(maxsize=None)
 def bands(upto: int, percent: int = PERCENT) -> list[tuple[int, int, int, int, int]]:
     """(lowest size, highest size, m, d, slack) of each band, up to one that holds ``upto``."""
@@ -99,12 +123,14 @@ def bands(upto: int, percent: int = PERCENT) -> list[tuple[int, int, int, int, i
     while not out or out[-1][1] < upto:
         high = max(low, int(low * BAND))
         h = max(most_different(r, s, percent) for s in {high, max(low, high - 1)} for r in range(max(s, 100 * s // percent - 2), 100 * s // percent + 1))
-        slack = int(np.ceil(SLACK * (h + 1))) if h > 0 else 0
+        slack = max(2, int(np.ceil(SLACK * (h + 1)))) if h > 0 else 0
+        slack = min(slack, h + 1)
         out.append((low, high, h + 1, slack, slack))
         low = high + 1
     return out
 
 
+@lru_cache(maxsize=1 << 16)
 def schemes(n: int, percent: int = PERCENT) -> list[tuple[int, bool]]:
     """(band, whether only as a prober) that a set of n elements uses."""
     found = bands(1 << max(8, n.bit_length()), percent)
@@ -122,28 +148,41 @@ PROBE_ONLY, DROPPABLE, PROBES = 1, 2, 4
 _LEFT = 8  # from this bit on: probes that the node may still leave out
 
 
-def signatures(h: np.ndarray, band: int, scheme: tuple[int, int, int, int, int], probe_only: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of a set in a scheme, and their flags."""
+def ordered(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A set's elements by their place in the universe (32 bits), and what stands for each."""
+    place = mix(h, 11) >> np.uint64(32)
+    order = np.argsort(place)
+    return place[order], mix(h[order], 12)
+
+
+def signatures(place: np.ndarray, value: np.ndarray, band: int, scheme: tuple[int, int, int, int, int], probe_only: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of an ordered set in a scheme, and their flags; a segment is a stretch of places."""
     _, _, m, d, slack = scheme
-    seg = ((mix(h, 11) >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
-    value = mix(h, 12)
-    order = np.argsort(seg, kind="stable")
-    seg, value = seg[order].astype(np.int64), value[order]
+    seg = (place * np.uint64(m) >> np.uint64(32)).astype(np.int64)
     sums = np.zeros(m, np.uint64)
     first = np.flatnonzero(np.concatenate([[True], seg[1:] != seg[:-1]]))
     sums[seg[first]] = np.add.reduceat(value, first)
     place = mix(np.arange(m, dtype=np.uint64) + np.uint64(band << 32), 13)
     flags = np.full(m, PROBES, np.int64)
     flags[d:] |= DROPPABLE
-    empty = np.ones(m, bool)
-    empty[seg[first]] = False
-    drop = np.flatnonzero(empty & (np.arange(m) >= d))[:slack]
-    flags[drop] &= ~PROBES
+    count = np.bincount(seg, minlength=m)
     k = int(np.searchsorted(seg, d))  # elements of segments with deletions
     deleted = mix((sums[seg[:k]] - value[:k]) ^ place[seg[:k]], 14)
+    flags2 = np.full(k, PROBES, np.int64)
+    # What the node leaves out for certain, as most others have it: empty subsets, at one
+    # probe each, or two where deletions would have found a difference of one as well.
+    left = slack
+    drop = np.flatnonzero((count == 0) & (np.arange(m) >= d))[:left]
+    flags[drop] &= ~PROBES
+    left -= len(drop)
+    drop = np.flatnonzero(count[seg[:k]] == 1)[:left]
+    flags2[drop] = 0
+    left -= len(drop)
+    drop = np.flatnonzero(count[:d] == 0)[: left // 2]
+    flags[drop] &= ~PROBES
+    left -= 2 * len(drop)
     keys = np.concatenate([mix(sums ^ place, 14), deleted])
-    flags = np.concatenate([flags, np.full(k, PROBES, np.int64)]) | (PROBE_ONLY if probe_only else 0) | (slack - len(drop)) << _LEFT
-    return keys, flags
+    return keys, np.concatenate([flags, flags2]) | (PROBE_ONLY if probe_only else 0) | left << _LEFT
 
 
 def histogram(h: np.ndarray) -> np.ndarray:
@@ -151,20 +190,27 @@ def histogram(h: np.ndarray) -> np.ndarray:
 
 
 def node_of(h: np.ndarray, seed: int) -> int:
-    return int(mix(np.array([(int(mix(h, 16 + seed).sum(dtype=np.uint64)) ^ len(h)) & _MASK], np.uint64), 17)[0].astype(np.int64))
+    x = int(mix(h, 16 + seed).sum(dtype=np.uint64)) ^ len(h)
+    return x - (1 << 64) if x >> 63 else x
 
 
 def fingerprints(docs: DataFrame, n: int, seed: int) -> DataFrame:
-    """doc_id, n_shingles, node (null without shingles), guard."""
+    """doc_id, n_shingles, node (null without shingles), guard, hist."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(t, n) for t in strings(batch.column(1))]
-            node = [node_of(h, seed) if len(h) else None for h in sets]
-            guard = [int(mix(h, 30).sum(dtype=np.uint64).astype(np.int64)) for h in sets]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(h) for h in sets], pa.int64()), pa.array(node, pa.int64()), pa.array(guard, pa.int64())], ["doc_id", "n_shingles", "node", "guard"])
+            at = 0
+            for texts in groups(strings(batch.column(1))):
+                sets = shingles(texts, n)
+                node = [node_of(h, seed) if len(h) else None for h in sets]
+                guard = [node_of(h, 99) for h in sets]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(at, len(texts)), pa.array([len(h) for h in sets], pa.int64()), pa.array(node, pa.int64()), pa.array(guard, pa.int64()), pa.array([histogram(h).tobytes() for h in sets], pa.binary())],
+                    ["doc_id", "n_shingles", "node", "guard", "hist"],
+                )
+                at += len(texts)
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, node long, guard long")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, node long, guard long, hist binary")
 
 
 def shared_keys(docs: DataFrame, n: int, percent: int, seed: int, buckets: int) -> DataFrame:
@@ -175,13 +221,13 @@ def shared_keys(docs: DataFrame, n: int, percent: int, seed: int, buckets: int)
         for batch in batches:
             for texts in groups(strings(batch.column(1))):
                 keys, nodes, flags = [], [], []
-                for t in texts:
-                    h = shingles(t, n)
+                for h in shingles(texts, n):
                     if not len(h) or (node := node_of(h, seed)) in met:
                         continue
                     met.add(node)
+                    place, value = ordered(h)
                     for band, probe_only in schemes(len(h), percent):
-                        k, f = signatures(h, band, bands(1 << max(8, len(h).bit_length()), percent)[band], probe_only)
+                        k, f = signatures(place, value, band, bands(1 << max(8, len(h).bit_length()), percent)[band], probe_only)
                         keys.append(k)
                         flags.append(f)
                         nodes.append(np.full(len(k), node, np.int64))
@@ -234,53 +280,78 @@ def shared_keys(docs: DataFrame, n: int, percent: int, seed: int, buckets: int)
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, percent: int, seed: int) -> DataFrame:
-    """The linked ones of node pairs (a, b)."""
-    ids = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct().join(nodes.select("node", "rep"), "node").select("node", F.col("rep").alias("doc_id"))
-    ids = materialize(ids, "candidates")
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
+    """The linked ones of node pairs (a, b): each a's set meets b's in b's group, of which
+    there is one for every GROUP pairs, so that no hub's group grows with its pairs."""
+    many = pairs.groupBy("b").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("k"))
+    members = pairs.join(many, "b").select(F.col("a").alias("node"), F.col("b").alias("hub"), F.pmod(F.xxhash64("a"), F.col("k")).cast("int").alias("part"), F.lit(False).alias("own"))
+    hubs = many.select(F.col("b").alias("node"), F.col("b").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("part"), F.lit(True).alias("own"))
+    meets = members.unionByName(hubs).groupBy("node").agg(F.collect_list(F.struct("hub", "part", "own")).alias("meets"))
+    meets = materialize(meets.join(nodes.select("node", F.col("rep").alias("doc_id")), "node"), "meets")
+    if meets.count() <= BROADCAST_IDS:
+        meets = F.broadcast(meets)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingles(t, n) for t in strings(batch.column(1))]
-            own = [len(h) > 0 and node_of(h, seed) == node for h, node in zip(found, batch.column(0).to_pylist(), strict=True)]
-            found, batch = [h for h, o in zip(found, own, strict=True) if o], batch.filter(pa.array(own))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([h.tobytes() for h in found], pa.binary()), pa.array([histogram(h).tobytes() for h in found], pa.binary())], ["node", "h", "hist"])
+            at = 0
+            for texts in groups(strings(batch.column(1))):
+                rows = []
+                for h, node, meet in zip(shingles(texts, n), batch.column(0).slice(at, len(texts)).to_pylist(), batch.column(2).slice(at, len(texts)), strict=True):
+                    if len(h) and node_of(h, seed) == node:  # a doc_id may have rows of other sets too
+                        packed = h.tobytes()
+                        rows += [(m["hub"], m["part"], not m["own"], node, packed) for m in meet.as_py()]
+                at += len(texts)
+                columns = list(zip(*rows, strict=True)) or [[]] * 5
+                kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["hub", "part", "guest", "node", "h"])
 
-    # A doc_id may have rows of other sets too; those aren't the node.
-    have = materialize(docs.join(ids, "doc_id").select("node", "text").mapInArrow(sets, "node long, h binary, hist binary"), "sets")
-    small = have.select("node", "hist")
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, own = None, np.empty(0, np.uint64)
+        for batch in batches:
+            a, b = [], []
+            for hub, part, guest, node, h in zip(*(batch.column(i).to_pylist() for i in range(4)), batch.column(4), strict=True):
+                h = np.frombuffer(h.as_buffer(), np.uint64)
+                if not guest:
+                    now, own = (hub, part), h.copy()
+                elif now == (hub, part):
+                    common = len(np.intersect1d(own, h, assume_unique=True))
+                    if 100 * common >= percent * (len(own) + len(h) - common):
+                        a.append(node)
+                        b.append(hub)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = docs.join(meets, "doc_id").select("node", "text", "meets").mapInArrow(sets, "hub long, part int, guest boolean, node long, h binary")
+    return materialize(rows.repartition(parts, "hub", "part").sortWithinPartitions("hub", "part", "guest").mapInArrow(linked, "a long, b long"), "links")
+
+
+def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs that sizes and histograms do not exclude: the distance of two histograms is at
+    most the difference of the sets."""
 
-    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(c.to_pylist()), "<u2").reshape(-1, HISTOGRAM).astype(np.int64) for c in (batch.column(2), batch.column(3)))
-            most = np.array([most_different(r, s, percent) for r, s in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)])
+            x, y = (np.frombuffer(b"".join(c.to_pylist()), "<u2").reshape(-1, HISTOGRAM).astype(np.int32) for c in (batch.column(2), batch.column(3)))
+            most = _most_different(batch.column(4).to_numpy(), batch.column(5).to_numpy(), percent)
             keep = pa.array(np.abs(x - y).sum(axis=1) <= most)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
 
-    size = nodes.select("node", "n")
-    rows = pairs.join(small.select(F.col("node").alias("a"), F.col("hist").alias("x")), "a").join(small.select(F.col("node").alias("b"), F.col("hist").alias("y")), "b")
-    rows = rows.join(size.select(F.col("node").alias("a"), F.col("n").alias("na")), "a").join(size.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
-    maybe = materialize(rows.select("a", "b", "x", "y", "na", "nb").mapInArrow(possible, "a long, b long"), "maybe")
+    rows = pairs.join(nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("hist").alias("x")), "a").join(nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("hist").alias("y")), "b")
+    return materialize(rows.select("a", "b", "x", "y", "na", "nb").mapInArrow(run, "a long, b long"), "possible")
+
+
+def _rooted(shared: DataFrame, roots: DataFrame | None) -> DataFrame:
+    if roots is None:
+        return shared.withColumn("root", F.col("node"))
+    return shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
-    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(keep, pa.bool_())) for i in (0, 1)], ["a", "b"])
 
-    full = have.select("node", "h")
-    rows = maybe.join(full.select(F.col("node").alias("a"), F.col("h").alias("x")), "a").join(full.select(F.col("node").alias("b"), F.col("h").alias("y")), "b")
-    return materialize(rows.select("a", "b", "x", "y").mapInArrow(linked, "a long, b long"), "links")
+def _mixed(marked: DataFrame) -> DataFrame:
+    """Keys in which several components meet."""
+    return marked.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2").select("key")
 
 
 def _probing(shared: DataFrame) -> DataFrame:
     """Marks the probes each node leaves out: those of its keys that most others have."""
-    from pyspark.sql import Window
-
     droppable = F.col("flags").bitwiseAND(DROPPABLE + PROBES) == DROPPABLE + PROBES
     probe_only = F.col("flags").bitwiseAND(PROBE_ONLY)
     order = Window.partitionBy("node", probe_only, F.shiftright("flags", _LEFT), droppable).orderBy(F.desc("others"), "key")
@@ -297,31 +368,43 @@ def link(docs: DataFrame, *, n: int = WORDS, percent: int = PERCENT, buckets: in
     docs = docs.select(docs.doc_id.cast("long").alias("doc_id"), docs.text)
     for seed in range(8):
         prints = materialize(fingerprints(docs, n, seed), "prints")
-        by_node = prints.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.min("n_shingles").alias("n2"), F.min("guard").alias("g1"), F.max("guard").alias("g2"))
+        by_node = prints.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.min("n_shingles").alias("n2"), F.min("guard").alias("g1"), F.max("guard").alias("g2"), F.max("hist").alias("hist"))
         nodes = materialize(by_node, "nodes")
         if nodes.filter("n <> n2 or g1 <> g2").isEmpty():
             break
     shared = materialize(shared_keys(docs, n, percent, seed, buckets), "shared")
 
-    # Each node against the hub it shares most keys with.
-    stars = shared.filter("node <> hub").groupBy("node", "hub").agg(F.count("*").alias("c")).groupBy("node").agg(F.max_by("hub", F.struct("c", (-F.col("hub")).alias("h"))).alias("hub"))
-    stars = stars.select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    first = _verified(_by_size(stars, nodes, percent), nodes, docs, n, percent, seed)
-    roots = materialize(components(first), "roots")
+    links, roots = None, None
+    for k in range(ROUNDS):
+        marked = _rooted(shared.filter(F.pmod("key", F.lit(ROUNDS + 1)) == k).select("key", "node", "others"), roots)
+        marked = marked.join(_mixed(marked), "key")
+        weight = marked.groupBy("node").agg(F.sum("others").alias("w"))
+        marked = materialize(marked.join(weight, "node").select("key", "node", "root", "w"), "marked")
+        hubs = marked.groupBy("key").agg(F.max_by(F.struct("node", "root"), F.struct("w", "node")).alias("hub"))
+        stars = marked.join(hubs, "key").filter("root <> hub.root").groupBy("node", F.col("hub.node").alias("hub")).agg(F.count("*").alias("c"))
+        stars = stars.groupBy("node").agg(F.max_by("hub", F.struct("c", "hub")).alias("hub")).select(F.col("node").alias("a"), F.col("hub").alias("b"))
+        found = _verified(_possible(stars, nodes, percent), nodes, docs, n, percent, seed)
+        links = found if links is None else links.unionByName(found)
+        roots = materialize(components(links), "roots")
 
     # What meets in a key and is not yet together.
-    marked = _probing(shared).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = marked.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.max(F.col("probes").cast("int")).alias("p")).filter("r1 <> r2 and p = 1").select("key")
-    rows = marked.join(mixed, "key").join(nodes.select("node", "n"), "node").select("key", "node", "root", "n", "flags", "probes")
+    marked = _rooted(shared, roots)
+    rows = _probing(materialize(marked.join(_mixed(marked), "key"), "mixed"))
+    rows = rows.join(nodes.select("node", "n", "hist"), "node").select("key", "node", "root", "n", "flags", "probes", "hist")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pairs(held: list) -> Iterator[pa.RecordBatch]:
-            node, root, size, flags, probes = (np.array(x) for x in zip(*held, strict=True))
+            *columns, hist = zip(*held, strict=True)
+            node, root, size, flags, probes = map(np.array, columns)
+            hist = np.frombuffer(b"".join(hist), "<u2").reshape(-1, HISTOGRAM).astype(np.int32)
             index = (flags & PROBE_ONLY) == 0
             for i in np.flatnonzero(probes):  # the larger one probes; ties by node
                 less = index & ((size < size[i]) | ((size == size[i]) & (node < node[i]))) & (root != root[i]) & (100 * size >= percent * size[i])
-                if less.any():
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(less.sum(), node[i])), pa.array(node[less])], ["a", "b"])
+                at = np.flatnonzero(less)
+                if len(at):
+                    at = at[np.abs(hist[at] - hist[i]).sum(axis=1) <= _most_different(size[i], size[at], percent)]
+                if len(at):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), node[i])), pa.array(node[at])], ["a", "b"])
 
         now, held = None, []
         for batch in batches:
@@ -337,7 +420,7 @@ def link(docs: DataFrame, *, n: int = WORDS, percent: int = PERCENT, buckets: in
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     more = rows.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(meet, "a long, b long").distinct()
     second = _verified(materialize(more, "pairs"), nodes, docs, n, percent, seed)
-    together = components(first.unionByName(second))
+    together = components(links.unionByName(second))
 
     groups_ = nodes.select("node", "rep").join(together, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root"))
     least = groups_.groupBy("root").agg(F.min("rep").alias("component"))
@@ -346,8 +429,12 @@ def link(docs: DataFrame, *, n: int = WORDS, percent: int = PERCENT, buckets: in
     return prints.join(named, "node", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def _by_size(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose sizes allow a link."""
-    size = nodes.select("node", "n")
-    rows = pairs.join(size.select(F.col("node").alias("a"), F.col("n").alias("na")), "a").join(size.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
-    return materialize(rows.filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b"), "stars")
+ORACLE = """
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, x FROM (SELECT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')] ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i : i + 4], ' ')) END) AS x FROM w)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+r(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT a, min(b) AS component_id FROM r GROUP BY a) m ON m.a = d.doc_id
+"""

@@ -74,6 +74,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_chat_trees": chat_trees.ORACLE,
+        "op6_pigeonhole_join": pigeonhole_join.ORACLE,
         "op7_line_rules": line_rules.ORACLE,
         "op8_backoff_lm": backoff_lm.ORACLE,
         "op10_url_rules": url_rules.ORACLE,
