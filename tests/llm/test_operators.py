@@ -175,6 +175,30 @@ def test_leaks_are_found_and_clean_documents_left_alone(spark):
     assert latent_leaks.leaks(both, bench.limit(0)).count() == 0
 
 
+def test_a_long_item_hides_no_shorter_one(spark):
+    docs, bench = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text"), spark.read.parquet(f"{SF}/benchmark.parquet")
+    words = [w for r in docs.limit(50).collect() for w in r.text.split()]
+    rng = random.Random(5)
+    filler = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    items = {r.item_id: r.text for r in bench.collect() if len(r.text.split()) > 36} | {901: filler(1_000), 902: filler(130), 903: filler(300)}
+    planted = [(10_000 + i, f"{filler(400)} {t} {filler(400)}") for i, t in items.items()]
+    both = docs.unionByName(spark.createDataFrame(planted, "doc_id long, text string"))
+    more = bench.unionByName(spark.createDataFrame([(i, items[i]) for i in (901, 902, 903)], "item_id long, text string"))
+    got = {(r.doc_id, r.item_id) for r in latent_leaks.leaks(both, more).collect()}
+    assert not {(10_000 + i, i) for i in items} - got
+
+
+def test_texts_whose_candidates_all_fall(spark):
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet")
+    table = latent_leaks.fit(spark.read.parquet(f"{SF}/documents.parquet"))
+    rows = [(r.item_id, r.text) for r in bench.collect()]
+    wanted = latent_leaks.Items(rows, table)
+    for _, text in rows[:20]:
+        part = " ".join(text.split()[: len(text.split()) // 2])
+        assert [len(x) for x in wanted.search([part])] == [0] and wanted.search([part, text])[1]
+    assert wanted.search([]) == [] and wanted.search(["", "..."]) == [[], []]
+
+
 def test_common_length_is_the_subsequence():
     rng = random.Random(0)
     for _ in range(200):
