@@ -199,6 +199,15 @@ def test_texts_whose_candidates_all_fall(spark):
     assert wanted.search([]) == [] and wanted.search(["", "..."]) == [[], []]
 
 
+def test_the_basis_samples_rows_not_texts(spark, monkeypatch):
+    monkeypatch.setattr(latent_leaks, "FIT_PASSAGES", 200)
+    texts = [" ".join(f"w{k}x{i}" for i in range(latent_leaks.BLOCK)) for k in range(40)]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 50)], "doc_id long, text string")
+    basis = latent_leaks.fit(rows)
+    known = [np.abs(basis[latent_leaks.features_of(t.split())]).max() > 0 for t in texts]
+    assert sum(known) >= 39  # one in ten of 50 copies each; by text it would be one in ten of 40
+
+
 def test_common_length_is_the_subsequence():
     rng = random.Random(0)
     for _ in range(200):
