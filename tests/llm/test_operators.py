@@ -208,6 +208,21 @@ def test_the_basis_samples_rows_not_texts(spark, monkeypatch):
     assert sum(known) >= 39  # one in ten of 50 copies each; by text it would be one in ten of 40
 
 
+def test_short_items_are_found_in_other_text(spark):
+    docs, bench = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
+    rows = [(r.item_id, r.text) for r in bench.collect() if len(r.text.split()) < 20]
+    wanted, rng = latent_leaks.Items(rows, latent_leaks.fit(docs)), random.Random(2)
+    others = [r.text.split() for r in docs.collect() if len((r.text or "").split()) > 100]
+    for _ in range(30):
+        pasted = []
+        for _, t in rows:
+            w = rng.choice(others)
+            at = rng.randrange(40, 60)
+            pasted.append(" ".join([*w[:at], t, *w[at:]]))
+        found = wanted.search(pasted)
+        assert [i for (i, _), x in zip(rows, found, strict=True) if i not in {y[0] for y in x}] == []
+
+
 def test_common_length_is_the_subsequence():
     rng = random.Random(0)
     for _ in range(200):
