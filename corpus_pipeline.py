@@ -3,12 +3,17 @@
 Stages take (spark, docs, sf_dir) and return a DataFrame; all but the last return the columns
 of documents.  Rows that a stage rejects are gone for the ones behind it; line cleaning
 replaces a kept document's text, and n_chars with it.
+
+Verdicts belong to rows, told apart by a 64-bit hash of doc_id and text: rows without doc_id
+are judged like others, and texts under one doc_id each by itself.  Of linked rows one is
+left, that with the smallest doc_id, one without doc_id only if no other is linked to it; of
+rows with the same doc_id and text one is left behind that stage, the least by its columns.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.llm import bpe_codec, common, latent_leaks, line_rules, pigeonhole_join, rank_language
@@ -16,8 +21,8 @@ from corpusmill.llm import bpe_codec, common, latent_leaks, line_rules, pigeonho
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents in which a language is found (operator 9); lang stays what it was."""
-    found = rank_language.predict(docs, rank_language.learn(docs)).filter(F.col("lang_pred") == rank_language.UNKNOWN).select("doc_id").distinct()
-    return _without(docs, found)
+    found = rank_language.predict(_keyed(docs), rank_language.learn(docs)).filter(F.col("lang_pred") == rank_language.UNKNOWN)
+    return _without(docs, found.select("doc_id").distinct())
 
 
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,15 +33,23 @@ def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of linked ones (operator 6)."""
-    copies = pigeonhole_join.link(docs).filter("doc_id <> component_id").select("doc_id").distinct()
-    return _without(docs, copies)
+    """Keeps one row, with the smallest id, of each group of linked ones (operator 6)."""
+    linked = common.materialize(pigeonhole_join.link(_keyed(docs)).select(F.col("doc_id").alias("key"), "component_id").distinct(), "linked")
+    rows = common.materialize(docs.groupBy(_key(docs).alias("key")).agg(F.min("doc_id").alias("id"), F.count("*").alias("rows")), "rows")
+    least = linked.join(rows, "key").groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col("key"))).getField("key").alias("first"))
+    copies = linked.join(least.select(F.col("first").alias("key")), "key", "left_anti").select(F.col("key").alias("doc_id"))
+    kept = _without(docs, copies)
+    # Rows with the same doc_id and text: only they are shuffled.
+    repeated = common.materialize(rows.filter("rows > 1").select(F.col("key").alias("doc_id")), "repeated")
+    several = kept.withColumn("_key", _key(kept)).join(repeated.select(F.col("doc_id").alias("_key")), "_key", "left_semi")
+    one = several.groupBy("_key").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    return _without(kept, repeated).unionByName(one)
 
 
 def remove_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents without an item of the benchmark (operator 4)."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _without(docs, latent_leaks.leaks(docs, benchmark).select("doc_id").distinct())
+    return _without(docs, latent_leaks.leaks(_keyed(docs), benchmark, table=latent_leaks.fit(docs)).select("doc_id").distinct())
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,13 +57,22 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe_codec.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Documents whose doc_id is not among ``ids``, which are few beside them: up to
+def _key(docs: DataFrame) -> Column:
+    return F.xxhash64(docs.doc_id, docs.text)
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The rows with their key, which is never null, for a doc_id."""
+    return docs.withColumn("doc_id", _key(docs))
+
+
+def _without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows whose key is not among ``keys`` (doc_id), which are few beside them: up to
     ``BROADCAST_IDS`` they are broadcast, beyond it the join is shuffled."""
-    ids = common.materialize(ids, "rejected")
-    if ids.count() <= pigeonhole_join.BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    return docs.join(ids, "doc_id", "left_anti")
+    keys = common.materialize(keys.select(F.col("doc_id").alias("_key")), "rejected")
+    if keys.count() <= pigeonhole_join.BROADCAST_IDS:
+        keys = F.broadcast(keys)
+    return docs.withColumn("_key", _key(docs)).join(keys, "_key", "left_anti").select(*docs.columns)
 
 
 STAGES = [

@@ -19,3 +19,17 @@ def test_each_stage_keeps_what_it_should(spark):
     assert seen["language"][0] - seen["language"][1] == {9_000, 9_001, 9_002}
     assert seen["near_copies"][0] != seen["near_copies"][1]
     assert seen["encode"][0] == seen["encode"][1]
+
+
+def test_verdicts_belong_to_rows(spark):
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    a, b, c = (" ".join(f"{w}{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60)) for w in ("one", "two", "three"))
+    make = lambda rows: spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], schema).repartition(2)
+    left = lambda stage, rows: sorted(((r.doc_id, r.text) for r in stage(spark, make(rows), SF).collect()), key=repr)
+    found = left(corpus_pipeline.identify_language, [(None, None), (None, "12 !"), (None, a), (5, "12 !"), (5, b), (6, a), (6, a)])
+    assert found == sorted([(None, a), (5, b), (6, a), (6, a)], key=repr)
+    found = left(corpus_pipeline.drop_near_copies, [(None, a), (None, a), (7, a), (8, a), (9, b), (9, b), (9, c), (None, c), (None, "x y z"), (None, "x y z")])
+    assert found == sorted([(7, a), (9, b), (9, c), (None, "x y z")], key=repr)
+    found = left(corpus_pipeline.remove_benchmark_leaks, [(None, item), (None, a), (3, item), (3, b), (4, c), (4, c)])
+    assert found == sorted([(None, a), (3, b), (4, c), (4, c)], key=repr)
