@@ -20,7 +20,10 @@ from corpusmill.llm import bpe_codec, common, latent_leaks, line_rules, pigeonho
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents in which a language is found (operator 9); lang stays what it was."""
+    """Keeps documents in which a language is found (operator 9); lang stays what it was.
+
+    Only null texts and texts without a single letter have none; the score rejects nothing.
+    """
     found = rank_language.predict(_keyed(docs), rank_language.learn(docs)).filter(F.col("lang_pred") == rank_language.UNKNOWN)
     return _without(docs, found.select("doc_id").distinct())
 
