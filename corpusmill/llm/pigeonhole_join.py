@@ -9,24 +9,28 @@ Pigeonhole: two linked sets differ in at most H elements (the sizes and the thre
 A segment probed by its exact subset catches a pair that agrees there and counts one; one
 probed with deletions catches a difference of one and counts two.  If the counts exceed H,
 a linked pair meets in some segment.  m + d = H + 1 + slack, so each node may leave out
-``slack`` exact probes: by cost, first its empty segments, then those whose subset most
-others have.
-
-1. Keys and nodes are dealt into buckets of keys, packed; a bucket yields the keys that
-   several nodes share.
-2. In some rounds, each by a part of the keys, nodes are held against one hub: the node of
-   a key that shares most with others.  Linked ones form components, so that near copies
-   never expand into all pairs.
-3. Pairs of different components that meet in a key the larger one probes, and that a bound
-   on the difference (distance of small histograms) doesn't exclude, are verified exactly.
-
-A shingle is a 64-bit hash, a node the 64-bit hash of its set, which a second one guards
-against collisions; verification compares the sets themselves.
+probes worth ``slack``, a deletion or an exact probe behind the first d segments at one each:
+by cost, first what is empty, then those whose subset most others have.
+
+1. Every text is split and hashed once; its set is written beside its row, once per task.
+2. Keys and nodes are dealt into buckets of keys, packed, as many as the sets call for; a
+   bucket yields the keys that several nodes share.
+3. In ROUNDS rounds, each node is held against one hub of its keys.  Linked ones form
+   components, so that near copies never expand into all pairs.
+4. Keys in which several components are left are dealt out in blocks of BLOCK indexed nodes,
+   past which the probing ones stream; pairs of different components that sizes and
+   histograms don't exclude are verified exactly.
+
+A histogram counts a set's elements by hash in bins of about PER_BIN; the distance of two is
+at most the difference of the sets.  A shingle is a 64-bit hash, a node the 64-bit hash of
+its set, which a second one guards against collisions; verification compares the sets
+themselves: those of one component are held together, HELD shingles at a time, and a set is
+sent to each such part once, however many pairs it has there.
 
 Defined results: null text, empty text and text without a word have no shingles, no link and
 are their own component; fewer than five words make one shingle; repeated rows and texts are
-linked; rows of one doc_id are rows of their own; an empty table gives an empty table; other
-columns are ignored.
+linked; rows of one doc_id are rows of their own; rows without doc_id take part in links but
+name no component; an empty table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -47,13 +51,18 @@ WORDS = 5
 PERCENT = 80
 BAND = 1.5
 SLACK = 0.15
-HISTOGRAM = 64
-#: Candidate ids up to this many are broadcast (16 MB); beyond it the join is shuffled.
+#: Elements in a bin of a histogram, and its fewest bins as a power of two.
+PER_BIN, LEAST_BITS = 4, 6
+#: Ids up to this many are broadcast (16 MB); beyond it the join is shuffled.
 BROADCAST_IDS = 1_000_000
-#: Pairs that are verified together against one hub.
-GROUP = 512
-#: Rounds that hold nodes against one hub each, by a part of the keys, before all pairs left are.
-ROUNDS = 2
+#: Shingles of the sets that are held together, and sets that are sent past them at a time.
+HELD, GROUP = 1 << 21, 512
+#: Indexed nodes of a key that are held together.
+BLOCK = 2048
+#: Rounds that hold nodes against one hub each, before all pairs left are.
+ROUNDS = 3
+#: Shingles that a bucket of keys gets, and keys that are packed at a time.
+BUCKET_SHINGLES, PACKED_KEYS = 1 << 22, 1 << 20
 _MASK = (1 << 64) - 1
 
 
@@ -168,7 +177,7 @@ def signatures(place: np.ndarray, value: np.ndarray, band: int, scheme: tuple[in
     count = np.bincount(seg, minlength=m)
     k = int(np.searchsorted(seg, d))  # elements of segments with deletions
     deleted = mix((sums[seg[:k]] - value[:k]) ^ place[seg[:k]], 14)
-    flags2 = np.full(k, PROBES, np.int64)
+    flags2 = np.full(k, PROBES | DROPPABLE, np.int64)
     # What the node leaves out for certain, as most others have it: empty subsets, at one
     # probe each, or two where deletions would have found a difference of one as well.
     left = slack
@@ -185,8 +194,28 @@ def signatures(place: np.ndarray, value: np.ndarray, band: int, scheme: tuple[in
     return keys, np.concatenate([flags, flags2]) | (PROBE_ONLY if probe_only else 0) | left << _LEFT
 
 
+def bits_of(n: int) -> int:
+    return max(LEAST_BITS, (-(-n // PER_BIN) - 1).bit_length())
+
+
 def histogram(h: np.ndarray) -> np.ndarray:
-    return np.minimum(np.bincount((mix(h, 15) >> np.uint64(58)).astype(np.int64), minlength=HISTOGRAM), 65535).astype("<u2")
+    """Elements by bin; 255 stands for any number from there on."""
+    bits = bits_of(len(h))
+    return np.minimum(np.bincount((mix(h, 15) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8)
+
+
+def _folded(hist: np.ndarray, bins: int) -> np.ndarray:
+    """Rows of histograms with neighbouring bins added up to ``bins``."""
+    wide = hist.astype(np.int32)
+    return wide if hist.shape[1] == bins else wide.reshape(len(hist), bins, -1).sum(axis=2)
+
+
+def distance(hist: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """A lower bound on the difference of each row's set and one other; 0 where bins are full."""
+    bins = min(hist.shape[1], len(one))
+    out = np.abs(_folded(hist, bins) - _folded(one[None, :], bins)).sum(axis=1)
+    full = (hist == 255).any(axis=1) | (one == 255).any()
+    return np.where(full, 0, out)
 
 
 def node_of(h: np.ndarray, seed: int) -> int:
@@ -195,74 +224,105 @@ def node_of(h: np.ndarray, seed: int) -> int:
 
 
 def fingerprints(docs: DataFrame, n: int, seed: int) -> DataFrame:
-    """doc_id, n_shingles, node (null without shingles), guard, hist."""
+    """doc_id, n_shingles, node (null without shingles) and guard of every row; uid, hist and
+    the set itself (h) only with the first row of each node that a task meets."""
+    from pyspark import TaskContext
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        uid, met = TaskContext.get().partitionId() << 33, set()
         for batch in batches:
             at = 0
             for texts in groups(strings(batch.column(1))):
                 sets = shingles(texts, n)
                 node = [node_of(h, seed) if len(h) else None for h in sets]
                 guard = [node_of(h, 99) for h in sets]
+                uids, hists, packed = [], [], []
+                if len(met) > 1 << 20:
+                    met.clear()
+                for x, h in zip(node, sets, strict=True):
+                    new = x is not None and x not in met
+                    if new:
+                        met.add(x)
+                        uid += 1
+                    uids.append(uid if new else None)
+                    hists.append(histogram(h).tobytes() if new else None)
+                    packed.append(h.tobytes() if new else None)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, len(texts)), pa.array([len(h) for h in sets], pa.int64()), pa.array(node, pa.int64()), pa.array(guard, pa.int64()), pa.array([histogram(h).tobytes() for h in sets], pa.binary())],
-                    ["doc_id", "n_shingles", "node", "guard", "hist"],
+                    [batch.column(0).slice(at, len(texts)), pa.array([len(h) for h in sets], pa.int64()), pa.array(node, pa.int64()), pa.array(guard, pa.int64()), pa.array(uids, pa.int64()), pa.array(hists, pa.binary()), pa.array(packed, pa.binary())],
+                    ["doc_id", "n_shingles", "node", "guard", "uid", "hist", "h"],
                 )
                 at += len(texts)
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, node long, guard long, hist binary")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, node long, guard long, uid long, hist binary, h binary")
 
 
-def shared_keys(docs: DataFrame, n: int, percent: int, seed: int, buckets: int) -> DataFrame:
-    """key, node, flags, hub, others: of every key that several nodes have and one probes."""
+def shared_keys(prints: DataFrame, percent: int, buckets: int) -> DataFrame:
+    """key, node, flags, others: of every key that several nodes have and one probes."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        met: set[int] = set()  # copies within a task are indexed once
+        held, size, nodes, left = [], 0, [], []
+
+        def flush() -> pa.RecordBatch:
+            k, f = (np.concatenate([x[i] for x in held]) for i in (0, 1))
+            who = np.repeat(np.arange(len(held), dtype=np.uint16), [len(x[0]) for x in held])
+            at = ((k >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+            order = np.argsort(at, kind="stable")
+            k, f, who = k[order], f[order], who[order]
+            ends = np.searchsorted(at[order], np.arange(buckets + 1))
+            found = np.flatnonzero(ends[:-1] < ends[1:]).tolist()
+            own, room = np.array(nodes, np.int64), np.array(left, np.int32)
+            rows: list[list[bytes]] = [[], [], [], [], []]
+            for b in found:
+                part = slice(ends[b], ends[b + 1])
+                some, place = np.unique(who[part], return_inverse=True)
+                for column, x in zip(rows, (k[part], f[part], place.astype(np.uint16), own[some], room[some]), strict=True):
+                    column.append(x.tobytes())
+            return pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), *[pa.array(r, pa.binary()) for r in rows]], ["bucket", "k", "f", "who", "nodes", "room"])
+
         for batch in batches:
-            for texts in groups(strings(batch.column(1))):
-                keys, nodes, flags = [], [], []
-                for h in shingles(texts, n):
-                    if not len(h) or (node := node_of(h, seed)) in met:
-                        continue
-                    met.add(node)
-                    place, value = ordered(h)
-                    for band, probe_only in schemes(len(h), percent):
-                        k, f = signatures(place, value, band, bands(1 << max(8, len(h).bit_length()), percent)[band], probe_only)
-                        keys.append(k)
-                        flags.append(f)
-                        nodes.append(np.full(len(k), node, np.int64))
-                if len(met) > 1 << 20:
-                    met.clear()
-                if not keys:
-                    continue
-                k, v, f = np.concatenate(keys), np.concatenate(nodes), np.concatenate(flags)
-                at = ((k >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-                order = np.argsort(at, kind="stable")
-                k, v, f = k[order], v[order], f[order].astype(np.int32)
-                ends = np.searchsorted(at[order], np.arange(buckets + 1))
-                found = [b for b in range(buckets) if ends[b] < ends[b + 1]]
-                cut = lambda x: pa.array([x[ends[b] : ends[b + 1]].tobytes() for b in found], pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), cut(k), cut(v), cut(f)], ["bucket", "k", "v", "f"])
+            for node, packed in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                h = np.frombuffer(packed.as_buffer(), np.uint64)
+                place, value = ordered(h)
+                found = bands(1 << max(8, len(h).bit_length()), percent)
+                for band, probe_only in schemes(len(h), percent):
+                    k, f = signatures(place, value, band, found[band], probe_only)
+                    held.append((k, (f & ((1 << _LEFT) - 1)).astype(np.uint8)))
+                    nodes.append(node)
+                    left.append(int(f[0]) >> _LEFT)
+                    size += len(k)
+                if size >= PACKED_KEYS or len(held) > 60_000:
+                    yield flush()
+                    held, size, nodes, left = [], 0, [], []
+        if held:
+            yield flush()
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(rows: list) -> pa.RecordBatch:
             k = np.frombuffer(b"".join(r[0] for r in rows), np.uint64)
-            v = np.frombuffer(b"".join(r[1] for r in rows), np.int64)
-            f = np.frombuffer(b"".join(r[2] for r in rows), np.int32)
+            f = np.frombuffer(b"".join(r[1] for r in rows), np.uint8).astype(np.int32)
+            who = [np.frombuffer(r[2], np.uint16) for r in rows]
+            v = np.concatenate([np.frombuffer(r[3], np.int64)[w] for r, w in zip(rows, who, strict=True)])
+            f |= np.concatenate([np.frombuffer(r[4], np.int32)[w] for r, w in zip(rows, who, strict=True)]) << _LEFT
+            rows.clear()
+            order = np.argsort(k)
+            k = k[order]
+            some = np.ones(len(k), bool)  # keys that occur twice at all; the others go at once
+            some[1:-1] = (k[1:-1] == k[:-2]) | (k[1:-1] == k[2:])
+            k, order = k[some], order[some]
+            v, f = v[order], f[order]
             order = np.lexsort((v, k))
             k, v, f = k[order], v[order], f[order]
-            new = np.concatenate([[True], (k[1:] != k[:-1]) | (v[1:] != v[:-1])])  # copies from other tasks
-            first = np.flatnonzero(new)
+            first = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (v[1:] != v[:-1])])[: len(k)])  # copies from other tasks
             f = np.bitwise_or.reduceat(f & PROBES, first) | (f[first] & ~PROBES) if len(first) else f
             # A key met both ways by one node probes and indexes; its own flags agree otherwise.
             k, v = k[first], v[first]
-            start = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+            start = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])[: len(k)])
             size = np.diff(np.append(start, len(k)))
-            index = (f & PROBE_ONLY) == 0
-            hub = np.minimum.reduceat(np.where(index, v, np.iinfo(np.int64).max), start)
-            good = (size > 1) & np.logical_or.reduceat((f & PROBES) > 0, start) & (hub < np.iinfo(np.int64).max)
-            keep = np.repeat(good, size)
-            return pa.RecordBatch.from_arrays([pa.array(k[keep].view(np.int64)), pa.array(v[keep]), pa.array(f[keep]), pa.array(np.repeat(hub, size)[keep]), pa.array(np.repeat(size, size)[keep].astype(np.int64))], ["key", "node", "flags", "hub", "others"])
+            keep = np.zeros(len(k), bool)
+            if len(k):
+                index = np.logical_or.reduceat((f & PROBE_ONLY) == 0, start)
+                keep = np.repeat((size > 1) & index & np.logical_or.reduceat((f & PROBES) > 0, start), size)
+            return pa.RecordBatch.from_arrays([pa.array(k[keep].view(np.int64)), pa.array(v[keep]), pa.array(f[keep]), pa.array(np.repeat(size, size)[keep].astype(np.int64))], ["key", "node", "flags", "others"])
 
         now, rows = None, []
         for batch in batches:
@@ -275,68 +335,73 @@ def shared_keys(docs: DataFrame, n: int, percent: int, seed: int, buckets: int)
         if rows:
             yield flush(rows)
 
-    packed = docs.mapInArrow(pack, "bucket int, k binary, v binary, f binary")
-    return packed.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(unpack, "key long, node long, flags int, hub long, others long")
-
-
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, percent: int, seed: int) -> DataFrame:
-    """The linked ones of node pairs (a, b): each a's set meets b's in b's group, of which
-    there is one for every GROUP pairs, so that no hub's group grows with its pairs."""
-    many = pairs.groupBy("b").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("k"))
-    members = pairs.join(many, "b").select(F.col("a").alias("node"), F.col("b").alias("hub"), F.pmod(F.xxhash64("a"), F.col("k")).cast("int").alias("part"), F.lit(False).alias("own"))
-    hubs = many.select(F.col("b").alias("node"), F.col("b").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("part"), F.lit(True).alias("own"))
-    meets = members.unionByName(hubs).groupBy("node").agg(F.collect_list(F.struct("hub", "part", "own")).alias("meets"))
-    meets = materialize(meets.join(nodes.select("node", F.col("rep").alias("doc_id")), "node"), "meets")
-    if meets.count() <= BROADCAST_IDS:
+    packed = prints.filter("uid is not null").select("node", "h").mapInArrow(pack, "bucket int, k binary, f binary, who binary, nodes binary, room binary")
+    return packed.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(unpack, "key long, node long, flags int, others long")
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, prints: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) among node pairs (a, b, g), where g is the component of b: one for each a
+    and part of g that has any.
+
+    The sets of a component's nodes b are held together in parts of HELD shingles; an a is
+    sent to each part that it has pairs in, and the part to one task for every GROUP of them.
+    """
+    own = nodes.select("node", "uid", "n")
+    hosts = pairs.select("g", F.col("b").alias("node")).distinct().join(own, "node")
+    room = hosts.groupBy("g").agg(F.ceil(F.sum("n") / HELD).cast("int").alias("parts"))
+    hosts = materialize(hosts.join(room, "g").select("g", "node", "uid", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part")), "hosts")
+    guests = pairs.join(hosts.select("g", F.col("node").alias("b"), "part"), ["g", "b"]).groupBy(F.col("a").alias("node"), "g", "part").agg(F.collect_list("b").alias("bs"))
+    guests = materialize(guests.join(own, "node").select("g", "part", "node", "uid", "bs"), "guests")
+    many = guests.groupBy("g", "part").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("salts"))
+    sent = guests.join(many, ["g", "part"]).select("uid", "g", "part", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int").alias("salt"), F.lit(True).alias("guest"), "node", "bs")
+    kept = hosts.join(many, ["g", "part"]).select("uid", "g", "part", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(False).alias("guest"), "node", F.lit(None).cast("array<long>").alias("bs"))
+    meets = materialize(sent.unionByName(kept), "meets")
+    size = meets.agg((4 * F.count("*") + F.coalesce(F.sum(F.size("bs")), F.lit(0))).alias("x")).first().x
+    if size <= BROADCAST_IDS:
         meets = F.broadcast(meets)
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = 0
-            for texts in groups(strings(batch.column(1))):
-                rows = []
-                for h, node, meet in zip(shingles(texts, n), batch.column(0).slice(at, len(texts)).to_pylist(), batch.column(2).slice(at, len(texts)), strict=True):
-                    if len(h) and node_of(h, seed) == node:  # a doc_id may have rows of other sets too
-                        packed = h.tobytes()
-                        rows += [(m["hub"], m["part"], not m["own"], node, packed) for m in meet.as_py()]
-                at += len(texts)
-                columns = list(zip(*rows, strict=True)) or [[]] * 5
-                kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["hub", "part", "guest", "node", "h"])
-
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, own = None, np.empty(0, np.uint64)
+        now, held = None, {}
         for batch in batches:
             a, b = [], []
-            for hub, part, guest, node, h in zip(*(batch.column(i).to_pylist() for i in range(4)), batch.column(4), strict=True):
+            columns = [batch.column(i).to_pylist() for i in range(5)]
+            for *of, guest, node, wanted, h in zip(*columns, batch.column(5), batch.column(6), strict=True):
                 h = np.frombuffer(h.as_buffer(), np.uint64)
+                if of != now:
+                    now, held = of, {}
                 if not guest:
-                    now, own = (hub, part), h.copy()
-                elif now == (hub, part):
-                    common = len(np.intersect1d(own, h, assume_unique=True))
-                    if 100 * common >= percent * (len(own) + len(h) - common):
+                    held[node] = h.copy()
+                    continue
+                for x in wanted.as_py():
+                    other = held[x]
+                    small, large = (h, other) if len(h) < len(other) else (other, h)
+                    common = int((large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small).sum())
+                    if 100 * common >= percent * (len(h) + len(other) - common):
                         a.append(node)
-                        b.append(hub)
+                        b.append(x)
+                        break  # all of g are one component already
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.join(meets, "doc_id").select("node", "text", "meets").mapInArrow(sets, "hub long, part int, guest boolean, node long, h binary")
-    return materialize(rows.repartition(parts, "hub", "part").sortWithinPartitions("hub", "part", "guest").mapInArrow(linked, "a long, b long"), "links")
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = prints.filter("uid is not null").select("uid", "h").join(meets, "uid").select("g", "part", "salt", "guest", "node", "bs", "h")
+    return materialize(rows.repartition(tasks, "g", "part", "salt").sortWithinPartitions("g", "part", "salt", "guest").mapInArrow(linked, "a long, b long"), "links")
 
 
 def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs that sizes and histograms do not exclude: the distance of two histograms is at
-    most the difference of the sets."""
+    """Pairs (a, b, g) that sizes and histograms do not exclude."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(c.to_pylist()), "<u2").reshape(-1, HISTOGRAM).astype(np.int32) for c in (batch.column(2), batch.column(3)))
-            most = _most_different(batch.column(4).to_numpy(), batch.column(5).to_numpy(), percent)
-            keep = pa.array(np.abs(x - y).sum(axis=1) <= most)
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
+            most = _most_different(batch.column(5).to_numpy(), batch.column(6).to_numpy(), percent)
+            keep = []
+            for x, y, m in zip(batch.column(3), batch.column(4), most.tolist(), strict=True):
+                x, y = (np.frombuffer(h.as_buffer(), np.uint8) for h in (x, y))
+                keep.append(m >= 0 and distance(x[None, :], y)[0] <= m)
+            keep = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(keep) for i in range(3)], ["a", "b", "g"])
 
     rows = pairs.join(nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("hist").alias("x")), "a").join(nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("hist").alias("y")), "b")
-    return materialize(rows.select("a", "b", "x", "y", "na", "nb").mapInArrow(run, "a long, b long"), "possible")
+    return materialize(rows.select("a", "b", "g", "x", "y", "na", "nb").mapInArrow(run, "a long, b long, g long"), "possible")
 
 
 def _rooted(shared: DataFrame, roots: DataFrame | None) -> DataFrame:
@@ -360,67 +425,88 @@ def _probing(shared: DataFrame) -> DataFrame:
     return shared.withColumn("drops", drops).withColumn("probes", (F.col("flags").bitwiseAND(PROBES) > 0) & ~F.col("drops")).drop("drops")
 
 
+def _stars(marked: DataFrame, first: bool, salt: int) -> DataFrame:
+    """(a, b, g): for each node, the hub b of most of its keys that is of another component g.
+    A key's hub is, in the first round, the node that shares most keys, then any by hash."""
+    order = F.struct(F.xxhash64("node", F.lit(salt)), F.col("node"))
+    if first:
+        weight = marked.groupBy("node").agg(F.sum("others").alias("w"))
+        marked, order = marked.join(weight, "node"), F.struct("w", "node")
+    hubs = marked.groupBy("key").agg(F.max_by(F.struct("node", "root"), order).alias("hub"))
+    met = marked.join(hubs, "key").filter("root <> hub.root").groupBy("node", F.col("hub.node").alias("b"), F.col("hub.root").alias("g")).agg(F.count("*").alias("c"))
+    return met.groupBy(F.col("node").alias("a")).agg(F.max_by(F.struct("b", "g"), F.struct("c", "b")).alias("best")).select("a", "best.b", "best.g")
+
+
+def _met(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b, g) of different components that meet in a key which the larger one, a,
+    probes and b indexes, as far as sizes and histograms allow; some more than once."""
+    many = rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    rows = rows.join(many, "key")
+    columns = ["node", "root", "n", "hist"]
+    index = rows.filter(F.col("flags").bitwiseAND(PROBE_ONLY) == 0).select("key", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), F.lit(False).alias("guest"), *columns)
+    guests = rows.filter("probes").select("key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(True).alias("guest"), *columns)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, ready = None, [], None
+        for batch in batches:
+            found = []
+            for key, part, guest, node, root, n, hist in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (key, part) != now:
+                    now, held, ready = (key, part), [], None
+                if not guest:
+                    held.append((node, root, n, hist))
+                    continue
+                if ready is None:  # by number of bins
+                    ready = []
+                    for bins in {len(x[3]) for x in held}:
+                        some = [x for x in held if len(x[3]) == bins]
+                        ready.append((*(np.array([x[i] for x in some], np.int64) for i in range(3)), np.frombuffer(b"".join(x[3] for x in some), np.uint8).reshape(-1, bins)))
+                one = np.frombuffer(hist, np.uint8)
+                for nodes, roots, sizes, hists in ready:
+                    at = np.flatnonzero(((sizes < n) | ((sizes == n) & (nodes < node))) & (roots != root) & (100 * sizes >= percent * n))
+                    if len(at):
+                        at = at[distance(hists[at], one) <= _most_different(np.int64(n), sizes[at], percent)]
+                    if len(at):
+                        found.append((np.full(len(at), node, np.int64), nodes[at], roots[at]))
+            arrays = [pa.array(np.concatenate([x[i] for x in found]) if found else np.empty(0, np.int64)) for i in range(3)]
+            yield pa.RecordBatch.from_arrays(arrays, ["a", "b", "g"])
+
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return index.unionByName(guests).repartition(tasks, "key", "part").sortWithinPartitions("key", "part", "guest").mapInArrow(meet, "a long, b long, g long")
+
+
 def link(docs: DataFrame, *, n: int = WORDS, percent: int = PERCENT, buckets: int | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id, of every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
-    buckets = buckets or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = pick(docs, "doc_id", "text")
     docs = docs.select(docs.doc_id.cast("long").alias("doc_id"), docs.text)
     for seed in range(8):
         prints = materialize(fingerprints(docs, n, seed), "prints")
-        by_node = prints.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.min("n_shingles").alias("n2"), F.min("guard").alias("g1"), F.max("guard").alias("g2"), F.max("hist").alias("hist"))
+        by_node = prints.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.min("n_shingles").alias("n2"), F.min("guard").alias("g1"), F.max("guard").alias("g2"), F.min("uid").alias("uid"), F.max("hist").alias("hist"))
         nodes = materialize(by_node, "nodes")
-        if nodes.filter("n <> n2 or g1 <> g2").isEmpty():
+        told = nodes.agg(F.count(F.when(F.expr("n <> n2 or g1 <> g2"), 1)).alias("bad"), F.coalesce(F.sum("n"), F.lit(0)).alias("shingles")).first()
+        if not told.bad:
             break
-    shared = materialize(shared_keys(docs, n, percent, seed, buckets), "shared")
+    else:
+        raise ValueError("every seed has colliding sets")
+    buckets = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-told.shingles // BUCKET_SHINGLES))
+    shared = materialize(shared_keys(prints, percent, buckets), "shared")
 
-    links, roots = None, None
+    links, roots = spark.createDataFrame([], "a long, b long"), None
+    left = shared
     for k in range(ROUNDS):
-        marked = _rooted(shared.filter(F.pmod("key", F.lit(ROUNDS + 1)) == k).select("key", "node", "others"), roots)
-        marked = marked.join(_mixed(marked), "key")
-        weight = marked.groupBy("node").agg(F.sum("others").alias("w"))
-        marked = materialize(marked.join(weight, "node").select("key", "node", "root", "w"), "marked")
-        hubs = marked.groupBy("key").agg(F.max_by(F.struct("node", "root"), F.struct("w", "node")).alias("hub"))
-        stars = marked.join(hubs, "key").filter("root <> hub.root").groupBy("node", F.col("hub.node").alias("hub")).agg(F.count("*").alias("c"))
-        stars = stars.groupBy("node").agg(F.max_by("hub", F.struct("c", "hub")).alias("hub")).select(F.col("node").alias("a"), F.col("hub").alias("b"))
-        found = _verified(_possible(stars, nodes, percent), nodes, docs, n, percent, seed)
-        links = found if links is None else links.unionByName(found)
+        marked = _rooted(left, roots)
+        left = materialize(marked.join(_mixed(marked), "key").drop("root"), "left")
+        stars = _possible(_stars(_rooted(left, roots), not k, k), nodes, percent)
+        links = links.unionByName(_verified(stars, nodes, prints, percent))
         roots = materialize(components(links), "roots")
 
     # What meets in a key and is not yet together.
-    marked = _rooted(shared, roots)
+    marked = _rooted(left, roots)
     rows = _probing(materialize(marked.join(_mixed(marked), "key"), "mixed"))
-    rows = rows.join(nodes.select("node", "n", "hist"), "node").select("key", "node", "root", "n", "flags", "probes", "hist")
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(held: list) -> Iterator[pa.RecordBatch]:
-            *columns, hist = zip(*held, strict=True)
-            node, root, size, flags, probes = map(np.array, columns)
-            hist = np.frombuffer(b"".join(hist), "<u2").reshape(-1, HISTOGRAM).astype(np.int32)
-            index = (flags & PROBE_ONLY) == 0
-            for i in np.flatnonzero(probes):  # the larger one probes; ties by node
-                less = index & ((size < size[i]) | ((size == size[i]) & (node < node[i]))) & (root != root[i]) & (100 * size >= percent * size[i])
-                at = np.flatnonzero(less)
-                if len(at):
-                    at = at[np.abs(hist[at] - hist[i]).sum(axis=1) <= _most_different(size[i], size[at], percent)]
-                if len(at):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), node[i])), pa.array(node[at])], ["a", "b"])
-
-        now, held = None, []
-        for batch in batches:
-            for key, *x in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if key != now and held:
-                    yield from pairs(held)
-                    held = []
-                now = key
-                held.append(x)
-        if held:
-            yield from pairs(held)
-
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    more = rows.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(meet, "a long, b long").distinct()
-    second = _verified(materialize(more, "pairs"), nodes, docs, n, percent, seed)
-    together = components(links.unionByName(second))
+    rows = materialize(rows.join(nodes.select("node", "n", "hist"), "node").select("key", "node", "root", "n", "flags", "probes", "hist"), "rows")
+    more = materialize(_met(rows, percent).distinct(), "pairs")
+    together = components(links.unionByName(_verified(more, nodes, prints, percent)))
 
     groups_ = nodes.select("node", "rep").join(together, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root"))
     least = groups_.groupBy("root").agg(F.min("rep").alias("component"))
