@@ -195,8 +195,62 @@ def test_texts_whose_candidates_all_fall(spark):
     wanted = latent_leaks.Items(rows, table)
     for _, text in rows[:20]:
         part = " ".join(text.split()[: len(text.split()) // 2])
-        assert [len(x) for x in wanted.search([part])] == [0] and wanted.search([part, text])[1]
-    assert wanted.search([]) == [] and wanted.search(["", "..."]) == [[], []]
+        assert {x[0] for x in wanted.search([part, text])} == {1}
+    assert list(wanted.search([None, "", "..."])) == list(wanted.search([])) == []
+
+
+@pytest.mark.parametrize("fitted_on", [latent_leaks.FIT_PASSAGES, 500])
+def test_leaks_against_a_search_of_all_places(spark, monkeypatch, fitted_on):
+    monkeypatch.setattr(latent_leaks, "FIT_PASSAGES", fitted_on)
+    docs, bench = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text"), spark.read.parquet(f"{SF}/benchmark.parquet")
+    items, rng = {r.item_id: r.text.lower().split() for r in bench.collect()}, random.Random(9)
+    others = [w for r in docs.collect() for w in r.text.split()]
+    rows = [(r.doc_id, r.text) for r in docs.collect()] * 2  # every row twice
+    for i, w in items.items():  # paraphrases: every fourth word but the answer's is another
+        told = [rng.choice(others) if k % 4 == 3 and k < len(w) - latent_leaks.ANSWER else x for k, x in enumerate(w)]
+        rows.append((10_000 + i, " ".join([*rng.choices(others, k=150), *told, *rng.choices(others, k=150)])))
+    found = latent_leaks.leaks(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), bench).collect()
+    got = collections.Counter((r.doc_id, r.item_id) for r in found)
+    assert all(got[x] == 2 for x in got if x[0] < 10_000)
+    basis = latent_leaks.fit(docs)
+    wanted = latent_leaks.Items([(i, " ".join(w)) for i, w in items.items()], basis)
+    expected = set()
+    for d, t in dict(rows).items():
+        words = [x for x in (y.strip(latent_leaks._PUNCTUATION) for y in t.lower().split()) if x]
+        here = set(words)
+        for k, i in enumerate(wanted.ids):
+            own = wanted.words[k]
+            step = max(1, len(own) // 4)
+            if sum(x in here for x in own) < latent_leaks.PARAPHRASE * len(own):
+                continue
+            if any(wanted._covers(k, words[a : a + 2 * len(own)]) for a in range(0, len(words), step)):
+                expected.add((d, i))
+    assert len(expected) >= len(items) and len(expected & set(got)) >= 0.97 * len(expected)
+    assert not [x for x in set(got) - expected if x[0] < 10_000]
+
+
+def test_words_are_split_and_stripped_as_strings_are():
+    text = "  «Ünï-cödé», it's (one)... -- İstanbul\x85two\u2028x\u3000'' ¿qué? 𝒳y end."
+    words, plain = latent_leaks.words_of(text.lower()), text.lower().split()
+    bare = [w.strip(latent_leaks._PUNCTUATION) for w in plain]
+    assert [words.text[a:b] for a, b in zip(words.begin, words.end, strict=True)] == bare
+    assert words.bare(0, len(bare)) == [w for w in bare if w]
+    assert [f == latent_leaks.FEATURES for f in words.feature] == [not w for w in bare]
+    again = latent_leaks.words_of("x " + " ".join(w for w in bare if w))
+    assert again.feature[1:].tolist() == [f for f in words.feature.tolist() if f < latent_leaks.FEATURES]
+    assert len(latent_leaks.words_of("").feature) == 0 == len(latent_leaks.words_of(" \n").feature)
+
+
+def test_slices_of_a_long_text(spark, monkeypatch):
+    bench = [(1, " ".join(f"item{i}" for i in range(40)))]
+    text = " ".join(f"w{i % 700}" for i in range(9_000))
+    docs = spark.createDataFrame([(1, text), (2, f"{text} {bench[0][1]} {text}"), (3, bench[0][1])], "doc_id long, text string")
+    basis = latent_leaks.fit(docs)
+    for size in (1 << 12, 1 << 14, 1 << 18):
+        monkeypatch.setattr(latent_leaks, "SLICE", size)
+        found = latent_leaks.Items(bench, basis).search([text, f"{text} {bench[0][1]} {text}", "", f"{bench[0][1]} {text}"])
+        assert [x[:2] for x in found] == [(1, 1), (3, 1)]
+    assert [x for part in latent_leaks.slices(f" {text}\n") for x in part.split()] == text.split()
 
 
 def test_the_basis_samples_rows_not_texts(spark, monkeypatch):
@@ -204,7 +258,7 @@ def test_the_basis_samples_rows_not_texts(spark, monkeypatch):
     texts = [" ".join(f"w{k}x{i}" for i in range(latent_leaks.BLOCK)) for k in range(40)]
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 50)], "doc_id long, text string")
     basis = latent_leaks.fit(rows)
-    known = [np.abs(basis[latent_leaks.features_of(t.split())]).max() > 0 for t in texts]
+    known = [np.abs(basis.vectors[latent_leaks.words_of(t).feature]).max() > 0 for t in texts]
     assert sum(known) >= 39  # one in ten of 50 copies each; by text it would be one in ten of 40
 
 
@@ -219,8 +273,7 @@ def test_short_items_are_found_in_other_text(spark):
             w = rng.choice(others)
             at = rng.randrange(40, 60)
             pasted.append(" ".join([*w[:at], t, *w[at:]]))
-        found = wanted.search(pasted)
-        assert [i for (i, _), x in zip(rows, found, strict=True) if i not in {y[0] for y in x}] == []
+        assert {(k, i) for k, (i, _) in enumerate(rows)} <= {x[:2] for x in wanted.search(pasted)}
 
 
 def test_common_length_is_the_subsequence():
