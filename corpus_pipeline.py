@@ -52,7 +52,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def remove_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents without an item of the benchmark (operator 4)."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _without(docs, latent_leaks.leaks(_keyed(docs), benchmark, table=latent_leaks.fit(docs)).select("doc_id").distinct())
+    return _without(docs, latent_leaks.leaks(_keyed(docs), benchmark, basis=latent_leaks.fit(docs)).select("doc_id").distinct())
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

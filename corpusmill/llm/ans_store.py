@@ -278,7 +278,7 @@ def write(tokens: DataFrame, path: str, vocab_size: int, n_buckets: int, block_i
         if size:
             yield flush()
 
-    ordered = placed.select("bucket", "doc_id", "ids").repartition(max(n_buckets, 1), "bucket").sortWithinPartitions("bucket", "doc_id", "ids")
+    ordered = placed.select("bucket", "doc_id", "ids").repartitionById(max(n_buckets, 1), F.col("bucket").cast("int")).sortWithinPartitions("bucket", "doc_id", "ids")
     ordered.mapInArrow(blocks, _BLOCK).write.option("compression", "none").parquet(f"{path}/blocks")
 
 
@@ -326,21 +326,25 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 crc = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(at.tolist(), ends.tolist(), strict=True)]
                 piece = begin.copy()
                 begin[0] = first.as_py()
-                yield pa.RecordBatch.from_arrays([docs.values.cast(pa.int64()), pa.array(begin), pa.array(piece), pa.array(n), pa.array(crc, pa.int64())], ["doc_id", "start", "piece", "n", "crc"])
+                inner = np.ones(len(n), bool)  # what is at a block's end may go on in another
+                inner[0] = inner[-1] = False
+                yield pa.RecordBatch.from_arrays([docs.values.cast(pa.int64()), pa.array(begin), pa.array(piece), pa.array(n), pa.array(crc, pa.int64()), pa.array(inner)], ["doc_id", "start", "piece", "n", "crc", "whole"])
 
-    parts = spark.read.parquet(f"{path}/blocks").select("start", "doc_ids", "pieces", "first_start", "payload").mapInArrow(decode, "doc_id long, start long, piece long, n long, crc long")
+    parts = spark.read.parquet(f"{path}/blocks").select("start", "doc_ids", "pieces", "first_start", "payload").mapInArrow(decode, "doc_id long, start long, piece long, n long, crc long, whole boolean")
 
-    @F.udf("long")
-    def joined(found) -> int:
-        found = sorted((r.piece, r.n, r.crc) for r in found)
-        crc = found[0][2]
-        for _, n, c in found[1:]:
-            crc = crc32_joined(crc, c, 4 * n)
-        return crc
-
-    # A document in one piece has its checksum; only the pieces of split ones are joined.
-    together = parts.groupBy("doc_id", "start").agg(F.sum("n").alias("n_tokens"), F.count("*").alias("k"), F.max("crc").alias("crc"), F.collect_list(F.struct("piece", "n", "crc")).alias("found"))
-    return together.select("doc_id", "start", "n_tokens", F.when(F.col("k") > 1, joined("found")).otherwise(F.col("crc")).alias("ids_crc32"))
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            crc = batch.column(3).to_pylist()
+            for i in np.flatnonzero(batch.column(4).is_valid().to_numpy(zero_copy_only=False)).tolist():
+                found = sorted((x["piece"], x["n"], x["crc"]) for x in batch.column(4)[i].as_py())
+                crc[i] = found[0][2]
+                for _, n, c in found[1:]:
+                    crc[i] = crc32_joined(crc[i], c, 4 * n)
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+
+    # A document in one piece has its checksum; only the pieces of split ones are gathered and joined.
+    whole = parts.groupBy("doc_id", "start").agg(F.sum("n").alias("n_tokens"), F.count("*").alias("k"), F.max("crc").alias("crc"), F.collect_list(F.when(~F.col("whole"), F.struct("piece", "n", "crc"))).alias("found"))
+    return whole.select("doc_id", "start", "n_tokens", "crc", F.when(F.col("k") > 1, F.col("found")).alias("found")).mapInArrow(joined, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def store_and_read(docs: DataFrame, tokenizer_path: str, *, end_id: int = 0, vocab_size: int, n_buckets: int | None = None) -> DataFrame:

@@ -1,26 +1,29 @@
 """Operator 8: stupid-backoff language-model scores, computed relationally.
 
-Bigrams and words of every document are exploded, summed per document first, and counted
-over the corpus in tables that are partitioned by the n-gram's hash.  Each document's
-n-grams are joined to those tables and its scores summed.
+N-grams of up to ORDER words of every document are exploded, summed per document first, and
+counted over the corpus in tables that are partitioned by the n-gram's hash.  Each
+document's n-grams are joined to those tables and its scores summed.
 
-Score of a word behind its context: the bigram's count over the context's, where the
-bigram was seen at least MIN_COUNT times (rarer ones are pruned from the table); otherwise
-BACKOFF times the word's count over all words.  A document's first word backs off without a
-penalty.  The score is the mean natural logarithm over its words.
+A document is scored by the model of all rows but itself: counts leave out its own.  Score of
+a word behind its context: the count of both over the context's, if they occur elsewhere;
+otherwise BACKOFF times the score behind the context without its first word.  A word that
+occurs nowhere else counts UNSEEN times.  A document's first words have the context there is.
+The score is the mean natural logarithm over its words; n_backoff is how many of them were not
+found behind their whole context.  Nothing is pruned: every n-gram of every row is counted.
 
 To move little, documents are gathered into groups of about GROUP_WORDS words, and what a
 group has of n-grams travels packed: one row per bucket of hashes, with the distinct keys in
 order and their counts.  A bucket's task is one hash partition of the count tables: it adds
-up all rows and answers each one key by key.  A key with any share of the corpus arrives
-already summed by group.  The answers join their group, which looks up its own words.
+up all rows and joins each of them to the sums key by key; there is a bucket for every
+BUCKET_WORDS words or fewer.  A key with any share of the corpus arrives already summed by
+group.  The answers join their group, which looks up its own words.
 
-Words are runs of bytes other than the six ASCII blanks, A-Z in lower case; a word or bigram
-is a 64-bit hash.
+Words are runs of bytes other than the six ASCII blanks, A-Z in lower case; a word or n-gram
+is a hash of 48 bits besides those that choose its bucket.
 
 Defined results: null text, empty text and text without a word have n_words 0 and a null
-score; repeated rows count as often as they occur; an empty table gives an empty table;
-other columns are ignored.
+score; repeated rows are rows of their own, so that each one's n-grams occur elsewhere; an
+empty table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,14 +36,17 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.llm.common import groups as text_groups
 from corpusmill.llm.common import materialize, pick, strings
-from corpusmill.llm.pigeonhole_join import _WordHashes, mix
+from corpusmill.llm.pigeonhole_join import mix, word_hashes
 
-MIN_COUNT = 2
+ORDER = 3
 BACKOFF = 0.4
-#: Words of a group of documents.
-GROUP_WORDS = 1 << 21
-_HASHES = _WordHashes()
+UNSEEN = 0.5
+#: Words of a group of documents, and of the corpus for each bucket of hashes.
+GROUP_WORDS, BUCKET_WORDS = 1 << 21, 1 << 21
+#: Bits of a hash besides those that choose its bucket.
+KEY_BITS = 48
 
 
 def _pack(x: np.ndarray) -> bytes:
@@ -61,19 +67,16 @@ def _unpack_keys(packed: bytes) -> np.ndarray:
     return np.cumsum(_unpack(packed, "<u8"), dtype=np.uint64)
 
 
-def _words(text: str | None) -> np.ndarray:
-    if len(_HASHES) > 1 << 18:
-        _HASHES.clear()
-    return np.array([_HASHES[w] for w in (text or "").encode().lower().split()], np.uint64)
-
-
-def _bigrams(h: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the bigrams that end at each word, and which words end one."""
-    inside = np.ones(len(h), bool)
-    begins = np.cumsum(sizes) - sizes
-    inside[begins[sizes > 0]] = False
-    prev = np.concatenate([h[:1], h[:-1]])
-    return mix(mix(prev, 21) ^ h, 22), inside
+def _keys(h: np.ndarray, sizes: np.ndarray, order: int, bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each length: which words end an n-gram of it, and those n-grams' keys."""
+    place = np.arange(len(h)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    out, key = [], mix(h, 20)
+    for n in range(1, order + 1):
+        if n > 1:
+            key = mix(np.concatenate([key[:1], key[:-1]]) ^ mix(h, 20 + n), 30)
+        inside = place >= n - 1
+        out.append((inside, key[inside] >> np.uint64(max(0, 64 - KEY_BITS - bits))))
+    return out
 
 
 def gather(docs: DataFrame, group_words: int = GROUP_WORDS) -> DataFrame:
@@ -94,10 +97,13 @@ def gather(docs: DataFrame, group_words: int = GROUP_WORDS) -> DataFrame:
             return pa.RecordBatch.from_arrays(row, ["group", "doc_ids", "sizes", "words", "places"])
 
         for batch in batches:
-            for i, t in zip(batch.column(0).to_pylist(), strings(batch.column(1)), strict=True):
-                ids.append(i)
-                found.append(_words(t))
-                held += len(found[-1]) + 1
+            at, all_ids = 0, batch.column(0).to_pylist()
+            for texts in text_groups(strings(batch.column(1))):
+                hashes = word_hashes(texts)
+                ids += all_ids[at : at + len(texts)]
+                found += hashes
+                held += sum(len(h) + 1 for h in hashes)
+                at += len(texts)
                 if held >= group_words:
                     yield flush()
                     number, ids, found, held = number + 1, [], [], 0
@@ -117,86 +123,103 @@ def _group(words: bytes, places: bytes, sizes: list[int]) -> tuple[np.ndarray, n
     return table[order], place[at], table[at], np.array(sizes, np.int64)
 
 
-def count_tables(groups: DataFrame, buckets: int) -> DataFrame:
-    """group, kind (1: words, 2: bigrams), bucket, counts: for each group's distinct keys of a
-    bucket, in order, the corpus's counts."""
+def count_tables(groups: DataFrame, order: int, bits: int) -> DataFrame:
+    """group, n, bucket, counts: for each group's distinct n-grams of a bucket, in order, how
+    often the corpus has them outside the group."""
+    buckets = 1 << bits
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ends = np.array([(b << 32) // buckets for b in range(buckets)], np.uint64) << np.uint64(32)
+        ends = np.arange(buckets, dtype=np.uint64) << np.uint64(min(64 - bits, KEY_BITS)) if bits else np.zeros(1, np.uint64)
         for batch in batches:
             for group, sizes, words, places in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                table, at, h, sizes = _group(words, places, sizes)
-                keys, inside = _bigrams(h, sizes)
-                for kind, (k, n) in ((1, (table, np.bincount(at, minlength=len(table)))), (2, np.unique(keys[inside], return_counts=True))):
+                _, _, h, sizes = _group(words, places, sizes)
+                for n, (_, keys) in enumerate(_keys(h, sizes, order, bits), 1):
+                    k, c = np.unique(keys, return_counts=True)
                     cut = np.append(np.searchsorted(k, ends), len(k))
                     some = [b for b in range(buckets) if cut[b] < cut[b + 1]]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(some, pa.int32()), pa.array([group] * len(some), pa.int64()), pa.array([kind] * len(some), pa.int32()), pa.array([_pack_keys(k[cut[b] : cut[b + 1]]) for b in some], pa.binary()), pa.array([_pack(n[cut[b] : cut[b + 1]].astype("<u4")) for b in some], pa.binary())],
-                        ["bucket", "group", "kind", "k", "n"],
+                        [pa.array(some, pa.int32()), pa.array([group] * len(some), pa.int64()), pa.array([n] * len(some), pa.int32()), pa.array([_pack_keys(k[cut[b] : cut[b + 1]]) for b in some], pa.binary()), pa.array([_pack(c[cut[b] : cut[b + 1]].astype("<u4")) for b in some], pa.binary())],
+                        ["bucket", "group", "n", "k", "c"],
                     )
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(of: tuple[int, int], held: list) -> pa.RecordBatch:
             parts = [_unpack_keys(x[1]) for x in held]
-            k, n = np.concatenate(parts), np.concatenate([_unpack(x[2], "<u4") for x in held])
-            _, at = np.unique(k, return_inverse=True)
-            total = np.bincount(at, weights=n).astype("<u8")[at]
+            own = np.concatenate([_unpack(x[2], "<u4") for x in held])
+            _, at = np.unique(np.concatenate(parts), return_inverse=True)
+            rest = (np.bincount(at, weights=own)[at] - own).astype("<u8")
             ends = np.cumsum([len(x) for x in parts])[:-1]
-            return pa.RecordBatch.from_arrays([pa.array([x[0] for x in held], pa.int64()), pa.array([of[1]] * len(held), pa.int32()), pa.array([of[0]] * len(held), pa.int32()), pa.array([_pack(x) for x in np.split(total, ends)], pa.binary())], ["group", "kind", "bucket", "counts"])
+            return pa.RecordBatch.from_arrays([pa.array([x[0] for x in held], pa.int64()), pa.array([of[1]] * len(held), pa.int32()), pa.array([of[0]] * len(held), pa.int32()), pa.array([_pack(x) for x in np.split(rest, ends)], pa.binary())], ["group", "n", "bucket", "counts"])
 
         now, held = None, []
         for batch in batches:
-            for b, group, kind, k, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (b, kind) != now and held:
+            for b, group, n, k, c in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (b, n) != now and held:
                     yield flush(now, held)
                     held = []
-                now = (b, kind)
-                held.append((group, k, n))
+                now = (b, n)
+                held.append((group, k, c))
         if held:
             yield flush(now, held)
 
-    asked = groups.select("group", "sizes", "words", "places").mapInArrow(ask, "bucket int, group long, kind int, k binary, n binary")
-    return asked.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(answer, "group long, kind int, bucket int, counts binary")
+    asked = groups.select("group", "sizes", "words", "places").mapInArrow(ask, "bucket int, group long, n int, k binary, c binary")
+    return asked.repartition(buckets, "bucket").sortWithinPartitions("bucket", "n").mapInArrow(answer, "group long, n int, bucket int, counts binary")
+
+
+def _elsewhere(keys: np.ndarray, rest: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """How often each n-gram occurs outside its document; ``rest``: outside the group, by
+    distinct key in order."""
+    _, at, c = np.unique(keys, return_inverse=True, return_counts=True)
+    _, pair, own = np.unique(doc * np.int64(len(c)) + at, return_inverse=True, return_counts=True)
+    return rest[at].astype(np.int64) + c[at] - own[pair]
 
 
-def score(docs: DataFrame, *, min_count: int = MIN_COUNT, backoff: float = BACKOFF, buckets: int | None = None) -> DataFrame:
-    """doc_id, n_words, n_backoff (words scored without their context), score."""
+def score(docs: DataFrame, *, order: int = ORDER, backoff: float = BACKOFF, unseen: float = UNSEEN, bits: int | None = None) -> DataFrame:
+    """doc_id, n_words, n_backoff, score of every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
-    buckets = buckets or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     groups = materialize(gather(docs), "groups")
     total = groups.select(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
-    answers = count_tables(groups, buckets).groupBy("group").agg(F.collect_list(F.struct("kind", "bucket", "counts")).alias("answers"))
+    if bits is None:
+        bits = (max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_WORDS)) - 1).bit_length()
+    answers = count_tables(groups, order, bits).groupBy("group").agg(F.collect_list(F.struct("n", "bucket", "counts")).alias("answers"))
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for ids, sizes, words, places, found in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-                _, at, h, sizes = _group(words, places, sizes)
-                keys, inside = _bigrams(h, sizes)
-                got = {kind: np.concatenate([np.empty(0, "<u8"), *[_unpack(x["counts"], "<u8") for x in sorted((x for x in found or [] if x["kind"] == kind), key=lambda x: x["bucket"])]]) for kind in (1, 2)}
-                own = got[1][at].astype(np.float64) if len(at) else np.empty(0)
-                pair = np.zeros(len(h))
-                if inside.any():
-                    pair[inside] = got[2][np.unique(keys[inside], return_inverse=True)[1]]
-                seen = pair >= min_count
-                before = np.concatenate([own[:1], own[:-1]])
-                with np.errstate(divide="ignore"):
-                    value = np.where(seen, np.log(pair) - np.log(before), np.log(own) - np.log(max(total, 1)) + np.where(inside, np.log(backoff), 0.0))
+                _, _, h, sizes = _group(words, places, sizes)
+                doc = np.repeat(np.arange(len(sizes)), sizes)
+                value, seen, level = np.zeros(len(h)), np.zeros(len(h), bool), np.zeros(len(h), np.int64)
+                context = (total - sizes)[doc].astype(np.float64)  # words outside the document
+                for n, (inside, keys) in enumerate(_keys(h, sizes, order, bits), 1):
+                    got = [_unpack(x["counts"], "<u8") for x in sorted((x for x in found or [] if x["n"] == n), key=lambda x: x["bucket"])]
+                    rest = np.zeros(len(h), np.int64)
+                    rest[inside] = _elsewhere(keys, np.concatenate([np.empty(0, "<u8"), *got]), doc[inside])
+                    hit = inside & (rest > 0) if n > 1 else inside
+                    count = np.maximum(rest, unseen) if n == 1 else rest
+                    value[hit] = np.log(count[hit]) - np.log(np.maximum(context[hit], 1))
+                    level[hit], seen[inside] = n, hit[inside]
+                    context = np.concatenate([[0.0], rest[:-1]])[: len(h)]  # what the next word stands behind
+                most = np.minimum(np.arange(len(h)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + 1, order)
+                value += (most - level) * np.log(backoff)
                 ends = np.concatenate([[0], np.cumsum(sizes)])
                 sums = [float(value[a:b].sum()) / (b - a) if b > a else None for a, b in zip(ends, ends[1:], strict=False)]
-                back = np.concatenate([[0], np.cumsum(inside & ~seen)])
+                back = np.concatenate([[0], np.cumsum(~seen)])
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes), pa.array(np.diff(back[ends]).astype(np.int64)), pa.array(sums, pa.float64())], ["doc_id", "n_words", "n_backoff", "score"])
 
     return groups.join(answers, "group", "left").select("doc_ids", "sizes", "words", "places", "answers").mapInArrow(look_up, "doc_id long, n_words long, n_backoff long, score double")
 
 
 ORACLE = f"""
-WITH w AS (SELECT doc_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
-t AS (SELECT doc_id, i, ws[i] AS w, CASE WHEN i > 1 THEN ws[i - 1] END AS p FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM w)),
-u AS (SELECT w, count(*) AS c FROM t GROUP BY w),
-b AS (SELECT p, w, count(*) AS c FROM t WHERE p IS NOT NULL GROUP BY p, w HAVING count(*) >= {MIN_COUNT}),
-s AS (SELECT t.doc_id, (t.p IS NOT NULL AND b.c IS NULL) AS back,
-        CASE WHEN b.c IS NOT NULL THEN ln(b.c) - ln(up.c) ELSE ln(u.c) - ln((SELECT sum(c) FROM u)) + CASE WHEN t.p IS NULL THEN 0 ELSE ln({BACKOFF}) END END AS v
-      FROM t JOIN u ON u.w = t.w LEFT JOIN u AS up ON up.w = t.p LEFT JOIN b ON b.p = t.p AND b.w = t.w)
+WITH w AS (SELECT doc_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+t AS (SELECT doc_id, i, len(ws) AS size, ws[i] AS w, CASE WHEN i > 1 THEN ws[i - 1] END AS v, CASE WHEN i > 2 THEN ws[i - 2] END AS u FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM w)),
+c AS (SELECT *, (SELECT count(*) FROM t) - size AS c0,
+        count(*) OVER (PARTITION BY w) - count(*) OVER (PARTITION BY doc_id, w) AS c1,
+        CASE WHEN i > 1 THEN count(*) OVER (PARTITION BY v, w) - count(*) OVER (PARTITION BY doc_id, v, w) END AS c2,
+        CASE WHEN i > 2 THEN count(*) OVER (PARTITION BY u, v, w) - count(*) OVER (PARTITION BY doc_id, u, v, w) END AS c3 FROM t),
+p AS (SELECT *, lag(c1) OVER (PARTITION BY doc_id ORDER BY i) AS p1, lag(c2) OVER (PARTITION BY doc_id ORDER BY i) AS p2 FROM c),
+s AS (SELECT doc_id, CASE WHEN c3 > 0 THEN 3 WHEN c2 > 0 THEN 2 ELSE 1 END < least(i, 3) AS back,
+        CASE WHEN c3 > 0 THEN ln(c3) - ln(p2) WHEN c2 > 0 THEN ln(c2) - ln(p1) ELSE ln(greatest(c1, {UNSEEN})) - ln(greatest(c0, 1)) END
+        + (least(i, 3) - CASE WHEN c3 > 0 THEN 3 WHEN c2 > 0 THEN 2 ELSE 1 END) * ln({BACKOFF}) AS v FROM p)
 SELECT d.doc_id, count(s.doc_id) AS n_words, CAST(coalesce(sum(CAST(back AS INT)), 0) AS BIGINT) AS n_backoff, round(avg(v), 6) AS score
 FROM documents d LEFT JOIN s ON s.doc_id = d.doc_id GROUP BY d.doc_id
 """

@@ -12,7 +12,7 @@ a linked pair meets in some segment.  m + d = H + 1 + slack, so each node may le
 probes worth ``slack``, a deletion or an exact probe behind the first d segments at one each:
 by cost, first what is empty, then those whose subset most others have.
 
-1. Every text is split and hashed once; its set is written beside its row, once per task.
+1. Every text gets its node and size; each node, histograms of its set.
 2. Keys and nodes are dealt into buckets of keys, packed, as many as the sets call for; a
    bucket yields the keys that several nodes share.
 3. In ROUNDS rounds, each node is held against one hub of its keys.  Linked ones form
@@ -25,7 +25,8 @@ A histogram counts a set's elements by hash in bins of about PER_BIN; the distan
 at most the difference of the sets.  A shingle is a 64-bit hash, a node the 64-bit hash of
 its set, which a second one guards against collisions; verification compares the sets
 themselves: those of one component are held together, HELD shingles at a time, and a set is
-sent to each such part once, however many pairs it has there.
+sent to each such part once, however many pairs it has there.  Sets are not stored, which would
+take more room than the texts, but hashed again from the texts that stand for their nodes.
 
 Defined results: null text, empty text and text without a word have no shingles, no link and
 are their own component; fewer than five words make one shingle; repeated rows and texts are
@@ -60,9 +61,9 @@ HELD, GROUP = 1 << 21, 512
 #: Indexed nodes of a key that are held together.
 BLOCK = 2048
 #: Rounds that hold nodes against one hub each, before all pairs left are.
-ROUNDS = 3
+ROUNDS = 2
 #: Shingles that a bucket of keys gets, and keys that are packed at a time.
-BUCKET_SHINGLES, PACKED_KEYS = 1 << 22, 1 << 20
+BUCKET_SHINGLES, PACKED_KEYS = 1 << 21, 1 << 20
 _MASK = (1 << 64) - 1
 
 
@@ -75,22 +76,83 @@ def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        self[word] = h = xxhash.xxh64_intdigest(word)
-        return h
-
-
-_HASHES = _WordHashes()
+#: Bytes that are split into words at a time; words longer than LONG_WORD are hashed alone.
+PIECE, LONG_WORD = 1 << 16, 1 << 12
+_BLANK = np.isin(np.arange(256), np.frombuffer(b" \t\n\x0b\x0c\r", np.uint8))
+
+
+@lru_cache(maxsize=1)
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd base, and of its inverse, modulo 2**64."""
+    base, n = 0x9E3779B97F4A7C15, 2 * PIECE
+    out = []
+    for x in (base, pow(base, -1, 1 << 64)):
+        p = np.full(n, x, np.uint64)
+        p[0] = 1
+        out.append(np.multiply.accumulate(p))
+    return out[0], out[1]
+
+
+def _hashed(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of lower-case bytes, and where each begins.
+
+    A word's hash is the difference of two running sums, each byte times a power that its
+    place gives, brought to the word's beginning."""
+    power, inverse = _powers()
+    n = len(data)
+    if n > len(power):  # one word is that long
+        words = data.split()
+        alone = [xxhash.xxh64_intdigest(w) if len(w) > LONG_WORD else int(_hashed(w)[0][0]) for w in words]
+        return np.array(alone, np.uint64), np.zeros(len(words), np.int64)
+    code = np.frombuffer(data, np.uint8)
+    solid = np.zeros(n + 2, bool)
+    np.logical_not(_BLANK[code], out=solid[1:-1])
+    edges = np.flatnonzero(solid[1:] != solid[:-1])
+    begin, end = edges[::2], edges[1::2]
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum((code + np.uint64(1)) * power[:n], out=sums[1:])
+    h = mix((sums[end] - sums[begin]) * inverse[np.minimum(begin, max(n - 1, 0))])
+    for i in np.flatnonzero(end - begin > LONG_WORD).tolist():
+        h[i] = xxhash.xxh64_intdigest(data[begin[i] : end[i]])
+    return h, begin
+
+
+def word_hashes(texts: list[str | None]) -> list[np.ndarray]:
+    """Hashes of each text's words; bytes lower-case only A-Z and split at exactly the six blanks."""
+    out: list[np.ndarray] = []
+    held, size = [], 0
+
+    def flush() -> None:
+        h, begin = _hashed(b"\n".join(held))
+        ends = np.searchsorted(begin, np.cumsum([len(d) + 1 for d in held]))
+        out.extend(np.split(h, ends[:-1]))
+
+    for t in texts:
+        data = (t or "").encode("utf-8", "surrogatepass").lower()
+        if size and size + len(data) > PIECE:
+            flush()
+            held, size = [], 0
+        if len(data) <= PIECE:
+            held.append(data)
+            size += len(data) + 1
+            continue
+        parts, at = [], 0
+        while at < len(data):
+            end = min(at + PIECE, len(data))
+            while end < len(data) and not _BLANK[data[end]]:
+                end += 1
+            parts.append(_hashed(data[at:end])[0])
+            at = end
+        out.append(np.concatenate(parts))
+    if held:
+        flush()
+    return out
 
 
 def shingles(texts: list[str | None], n: int = WORDS) -> list[np.ndarray]:
-    """Each text's sorted distinct hashes of n-word shingles; bytes lower-case only A-Z and
-    split at exactly the six blanks."""
-    if len(_HASHES) > 1 << 18:
-        _HASHES.clear()
-    words = [(t or "").encode().lower().split() for t in texts]
-    h = np.array([_HASHES[w] for ws in words for w in ws], np.uint64)
+    """Each text's sorted distinct hashes of n-word shingles."""
+    words = word_hashes(texts)
+    h = np.concatenate([np.empty(0, np.uint64), *words])
     rolled = np.zeros(len(h), np.uint64)
     factor = 1
     for i in range(min(n, len(h))):  # a polynomial of the words' hashes, odd base
@@ -105,7 +167,7 @@ def shingles(texts: list[str | None], n: int = WORDS) -> list[np.ndarray]:
             out.append(one[np.concatenate([[True], one[1:] != one[:-1]])])
         elif k:  # the whole sequence as one
             x = np.uint64(k)
-            for w in h[at : at + k]:
+            for w in ws:
                 x = mix(np.array([x ^ w]), k)[0]
             out.append(np.array([x], np.uint64))
         else:
@@ -204,6 +266,10 @@ def histogram(h: np.ndarray) -> np.ndarray:
     return np.minimum(np.bincount((mix(h, 15) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8)
 
 
+def coarse(h: np.ndarray) -> np.ndarray:
+    return np.minimum(np.bincount((mix(h, 15) >> np.uint64(64 - LEAST_BITS)).astype(np.int64), minlength=1 << LEAST_BITS), 255).astype(np.uint8)
+
+
 def _folded(hist: np.ndarray, bins: int) -> np.ndarray:
     """Rows of histograms with neighbouring bins added up to ``bins``."""
     wide = hist.astype(np.int32)
@@ -224,92 +290,103 @@ def node_of(h: np.ndarray, seed: int) -> int:
 
 
 def fingerprints(docs: DataFrame, n: int, seed: int) -> DataFrame:
-    """doc_id, n_shingles, node (null without shingles) and guard of every row; uid, hist and
-    the set itself (h) only with the first row of each node that a task meets."""
-    from pyspark import TaskContext
+    """doc_id, text_hash, n_shingles, node (null without shingles) and guard of every row; the
+    histograms only with the first row of each node that a task meets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        uid, met = TaskContext.get().partitionId() << 33, set()
+        met: set[int] = set()
         for batch in batches:
             at = 0
-            for texts in groups(strings(batch.column(1))):
+            for texts in groups(strings(batch.column(2))):
                 sets = shingles(texts, n)
                 node = [node_of(h, seed) if len(h) else None for h in sets]
                 guard = [node_of(h, 99) for h in sets]
-                uids, hists, packed = [], [], []
-                if len(met) > 1 << 20:
+                if len(met) > 1 << 18:
                     met.clear()
+                hists, rough = [], []
                 for x, h in zip(node, sets, strict=True):
                     new = x is not None and x not in met
                     if new:
                         met.add(x)
-                        uid += 1
-                    uids.append(uid if new else None)
                     hists.append(histogram(h).tobytes() if new else None)
-                    packed.append(h.tobytes() if new else None)
+                    rough.append(coarse(h).tobytes() if new else None)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, len(texts)), pa.array([len(h) for h in sets], pa.int64()), pa.array(node, pa.int64()), pa.array(guard, pa.int64()), pa.array(uids, pa.int64()), pa.array(hists, pa.binary()), pa.array(packed, pa.binary())],
-                    ["doc_id", "n_shingles", "node", "guard", "uid", "hist", "h"],
+                    [*(batch.column(i).slice(at, len(texts)) for i in (0, 1)), pa.array([len(h) for h in sets], pa.int64()), pa.array(node, pa.int64()), pa.array(guard, pa.int64()), pa.array(hists, pa.binary()), pa.array(rough, pa.binary())],
+                    ["doc_id", "text_hash", "n_shingles", "node", "guard", "hist", "coarse"],
                 )
                 at += len(texts)
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, node long, guard long, uid long, hist binary, h binary")
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, "doc_id long, text_hash long, n_shingles long, node long, guard long, hist binary, coarse binary")
 
 
-def shared_keys(prints: DataFrame, percent: int, buckets: int) -> DataFrame:
-    """key, node, flags, others: of every key that several nodes have and one probes."""
+def shared_keys(docs: DataFrame, n: int, percent: int, seed: int, buckets: int) -> DataFrame:
+    """key, node, flags, others: of every key that several nodes have and one probes.
+
+    A key travels as the 40 bits behind those that choose its bucket; keys that agree in them
+    by chance meet for nothing."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, nodes, left = [], 0, [], []
+        met: set[int] = set()  # copies within a task are indexed once
 
         def flush() -> pa.RecordBatch:
             k, f = (np.concatenate([x[i] for x in held]) for i in (0, 1))
             who = np.repeat(np.arange(len(held), dtype=np.uint16), [len(x[0]) for x in held])
-            at = ((k >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+            at = ((k >> np.uint64(40)) % np.uint64(buckets)).astype(np.int32)
             order = np.argsort(at, kind="stable")
-            k, f, who = k[order], f[order], who[order]
+            k = np.ascontiguousarray(k[order].view(np.uint8).reshape(-1, 8)[:, :5])
+            f, who = f[order], who[order]
             ends = np.searchsorted(at[order], np.arange(buckets + 1))
             found = np.flatnonzero(ends[:-1] < ends[1:]).tolist()
             own, room = np.array(nodes, np.int64), np.array(left, np.int32)
             rows: list[list[bytes]] = [[], [], [], [], []]
             for b in found:
                 part = slice(ends[b], ends[b + 1])
-                some, place = np.unique(who[part], return_inverse=True)
-                for column, x in zip(rows, (k[part], f[part], place.astype(np.uint16), own[some], room[some]), strict=True):
+                w = who[part]  # in order
+                first = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
+                count = np.diff(np.append(first, len(w))).astype(np.int32)
+                for column, x in zip(rows, (k[part], f[part], count, own[w[first]], room[w[first]]), strict=True):
                     column.append(x.tobytes())
-            return pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), *[pa.array(r, pa.binary()) for r in rows]], ["bucket", "k", "f", "who", "nodes", "room"])
+            return pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), *[pa.array(r, pa.binary()) for r in rows]], ["bucket", "k", "f", "count", "nodes", "room"])
 
         for batch in batches:
-            for node, packed in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                h = np.frombuffer(packed.as_buffer(), np.uint64)
-                place, value = ordered(h)
-                found = bands(1 << max(8, len(h).bit_length()), percent)
-                for band, probe_only in schemes(len(h), percent):
-                    k, f = signatures(place, value, band, found[band], probe_only)
-                    held.append((k, (f & ((1 << _LEFT) - 1)).astype(np.uint8)))
-                    nodes.append(node)
-                    left.append(int(f[0]) >> _LEFT)
-                    size += len(k)
-                if size >= PACKED_KEYS or len(held) > 60_000:
-                    yield flush()
-                    held, size, nodes, left = [], 0, [], []
+            for texts in groups(strings(batch.column(0))):
+                for h in shingles(texts, n):
+                    if not len(h) or (node := node_of(h, seed)) in met:
+                        continue
+                    if len(met) > 1 << 18:
+                        met.clear()
+                    met.add(node)
+                    place, value = ordered(h)
+                    found = bands(1 << max(8, len(h).bit_length()), percent)
+                    for band, probe_only in schemes(len(h), percent):
+                        k, f = signatures(place, value, band, found[band], probe_only)
+                        held.append((k, (f & ((1 << _LEFT) - 1)).astype(np.uint8)))
+                        nodes.append(node)
+                        left.append(int(f[0]) >> _LEFT)
+                        size += len(k)
+                    if size >= PACKED_KEYS or len(held) > 60_000:
+                        yield flush()
+                        held, size, nodes, left = [], 0, [], []
         if held:
             yield flush()
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush(rows: list) -> pa.RecordBatch:
-            k = np.frombuffer(b"".join(r[0] for r in rows), np.uint64)
-            f = np.frombuffer(b"".join(r[1] for r in rows), np.uint8).astype(np.int32)
-            who = [np.frombuffer(r[2], np.uint16) for r in rows]
-            v = np.concatenate([np.frombuffer(r[3], np.int64)[w] for r, w in zip(rows, who, strict=True)])
-            f |= np.concatenate([np.frombuffer(r[4], np.int32)[w] for r, w in zip(rows, who, strict=True)]) << _LEFT
-            rows.clear()
+        def flush(bucket: int, rows: list) -> pa.RecordBatch:
+            raw = np.frombuffer(b"".join(r[0] for r in rows), np.uint8).reshape(-1, 5)
+            k = np.full((len(raw), 8), 0, np.uint8)
+            k[:, :5] = raw
+            k = k.view(np.uint64).reshape(-1)
             order = np.argsort(k)
             k = k[order]
             some = np.ones(len(k), bool)  # keys that occur twice at all; the others go at once
             some[1:-1] = (k[1:-1] == k[:-2]) | (k[1:-1] == k[2:])
             k, order = k[some], order[some]
-            v, f = v[order], f[order]
+            counts = np.cumsum(np.frombuffer(b"".join(r[2] for r in rows), np.int32), dtype=np.int64)
+            at = np.searchsorted(counts, order, side="right")
+            v = np.frombuffer(b"".join(r[3] for r in rows), np.int64)[at]
+            f = np.frombuffer(b"".join(r[1] for r in rows), np.uint8)[order].astype(np.int32)
+            f |= np.frombuffer(b"".join(r[4] for r in rows), np.int32)[at] << _LEFT
             order = np.lexsort((v, k))
             k, v, f = k[order], v[order], f[order]
             first = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (v[1:] != v[:-1])])[: len(k)])  # copies from other tasks
@@ -322,44 +399,61 @@ def shared_keys(prints: DataFrame, percent: int, buckets: int) -> DataFrame:
             if len(k):
                 index = np.logical_or.reduceat((f & PROBE_ONLY) == 0, start)
                 keep = np.repeat((size > 1) & index & np.logical_or.reduceat((f & PROBES) > 0, start), size)
-            return pa.RecordBatch.from_arrays([pa.array(k[keep].view(np.int64)), pa.array(v[keep]), pa.array(f[keep]), pa.array(np.repeat(size, size)[keep].astype(np.int64))], ["key", "node", "flags", "others"])
+            key = mix(k[keep] ^ np.uint64(bucket << 40), 17).view(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(key), pa.array(v[keep]), pa.array(f[keep]), pa.array(np.repeat(size, size)[keep].astype(np.int64))], ["key", "node", "flags", "others"])
 
         now, rows = None, []
         for batch in batches:
             for b, *x in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if b != now and rows:
-                    yield flush(rows)
+                    yield flush(now, rows)
                     rows = []
                 now = b
                 rows.append(x)
         if rows:
-            yield flush(rows)
+            yield flush(now, rows)
 
-    packed = prints.filter("uid is not null").select("node", "h").mapInArrow(pack, "bucket int, k binary, f binary, who binary, nodes binary, room binary")
+    packed = docs.select("text").mapInArrow(pack, "bucket int, k binary, f binary, count binary, nodes binary, room binary")
     return packed.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(unpack, "key long, node long, flags int, others long")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, prints: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, percent: int, seed: int) -> DataFrame:
     """Links (a, b) among node pairs (a, b, g), where g is the component of b: one for each a
     and part of g that has any.
 
     The sets of a component's nodes b are held together in parts of HELD shingles; an a is
     sent to each part that it has pairs in, and the part to one task for every GROUP of them.
     """
-    own = nodes.select("node", "uid", "n")
+    own = nodes.select("node", "rep", "text_hash", "n")
     hosts = pairs.select("g", F.col("b").alias("node")).distinct().join(own, "node")
     room = hosts.groupBy("g").agg(F.ceil(F.sum("n") / HELD).cast("int").alias("parts"))
-    hosts = materialize(hosts.join(room, "g").select("g", "node", "uid", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part")), "hosts")
+    hosts = materialize(hosts.join(room, "g").select("g", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), "node", "rep", "text_hash"), "hosts")
     guests = pairs.join(hosts.select("g", F.col("node").alias("b"), "part"), ["g", "b"]).groupBy(F.col("a").alias("node"), "g", "part").agg(F.collect_list("b").alias("bs"))
-    guests = materialize(guests.join(own, "node").select("g", "part", "node", "uid", "bs"), "guests")
+    guests = materialize(guests.join(own, "node").select("g", "part", "node", "rep", "text_hash", "bs"), "guests")
     many = guests.groupBy("g", "part").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("salts"))
-    sent = guests.join(many, ["g", "part"]).select("uid", "g", "part", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int").alias("salt"), F.lit(True).alias("guest"), "node", "bs")
-    kept = hosts.join(many, ["g", "part"]).select("uid", "g", "part", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(False).alias("guest"), "node", F.lit(None).cast("array<long>").alias("bs"))
+    sent = guests.join(many, ["g", "part"]).select("g", "part", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int").alias("salt"), F.lit(True).alias("guest"), "node", "bs", "rep", "text_hash")
+    kept = hosts.join(many, ["g", "part"]).select("g", "part", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(False).alias("guest"), "node", F.lit(None).cast("array<long>").alias("bs"), "rep", "text_hash")
     meets = materialize(sent.unionByName(kept), "meets")
     size = meets.agg((4 * F.count("*") + F.coalesce(F.sum(F.size("bs")), F.lit(0))).alias("x")).first().x
     if size <= BROADCAST_IDS:
         meets = F.broadcast(meets)
 
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[tuple] = set()  # rows that agree in doc_id and text send their set once a task
+        for batch in batches:
+            at = 0
+            ids = list(zip(*(batch.column(i).to_pylist() for i in (0, 1, 2, 4)), strict=True))
+            for texts in groups(strings(batch.column(6))):
+                here = ids[at : at + len(texts)]
+                new = [i for i, x in enumerate(here) if x not in done and not done.add(x)]
+                own_sets = shingles([texts[i] for i in new], n)
+                keep = [(i, h) for i, h in zip(new, own_sets, strict=True) if len(h) and node_of(h, seed) == here[i][3]]
+                places = pa.array([at + i for i, _ in keep], pa.int64())
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).take(places) for i in range(6)), pa.array([h.tobytes() for _, h in keep], pa.binary())], ["g", "part", "salt", "guest", "node", "bs", "h"])
+                at += len(texts)
+            if len(done) > 1 << 18:
+                done.clear()
+
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, {}
         for batch in batches:
@@ -382,9 +476,11 @@ def _verified(pairs: DataFrame, nodes: DataFrame, prints: DataFrame, percent: in
                         break  # all of g are one component already
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = prints.filter("uid is not null").select("uid", "h").join(meets, "uid").select("g", "part", "salt", "guest", "node", "bs", "h")
-    return materialize(rows.repartition(tasks, "g", "part", "salt").sortWithinPartitions("g", "part", "salt", "guest").mapInArrow(linked, "a long, b long"), "links")
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = docs.select(F.col("doc_id").alias("rep"), F.xxhash64("text").alias("text_hash"), "text").alias("d").join(meets.alias("m"), (F.col("d.text_hash") == F.col("m.text_hash")) & F.col("d.rep").eqNullSafe(F.col("m.rep")))
+    schema = "g long, part int, salt int, guest boolean, node long, bs array<long>, "
+    sent = rows.select("g", "part", "salt", "guest", "node", "bs", "text").mapInArrow(sets, schema + "h binary")
+    return materialize(sent.repartition(tasks, "g", "part", "salt").sortWithinPartitions("g", "part", "salt", "guest").mapInArrow(linked, "a long, b long"), "links")
 
 
 def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -404,46 +500,44 @@ def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return materialize(rows.select("a", "b", "g", "x", "y", "na", "nb").mapInArrow(run, "a long, b long, g long"), "possible")
 
 
-def _rooted(shared: DataFrame, roots: DataFrame | None) -> DataFrame:
+def _probing(shared: DataFrame) -> DataFrame:
+    """key, node, probes, indexes, w: each node leaves out those of its probes that most others
+    have, as far as its slack goes; w is how much it shares."""
+    droppable = F.col("flags").bitwiseAND(DROPPABLE + PROBES) == DROPPABLE + PROBES
+    scheme = [F.col("node"), F.col("flags").bitwiseAND(PROBE_ONLY), F.shiftright("flags", _LEFT)]
+    rank = F.row_number().over(Window.partitionBy(*scheme, droppable).orderBy(F.desc("others"), "key"))
+    dropped = droppable & (rank <= F.shiftright("flags", _LEFT))
+    probes = (F.col("flags").bitwiseAND(PROBES) > 0) & ~dropped
+    indexes = F.col("flags").bitwiseAND(PROBE_ONLY) == 0
+    rows = shared.select("key", "node", probes.alias("probes"), indexes.alias("indexes"), F.sum("others").over(Window.partitionBy("node")).alias("w"))
+    return rows.filter("probes or indexes")
+
+
+def _meeting(rows: DataFrame, roots: DataFrame | None, salt: int) -> DataFrame:
+    """Rows of the keys that are probed, and in which components meet, with the node's component
+    (root) and the key's hub: at first the node that shares most, later any one by hash."""
+    rows = rows.select("key", "node", "probes", "indexes", "w")
     if roots is None:
-        return shared.withColumn("root", F.col("node"))
-    return shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-
-
-def _mixed(marked: DataFrame) -> DataFrame:
-    """Keys in which several components meet."""
-    return marked.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2").select("key")
+        rows = rows.withColumn("root", F.col("node"))
+    else:
+        rows = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    order = F.struct(F.xxhash64("node", F.lit(salt)), "node") if salt else F.struct("w", "node")
+    of = rows.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.max("probes").alias("probed"), F.max("indexes").alias("indexed"), F.count("*").alias("many"), F.max_by(F.struct("node", "root"), order).alias("hub"))
+    return rows.join(of.filter("r1 <> r2 and probed and indexed").select("key", "many", "hub"), "key")
 
 
-def _probing(shared: DataFrame) -> DataFrame:
-    """Marks the probes each node leaves out: those of its keys that most others have."""
-    droppable = F.col("flags").bitwiseAND(DROPPABLE + PROBES) == DROPPABLE + PROBES
-    probe_only = F.col("flags").bitwiseAND(PROBE_ONLY)
-    order = Window.partitionBy("node", probe_only, F.shiftright("flags", _LEFT), droppable).orderBy(F.desc("others"), "key")
-    rank = F.row_number().over(order)
-    drops = droppable & (rank <= F.shiftright("flags", _LEFT))
-    return shared.withColumn("drops", drops).withColumn("probes", (F.col("flags").bitwiseAND(PROBES) > 0) & ~F.col("drops")).drop("drops")
-
-
-def _stars(marked: DataFrame, first: bool, salt: int) -> DataFrame:
-    """(a, b, g): for each node, the hub b of most of its keys that is of another component g.
-    A key's hub is, in the first round, the node that shares most keys, then any by hash."""
-    order = F.struct(F.xxhash64("node", F.lit(salt)), F.col("node"))
-    if first:
-        weight = marked.groupBy("node").agg(F.sum("others").alias("w"))
-        marked, order = marked.join(weight, "node"), F.struct("w", "node")
-    hubs = marked.groupBy("key").agg(F.max_by(F.struct("node", "root"), order).alias("hub"))
-    met = marked.join(hubs, "key").filter("root <> hub.root").groupBy("node", F.col("hub.node").alias("b"), F.col("hub.root").alias("g")).agg(F.count("*").alias("c"))
+def _stars(met: DataFrame) -> DataFrame:
+    """(a, b, g): for each node, the hub b of most of its keys that is of another component g."""
+    met = met.filter("root <> hub.root").groupBy("node", F.col("hub.node").alias("b"), F.col("hub.root").alias("g")).agg(F.count("*").alias("c"))
     return met.groupBy(F.col("node").alias("a")).agg(F.max_by(F.struct("b", "g"), F.struct("c", "b")).alias("best")).select("a", "best.b", "best.g")
 
 
 def _met(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b, g) of different components that meet in a key which the larger one, a,
-    probes and b indexes, as far as sizes and histograms allow; some more than once."""
-    many = rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
-    rows = rows.join(many, "key")
-    columns = ["node", "root", "n", "hist"]
-    index = rows.filter(F.col("flags").bitwiseAND(PROBE_ONLY) == 0).select("key", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), F.lit(False).alias("guest"), *columns)
+    probes and b indexes, as far as sizes and coarse histograms allow; some more than once."""
+    rows = rows.withColumn("parts", F.ceil(F.col("many") / BLOCK).cast("int"))
+    columns = ["node", "root", "n", "coarse"]
+    index = rows.filter("indexes").select("key", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), F.lit(False).alias("guest"), *columns)
     guests = rows.filter("probes").select("key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(True).alias("guest"), *columns)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -456,18 +550,14 @@ def _met(rows: DataFrame, percent: int) -> DataFrame:
                 if not guest:
                     held.append((node, root, n, hist))
                     continue
-                if ready is None:  # by number of bins
-                    ready = []
-                    for bins in {len(x[3]) for x in held}:
-                        some = [x for x in held if len(x[3]) == bins]
-                        ready.append((*(np.array([x[i] for x in some], np.int64) for i in range(3)), np.frombuffer(b"".join(x[3] for x in some), np.uint8).reshape(-1, bins)))
-                one = np.frombuffer(hist, np.uint8)
-                for nodes, roots, sizes, hists in ready:
-                    at = np.flatnonzero(((sizes < n) | ((sizes == n) & (nodes < node))) & (roots != root) & (100 * sizes >= percent * n))
-                    if len(at):
-                        at = at[distance(hists[at], one) <= _most_different(np.int64(n), sizes[at], percent)]
-                    if len(at):
-                        found.append((np.full(len(at), node, np.int64), nodes[at], roots[at]))
+                if ready is None:
+                    ready = [np.array([x[i] for x in held], np.int64) for i in range(3)], np.frombuffer(b"".join(x[3] for x in held), np.uint8).reshape(-1, 1 << LEAST_BITS)
+                (nodes, roots, sizes), hists = ready
+                at = np.flatnonzero(((sizes < n) | ((sizes == n) & (nodes < node))) & (roots != root) & (100 * sizes >= percent * n))
+                if len(at):
+                    at = at[distance(hists[at], np.frombuffer(hist, np.uint8)) <= _most_different(np.int64(n), sizes[at], percent)]
+                if len(at):
+                    found.append((np.full(len(at), node, np.int64), nodes[at], roots[at]))
             arrays = [pa.array(np.concatenate([x[i] for x in found]) if found else np.empty(0, np.int64)) for i in range(3)]
             yield pa.RecordBatch.from_arrays(arrays, ["a", "b", "g"])
 
@@ -482,7 +572,7 @@ def link(docs: DataFrame, *, n: int = WORDS, percent: int = PERCENT, buckets: in
     docs = docs.select(docs.doc_id.cast("long").alias("doc_id"), docs.text)
     for seed in range(8):
         prints = materialize(fingerprints(docs, n, seed), "prints")
-        by_node = prints.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.min("n_shingles").alias("n2"), F.min("guard").alias("g1"), F.max("guard").alias("g2"), F.min("uid").alias("uid"), F.max("hist").alias("hist"))
+        by_node = prints.filter("node is not null").groupBy("node").agg(F.min_by("doc_id", F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_hash"))).alias("rep"), F.max("n_shingles").alias("n"), F.min("n_shingles").alias("n2"), F.min("guard").alias("g1"), F.max("guard").alias("g2"), F.min_by("text_hash", F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_hash"))).alias("text_hash"), F.max("hist").alias("hist"), F.max("coarse").alias("coarse"))
         nodes = materialize(by_node, "nodes")
         told = nodes.agg(F.count(F.when(F.expr("n <> n2 or g1 <> g2"), 1)).alias("bad"), F.coalesce(F.sum("n"), F.lit(0)).alias("shingles")).first()
         if not told.bad:
@@ -490,23 +580,18 @@ def link(docs: DataFrame, *, n: int = WORDS, percent: int = PERCENT, buckets: in
     else:
         raise ValueError("every seed has colliding sets")
     buckets = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-told.shingles // BUCKET_SHINGLES))
-    shared = materialize(shared_keys(prints, percent, buckets), "shared")
+    left = materialize(_probing(shared_keys(docs, n, percent, seed, buckets)), "shared")
 
     links, roots = spark.createDataFrame([], "a long, b long"), None
-    left = shared
     for k in range(ROUNDS):
-        marked = _rooted(left, roots)
-        left = materialize(marked.join(_mixed(marked), "key").drop("root"), "left")
-        stars = _possible(_stars(_rooted(left, roots), not k, k), nodes, percent)
-        links = links.unionByName(_verified(stars, nodes, prints, percent))
+        left = materialize(_meeting(left, roots, k), "left")
+        links = links.unionByName(_verified(_possible(_stars(left), nodes, percent), nodes, docs, n, percent, seed))
         roots = materialize(components(links), "roots")
 
-    # What meets in a key and is not yet together.
-    marked = _rooted(left, roots)
-    rows = _probing(materialize(marked.join(_mixed(marked), "key"), "mixed"))
-    rows = materialize(rows.join(nodes.select("node", "n", "hist"), "node").select("key", "node", "root", "n", "flags", "probes", "hist"), "rows")
-    more = materialize(_met(rows, percent).distinct(), "pairs")
-    together = components(links.unionByName(_verified(more, nodes, prints, percent)))
+    # What meets in a probed key and is not yet together.
+    rows = _meeting(left, roots, ROUNDS).join(nodes.select("node", "n", "coarse"), "node").select("key", "many", "node", "root", "n", "coarse", "probes", "indexes")
+    more = _possible(_met(materialize(rows, "rows"), percent).distinct(), nodes, percent)
+    together = components(links.unionByName(_verified(more, nodes, docs, n, percent, seed)))
 
     groups_ = nodes.select("node", "rep").join(together, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root"))
     least = groups_.groupBy("root").agg(F.min("rep").alias("component"))

@@ -398,19 +398,68 @@ def test_line_rules_base_counts_against_brute_force(spark):
 
 
 def test_backoff_scores_against_brute_force(spark):
-    docs = odd(spark).dropDuplicates(["doc_id"])
-    words = {i: (t or "").encode().lower().split() for i, t in enumerate(TEXTS)}
-    one = collections.Counter(w for ws in words.values() for w in ws)
-    two = collections.Counter(p for ws in words.values() for p in zip(ws, ws[1:], strict=False))
-    got = table(backoff_lm.score(docs, buckets=3))
-    for i, ws in words.items():
-        total = 0.0
-        for k, w in enumerate(ws):
-            pair = (ws[k - 1], w) if k else None
-            total += math.log(two[pair] / one[ws[k - 1]]) if two.get(pair, 0) >= 2 else math.log(one[w] / one.total()) + (math.log(0.4) if k else 0)
-        assert got[i].n_words == len(ws)
-        assert got[i].score == (pytest.approx(total / len(ws)) if ws else None)
-    assert backoff_lm.score(docs.limit(0), buckets=2).count() == 0
+    texts = [*TEXTS, "a b c d a b c", "a b c", "x a b c d", "z", "a b a b a b"]
+    docs = odd(spark, texts)  # one row twice
+    words = [(t or "").encode().lower().split() for t in [*texts, texts[3]]]
+    grams = [[collections.Counter(zip(*(ws[k:] for k in range(n)), strict=False)) for n in (1, 2, 3)] for ws in words]
+    whole = [sum((g[n] for g in grams), collections.Counter()) for n in range(3)]
+    for order, bits in ((1, 2), (2, 0), (3, None), (3, 5)):
+        got = table(backoff_lm.score(docs, order=order, bits=bits))
+        for i, t in enumerate(texts):
+            ws, total, back = words[i], 0.0, 0
+            rest = lambda g, i=i: whole[len(g) - 1][g] - grams[i][len(g) - 1][g]
+            for k in range(len(ws)):
+                most = min(k + 1, order)
+                for n in range(most, 0, -1):
+                    gram = tuple(ws[k - n + 1 : k + 1])
+                    if n == 1:
+                        total += math.log(max(rest(gram), 0.5) / max(1, sum(map(len, words)) - len(ws)))
+                    elif rest(gram):
+                        total += math.log(rest(gram) / rest(gram[:-1]))
+                    else:
+                        total += math.log(0.4)
+                        continue
+                    back += n < most
+                    break
+            assert (got[i].n_words, got[i].n_backoff) == (len(ws), back)
+            assert got[i].score == (pytest.approx(total / len(ws)) if ws else None)
+    assert backoff_lm.score(docs, bits=0).count() == len(texts) + 1
+    assert backoff_lm.score(docs.limit(0), bits=1).count() == 0
+
+
+def test_ranks_are_compared_place_by_place(spark):
+    texts = {1: ("der hund und die katze", "de"), 2: ("the dog and the cat", "en"), 3: ("le chien et le chat", "fr"), 4: ("the hund", "en"), 5: ("", "en"), 7: ("Straße über öl", "de"), 8: (None, "fr"), 9: ("12 ;", None), 10: ("the dog and the cat", "en")}
+    rows = [(i, t, lang) for i, (t, lang) in texts.items()]
+    docs = spark.createDataFrame(rows + rows[:2], "doc_id long, text string, lang string").repartition(2)
+    size = 12
+
+    def ranked(texts):
+        n = collections.Counter()
+        for t in texts:
+            for w in "".join(c if c.isalpha() else " " for c in (t or "").lower()).split():
+                n.update(w)  # single letters
+                n.update(x for x in zip(f" {w}", w, strict=False) if x[0] == " ")
+                n.update(x for x in zip(w, f"{w} "[1:], strict=False))
+                n.update(zip(f" {w}", w, f"{w} "[1:], strict=False))
+        code = lambda g: sum((0 if c == " " else ord(c)) << s for c, s in zip(g, {1: (0,), 2: (42, 0), 3: (42, 21, 0)}[len(g)], strict=True)) | (1 << 63 if len(g) == 1 else 0)
+        return [g for g, _ in sorted(n.items(), key=lambda x: (-x[1], code(x[0])))][:size]
+
+    learnt = collections.defaultdict(list)
+    for i, t, lang in rows + rows[:2]:
+        if lang and t is not None and zlib.crc32(str(i).encode()) % 4 != 2:
+            learnt[lang].append(t)
+    profiles = {lang: ranked(ts) for lang, ts in learnt.items()}
+    found = rank_language.predict(docs, rank_language.learn(docs, size), size).collect()
+    assert len(found) == len(rows) + 2
+    for r in found:
+        own = ranked([texts[r.doc_id][0]])
+        if not own:
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        far = {lang: sum(abs(p.index(g) - k) if g in p else size for k, g in enumerate(own)) for lang, p in profiles.items()}
+        best = min(sorted(far), key=far.get)
+        assert (r.lang_pred, r.score) == (best, pytest.approx(1 - far[best] / (size * len(own))))
+    assert rank_language.predict(docs.limit(0), rank_language.learn(docs.limit(0))).count() == 0
 
 
 def test_languages_are_told_apart_where_held_out(spark):
