@@ -50,6 +50,9 @@ _HEADER = struct.Struct("<4sIIII")
 # ---- encoding texts -------------------------------------------------------------------
 
 
+SPACE_CHAR = to_chars(b" ")
+
+
 class LibraryEncoder:
     """Ids of texts as the tokenizers library gives them without added special tokens.
 
@@ -69,7 +72,9 @@ class LibraryEncoder:
 
     def _matches(self, matches: list[str]) -> list[bytes]:
         run, code = self.tokenizer.model.tokenize, "H" if self.width == "<u2" else "I"
-        return [array(code, [t.id for t in run(to_chars(m.encode()))]).tobytes() for m in matches]
+        # ASCII letters stand for themselves.
+        chars = [SPACE_CHAR + m[1:] if m[0] == " " and m.isascii() else to_chars(m.encode()) for m in matches]
+        return [array(code, [t.id for t in run(c)]).tobytes() for c in chars]
 
     def _texts(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.width).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]

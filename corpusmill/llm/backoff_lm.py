@@ -19,7 +19,8 @@ BUCKET_WORDS words or fewer.  A key with any share of the corpus arrives already
 group.  The answers join their group, which looks up its own words.
 
 Words are runs of bytes other than the six ASCII blanks, A-Z in lower case; a word or n-gram
-is a hash of 48 bits besides those that choose its bucket.
+is a hash of KEY_BITS bits besides those that choose its bucket; two that agree by chance, some
+five in a hundred million, count as one.
 
 Defined results: null text, empty text and text without a word have n_words 0 and a null
 score; repeated rows are rows of their own, so that each one's n-grams occur elsewhere; an
@@ -46,7 +47,7 @@ UNSEEN = 0.5
 #: Words of a group of documents, and of the corpus for each bucket of hashes.
 GROUP_WORDS, BUCKET_WORDS = 1 << 21, 1 << 21
 #: Bits of a hash besides those that choose its bucket.
-KEY_BITS = 48
+KEY_BITS = 44
 
 
 def _pack(x: np.ndarray) -> bytes:
@@ -67,16 +68,15 @@ def _unpack_keys(packed: bytes) -> np.ndarray:
     return np.cumsum(_unpack(packed, "<u8"), dtype=np.uint64)
 
 
-def _keys(h: np.ndarray, sizes: np.ndarray, order: int, bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
+def _keys(h: np.ndarray, sizes: np.ndarray, order: int, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For each length: which words end an n-gram of it, and those n-grams' keys."""
     place = np.arange(len(h)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    out, key = [], mix(h, 20)
+    key = mix(h, 20)
     for n in range(1, order + 1):
         if n > 1:
             key = mix(np.concatenate([key[:1], key[:-1]]) ^ mix(h, 20 + n), 30)
         inside = place >= n - 1
-        out.append((inside, key[inside] >> np.uint64(max(0, 64 - KEY_BITS - bits))))
-    return out
+        yield inside, key[inside] >> np.uint64(max(0, 64 - KEY_BITS - bits))
 
 
 def gather(docs: DataFrame, group_words: int = GROUP_WORDS) -> DataFrame:
@@ -166,12 +166,18 @@ def count_tables(groups: DataFrame, order: int, bits: int) -> DataFrame:
     return asked.repartition(buckets, "bucket").sortWithinPartitions("bucket", "n").mapInArrow(answer, "group long, n int, bucket int, counts binary")
 
 
-def _elsewhere(keys: np.ndarray, rest: np.ndarray, doc: np.ndarray) -> np.ndarray:
+def _elsewhere(keys: np.ndarray, rest: np.ndarray, doc: np.ndarray, some: int = 1 << 17) -> np.ndarray:
     """How often each n-gram occurs outside its document; ``rest``: outside the group, by
-    distinct key in order."""
-    _, at, c = np.unique(keys, return_inverse=True, return_counts=True)
-    _, pair, own = np.unique(doc * np.int64(len(c)) + at, return_inverse=True, return_counts=True)
-    return rest[at].astype(np.int64) + c[at] - own[pair]
+    distinct key in order.  ``doc``, in order, numbers the documents."""
+    table, c = np.unique(keys, return_counts=True)
+    total, out, a = rest.astype(np.int64) + c, np.empty(len(keys), np.int64), 0
+    while a < len(keys):  # whole documents at a time
+        b = int(np.searchsorted(doc, doc[min(a + some, len(keys)) - 1], side="right"))
+        at = np.searchsorted(table, keys[a:b])
+        _, pair, own = np.unique((doc[a:b] - doc[a]) * np.int64(len(table)) + at, return_inverse=True, return_counts=True)
+        out[a:b] = total[at] - own[pair]
+        a = b
+    return out
 
 
 def score(docs: DataFrame, *, order: int = ORDER, backoff: float = BACKOFF, unseen: float = UNSEEN, bits: int | None = None) -> DataFrame:

@@ -6,6 +6,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from itertools import chain, filterfalse
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -101,12 +102,10 @@ class PieceEncoder:
         self.marks = dict(zip(alone, matches(alone), strict=True))
 
     def _learn(self, wanted: set[str]) -> dict[str, bytes]:
-        """The memory, now with all wanted pieces; what wasn't met for long is forgotten."""
-        if len(self.young) > CACHE_PIECES:
-            self.young, self.old = {}, self.young
+        """The memory, now with all wanted pieces, which it lacks."""
         young, old = self.young, self.old
         words, marked, rest, broken = [], [], [], []
-        for p in wanted.difference(young):
+        for p in wanted:
             if (ids := old.get(p)) is not None:
                 young[p] = ids
             elif p.isalpha():
@@ -140,8 +139,8 @@ class PieceEncoder:
     def __call__(self, texts: list[str]) -> list[bytes]:
         split = [None if _BEFORE_SPACE.search(t) or (self.whole and self.whole(t)) else t.split(" ") for t in texts]
         heads = self.texts([t if pieces is None else pieces.pop(0) for t, pieces in zip(texts, split, strict=True)])
-        wanted: set[str] = set()
-        for pieces in split:
-            wanted.update(pieces or ())
-        known = self._learn(wanted)
-        return [h + b"".join([known[x] for x in p]) if p else h for h, p in zip(heads, split, strict=True)]
+        if len(self.young) > CACHE_PIECES:  # what wasn't met for long is forgotten
+            self.young, self.old = {}, self.young
+        wanted = set(filterfalse(self.young.__contains__, chain.from_iterable(filter(None, split))))
+        known = self._learn(wanted).__getitem__
+        return [h + b"".join(map(known, p)) if p else h for h, p in zip(heads, split, strict=True)]
