@@ -8,30 +8,29 @@ from pyspark.sql import functions as F
 #: A word: letters, numbers and underscores (no marks).
 WORD = r"[\p{L}\p{N}_]+"
 
-# Extension -> kind, MIME type -> kind, and hosts that serve media.
+# Kinds by extension, by MIME type and by its beginning, and hosts that serve media.
 KIND_BY_EXTENSION = {
-    "html": ".html .htm .xhtml",
-    "pdf": ".pdf",
-    "docx": ".docx .doc",
-    "pptx": ".pptx .ppt",
-    "xlsx": ".xlsx .xls",
-    "csv": ".csv",
-    "image": ".png .jpg .jpeg .gif .webp .bmp .tiff",
-    "video": ".mp4 .webm .mkv .mov .avi",
-    "audio": ".mp3 .wav .m4a .ogg .flac",
-    "text": ".txt .md .markdown .rst .json .jsonl",
-}
+    ".html": "html", ".htm": "html", ".xhtml": "html",
+    ".pdf": "pdf",
+    ".docx": "docx", ".doc": "docx",
+    ".pptx": "pptx", ".ppt": "pptx",
+    ".xlsx": "xlsx", ".xls": "xlsx", ".csv": "xlsx",
+    ".png": "image", ".jpg": "image", ".jpeg": "image", ".gif": "image", ".webp": "image", ".bmp": "image", ".tiff": "image",
+    ".mp4": "video", ".webm": "video", ".mkv": "video", ".mov": "video", ".avi": "video",
+    ".mp3": "audio", ".wav": "audio", ".m4a": "audio", ".ogg": "audio", ".flac": "audio",
+    ".txt": "text", ".md": "text", ".markdown": "text", ".rst": "text", ".json": "text", ".jsonl": "text",
+}
 KIND_BY_MIME = {
-    "html": "text/html application/xhtml+xml",
-    "pdf": "application/pdf",
-    "docx": "application/msword",
-    "pptx": "application/vnd.ms-powerpoint",
-    "xlsx": "application/vnd.ms-excel",
-    "csv": "text/csv",
-    "text": "text/plain text/markdown application/json",
-}
-KIND_BY_MIME_PREFIX = {"image": "image/", "video": "video/", "audio": "audio/"}
-MEDIA_HOSTS = "youtube.com youtu.be vimeo.com dailymotion.com twitch.tv soundcloud.com"
+    "text/html": "html", "application/xhtml+xml": "html",
+    "application/pdf": "pdf",
+    "application/msword": "docx",
+    "application/vnd.ms-powerpoint": "pptx",
+    "application/vnd.ms-excel": "xlsx",
+    "text/csv": "csv",
+    "text/plain": "text", "text/markdown": "text", "application/json": "text",
+}
+KIND_BY_MIME_PREFIX = {"image/": "image", "video/": "video", "audio/": "audio"}
+MEDIA_HOSTS = ["youtube.com", "youtu.be", "vimeo.com", "dailymotion.com", "twitch.tv", "soundcloud.com"]
 
 
 def share_of(text: Column, keep: str) -> Column:
@@ -99,17 +98,14 @@ def host_among(h: Column, domains: list[str]) -> Column:
 def content_kind(url: Column, mime: Column | None = None) -> Column:
     """MIME type, else extension, else media host, else html."""
     ext = extension(F.regexp_replace(url, r"[?#].*$", ""))
-    kind = F.lit(None).cast("string")
+    by = lambda table: F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
+    kind = by(KIND_BY_EXTENSION)[ext]
     if mime is not None:
         m = F.lower(F.trim(F.substring_index(mime, ";", 1)))
-        for k, names in KIND_BY_MIME.items():
-            kind = F.coalesce(kind, F.when(m.isin(names.split()), k))
-        for k, prefix in KIND_BY_MIME_PREFIX.items():
-            kind = F.coalesce(kind, F.when(F.startswith(m, F.lit(prefix)), k))
-    for k, names in KIND_BY_EXTENSION.items():
-        kind = F.coalesce(kind, F.when(ext.isin(names.split()), k))
+        begins = [F.when(F.startswith(m, F.lit(prefix)), k) for prefix, k in KIND_BY_MIME_PREFIX.items()]
+        kind = F.coalesce(by(KIND_BY_MIME)[m], *begins, kind)
     h = F.regexp_replace(F.lower(F.substring_index(F.regexp_replace(url, r"^https?://", ""), "/", 1)), r"^www\.", "")
-    return F.coalesce(kind, F.when(host_among(h, MEDIA_HOSTS.split()), "video"), F.lit("html"))
+    return F.coalesce(kind, F.when(host_among(h, MEDIA_HOSTS), "video"), F.lit("html"))
 
 
 def html_to_text(html: Column) -> Column:

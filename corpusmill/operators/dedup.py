@@ -9,11 +9,11 @@ from corpusmill.functions import text as X
 
 
 def first_of(df: DataFrame, key: Column, order: str) -> DataFrame:
-    """The first row of each key.  The keys' least places are aggregated before anything is
-    shuffled, and joined back, so that a key with any share of the rows is no task of its own."""
-    keyed = df.withColumn("_key", key)
-    least = keyed.groupBy(F.col("_key")).agg(F.min(order).alias(order))
-    return keyed.join(least, ["_key", order], "left_semi").drop("_key")
+    """One row of each key, the first in order; null keys are one key, rows without a place come
+    last.  Rows are aggregated before they are shuffled, so that a key with any share of them is
+    no task of its own."""
+    place = F.struct(F.col(order).isNull(), F.col(order))
+    return df.groupBy(key.alias("_key")).agg(F.min_by(F.struct(*[df[f"`{c}`"] for c in df.columns]), place).alias("_row")).select("_row.*")
 
 
 def exact(df: DataFrame, text: str = "text", order: str = "doc_id") -> DataFrame:
@@ -26,10 +26,13 @@ def unseen(df: DataFrame, seen: DataFrame, text: str = "text") -> DataFrame:
     return df.withColumn("hash", F.sha1(F.col(text).cast("binary"))).join(seen.select("hash"), "hash", "left_anti").drop("hash")
 
 
-def shingles(text: Column, n: int = 5) -> Column:
-    """Distinct hashes of consecutive, not overlapping, groups of n words."""
-    w = X.words(text)
-    return F.when(F.size(w) < n, F.expr("cast(array() as array<string>)")).otherwise(F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(w) - n + 1, F.lit(n)), lambda i: F.md5(F.array_join(F.slice(w, i, n), " ")))))
+def with_shingles(df: DataFrame, text: str = "text", n: int = 5, out: str = "shingles") -> DataFrame:
+    """Adds the distinct hashes of consecutive, not overlapping, groups of n words.  The words
+    are a generated row, so that they are found once and not for each group."""
+    w = F.col("_words")
+    found = F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(w) - n + 1, F.lit(n)), lambda i: F.md5(F.array_join(F.slice(w, i, n), " "))))
+    rows = df.select("*", F.explode(F.array(X.words(F.coalesce(F.col(text), F.lit(""))))).alias("_words"))
+    return rows.withColumn(out, F.when(F.size(w) < n, F.expr("cast(array() as array<string>)")).otherwise(found)).drop("_words")
 
 
 def near_pairs(df: DataFrame, text: str = "text", order: str = "doc_id", threshold: float = 0.8) -> DataFrame:
@@ -38,19 +41,23 @@ def near_pairs(df: DataFrame, text: str = "text", order: str = "doc_id", thresho
     Texts with one set stand for each other, so copies never meet as pairs here: ``a`` and
     ``b`` are first rows.  Prefix filtering: with shingles ordered by how many sets have them,
     two similar sets share one of their first n - ceil(t n) + 1, so frequent shingles are
-    looked up only by sets made of them.
+    looked up only by sets made of them.  A pair is further bounded by what is left behind the
+    places where it meets, before the sets are joined.
     """
-    sets = df.select(F.col(order).alias("id"), F.sort_array(shingles(F.col(text))).alias("s")).filter("size(s) > 0")
+    sets = with_shingles(df.select(F.col(order).alias("id"), F.col(text).alias("text")), "text", out="s").select("id", F.sort_array("s").alias("s")).filter("size(s) > 0")
     sets = sets.groupBy("s").agg(F.min("id").alias("id")).select("id", "s", F.size("s").alias("n"))
     flat = sets.select("id", "n", F.explode("s").alias("x"))
     ranked = flat.join(flat.groupBy("x").agg(F.count("*").alias("df")), "x").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "x"))).alias("s"))
-    prefix = F.col("n") - F.ceil(threshold * F.col("n") - 1e-9) + 1
-    ranked = ranked.select("id", "n", F.transform("s", lambda p: p["x"]).alias("s")).withColumn("p", F.slice("s", F.lit(1), prefix.cast("int")))
-    index = ranked.select("id", "n", F.explode("p").alias("x"))
+    prefix = (F.col("n") - F.ceil(threshold * F.col("n") - 1e-9) + 1).cast("int")
+    own = ranked.select("id", "n", F.transform("s", lambda p: p["x"]).alias("s"))
+    # Shingles of one set alone meet nothing.
+    index = ranked.select("id", "n", F.posexplode(F.slice("s", F.lit(1), prefix)).alias("at", "p")).filter("p.df > 1").select("id", "n", "at", F.col("p.x").alias("x"))
     a, b = index.alias("a"), index.alias("b")
     close = (F.col("a.x") == F.col("b.x")) & (F.col("a.id") < F.col("b.id")) & (F.least("a.n", "b.n") >= threshold * F.greatest("a.n", "b.n"))
-    pairs = a.join(b, close).select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
-    own = ranked.select("id", "s")
+    # At most the shorter rest can be common, from the first place where the two meet.
+    rest = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
+    pairs = a.join(b, close).groupBy(F.col("a.id").alias("a"), F.col("b.id").alias("b")).agg(F.max(rest).alias("most"), F.first(F.col("a.n") + F.col("b.n")).alias("both"))
+    pairs = pairs.filter(F.col("most") * (1 + threshold) >= threshold * F.col("both") - 1e-9).select("a", "b")
     both = pairs.join(own.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(own.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
     common = F.size(F.array_intersect("sa", "sb"))
     return both.select("a", "b", (common / (F.size("sa") + F.size("sb") - common)).alias("jaccard")).filter(F.col("jaccard") >= threshold)
@@ -59,17 +66,20 @@ def near_pairs(df: DataFrame, text: str = "text", order: str = "doc_id", thresho
 def ordered_keep(ids: DataFrame, pairs: DataFrame, checkpoint) -> DataFrame:
     """Rows kept when each is dropped if it is similar to an earlier kept one.
 
-    A row without an earlier undecided neighbour is decided; rounds go on until all are.
-    ``checkpoint`` cuts the lineage between rounds.
+    Rows without a pair are kept at once.  Of the others, one without an earlier undecided
+    neighbour is decided; rounds go on until all are, so they follow the longest chain of
+    similar rows.  ``checkpoint`` cuts the lineage between rounds.
     """
     edges = checkpoint(pairs.select("a", "b"))
-    state = checkpoint(ids.select(F.col(ids.columns[0]).alias("id"), F.when(F.lit(True), F.lit(None).cast("boolean")).alias("keep")))
+    paired = edges.select(F.col("a").alias("id")).unionByName(edges.select(F.col("b").alias("id"))).distinct()
+    ids = ids.select(F.col(ids.columns[0]).alias("id"))
+    state = checkpoint(paired.withColumn("keep", F.lit(None).cast("boolean")))
     while not state.filter("keep is null").isEmpty():
         earlier = edges.join(state.select(F.col("id").alias("a"), "keep"), "a").groupBy("b").agg(F.max(F.coalesce(F.col("keep"), F.lit(False))).alias("dup"), F.max(F.col("keep").isNull()).alias("open"))
         j = state.join(earlier, state.id == earlier.b, "left")
         now = F.when(F.col("keep").isNotNull(), F.col("keep")).when(F.coalesce("dup", F.lit(False)), False).when(~F.coalesce("open", F.lit(False)), True)
         state = checkpoint(j.select("id", now.alias("keep")))
-    return state.filter("keep").select("id")
+    return ids.join(state.filter("not keep"), "id", "left_anti")
 
 
 def line_runs(text: Column) -> Column:

@@ -21,9 +21,9 @@ JUNK_MARKERS = [
 ]
 # Extensions that count as code, those that are sent to the code filter, and
 # path markers of generated or vendored files, in the order they are tried.
-CODE_EXTENSIONS = ".py .js .ts .tsx .jsx .java .c .h .cpp .hpp .cc .cs .go .rs .rb .php .swift .kt .scala .sh .sql .r .m .jl .lua .ml .hs .erl .ex".split()
-CODE_URLS = ".py .js .ts .tsx .jsx .go .rs .java .c .h .cpp .hpp .rb .php .sh .sql".split()
-SKIPPED_PATHS = "node_modules/ vendor/ third_party/ dist/ build/ .min.js .min.css -lock.json .lock generated .pb.go".split()
+CODE_EXTENSIONS = [".py", ".js", ".ts", ".tsx", ".jsx", ".java", ".c", ".h", ".cpp", ".hpp", ".cc", ".cs", ".go", ".rs", ".rb", ".php", ".swift", ".kt", ".scala", ".sh", ".sql", ".r", ".m", ".jl", ".lua", ".ml", ".hs", ".erl", ".ex"]
+CODE_URLS = [".py", ".js", ".ts", ".tsx", ".jsx", ".go", ".rs", ".java", ".c", ".h", ".cpp", ".hpp", ".rb", ".php", ".sh", ".sql"]
+SKIPPED_PATHS = ["node_modules/", "vendor/", "third_party/", "dist/", "build/", ".min.js", ".min.css", "-lock.json", ".lock", "generated", ".pb.go"]
 
 
 def _junk(text: Column) -> Column:

@@ -13,22 +13,25 @@ SNIPPET = 3000
 
 
 def judged(df: DataFrame, judge: Callable[[list[str]], list[bool | None]] | None = None, text: str = "text", batch: int = 8) -> DataFrame:
-    """Adds ``keep``.  ``judge`` gets up to ``batch`` beginnings of texts; a missing answer,
-    or a failure of the judge, keeps the row."""
+    """Adds ``keep`` and ``judge_error``.  ``judge`` gets up to ``batch`` beginnings of texts, of
+    SNIPPET characters as the rule has it; a missing answer, or a failure of the judge, which is
+    told in judge_error, keeps the row."""
     if judge is None:
-        return df.withColumn("keep", F.lit(True))
-    @pandas_udf("boolean")
-    def ask(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        return df.withColumn("keep", F.lit(True)).withColumn("judge_error", F.lit(None).cast("string"))
+
+    @pandas_udf("keep boolean, judge_error string")
+    def ask(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for series in batches:
-            out = []
+            keep, errors = [], []
             for i in range(0, len(series), batch):
-                part = [x or "" for x in series.iloc[i : i + batch]]
+                part, error = [x or "" for x in series.iloc[i : i + batch]], None
                 try:
-                    said = list(judge(part))
-                except Exception:  # an unreachable judge rejects nothing
-                    said = []
-                said += [None] * (len(part) - len(said))
-                out += [True if x is None else bool(x) for x in said[: len(part)]]
-            yield pd.Series(out, dtype="bool")
-
-    return df.withColumn("keep", ask(F.substring(text, 1, SNIPPET)))
+                    said = list(judge(part))[: len(part)]
+                except Exception as e:  # an unreachable judge rejects nothing
+                    said, error = [], f"{type(e).__name__}: {e}"
+                keep += [True if x is None else bool(x) for x in said] + [True] * (len(part) - len(said))
+                errors += [error] * len(part)
+            yield pd.DataFrame({"keep": pd.Series(keep, dtype="bool"), "judge_error": pd.Series(errors, dtype="object")})
+
+    out = df.withColumn("_said", ask(F.substring(text, 1, SNIPPET)))
+    return out.withColumn("keep", F.col("_said.keep")).withColumn("judge_error", F.col("_said.judge_error")).drop("_said")

@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as X
 from corpusmill.operators import dedup, filters, intervals, judging, packing, rollouts, tokens
 from corpusmill.plans import planner
+from corpusmill.session import shared_folder
 from corpusmill.sources import tables
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,9 +46,7 @@ def _checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage in the session's shared checkpoint folder; one of our own only if unset."""
     spark = df.sparkSession
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="corpusmill-"))
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()
 
 
@@ -100,11 +99,14 @@ def word_repetition(t, spark):
   FROM j LEFT JOIN f ON f.doc_id = j.doc_id GROUP BY lang""")
 def corpus_report(t, spark):
     """The curation pipeline in one report: filter, exact duplicates, sizes by language."""
-    judged = t("documents").withColumn("reason", filters.prose_reason(F.col("text")))
-    passed = judged.filter("reason is null")
-    kept = dedup.exact(passed).groupBy("lang").agg(F.count("*").alias("n_kept"), F.sum(F.octet_length("text")).cast("long").alias("kept_bytes"))
-    counts = judged.groupBy("lang").agg(F.count("*").alias("n_docs"), F.count(F.when(F.col("reason").isNull(), 1)).alias("n_pass"))
-    return counts.join(kept, counts.lang.eqNullSafe(kept.lang), "left").select(counts.lang, "n_docs", "n_pass", F.coalesce("n_kept", F.lit(0)).cast("long").alias("n_kept"), F.coalesce("kept_bytes", F.lit(0)).cast("long").alias("kept_bytes"))
+    judged = t("documents").select("doc_id", "lang", F.col("text"), filters.prose_reason(F.col("text")).alias("reason"))
+    rows = judged.select("doc_id", "lang", F.sha1("text").alias("hash"), F.octet_length("text").alias("bytes"), F.col("reason").isNull().alias("ok"))
+    # One row per passed text, and one per failed row's language, with what each adds to the report.
+    texts = rows.groupBy("ok", F.when(F.col("ok"), F.col("hash")).alias("hash"), "lang").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "bytes")).alias("first"))
+    firsts = Window.partitionBy("hash").orderBy("first.doc_id")
+    texts = texts.withColumn("kept", F.col("ok") & (F.row_number().over(firsts) == 1))
+    counts = texts.groupBy("lang").agg(F.sum("n").alias("n_docs"), F.sum(F.when(F.col("ok"), F.col("n")).otherwise(0)).alias("n_pass"), F.count(F.when(F.col("kept"), 1)).alias("n_kept"), F.sum(F.when(F.col("kept"), F.col("first.bytes")).otherwise(0)).cast("long").alias("kept_bytes"))
+    return counts
 
 
 # ---- duplicates --------------------------------------------------------------------------
@@ -133,7 +135,7 @@ _SHINGLES = f"""w AS (SELECT doc_id, {_W} AS w FROM documents),
 
 @query(f"WITH {_SHINGLES} SELECT d.doc_id, CAST(coalesce(len(s), 0) AS BIGINT) AS n FROM documents d LEFT JOIN s ON s.doc_id = d.doc_id")
 def shingle_counts(t, spark):
-    return t("documents").select("doc_id", F.size(dedup.shingles(F.col("text"))).cast("long").alias("n"))
+    return dedup.with_shingles(t("documents").select("doc_id", "text")).select("doc_id", F.size("shingles").cast("long").alias("n"))
 
 
 @query(f"""WITH {_SHINGLES}, r AS (SELECT s, min(doc_id) AS id FROM s GROUP BY s), x AS (SELECT id, len(s) AS n, unnest(s) AS x FROM r),
@@ -147,7 +149,7 @@ def near_pairs(t, spark):
 def near_dedup(t, spark):
     """Greedy in order over all rows: copies of one shingle set, then similar sets."""
     docs = t("documents").select("doc_id", "text")
-    sets = docs.select("doc_id", F.sort_array(dedup.shingles(F.col("text"))).alias("s"))
+    sets = dedup.with_shingles(docs).select("doc_id", F.sort_array("shingles").alias("s"))
     short = sets.filter("size(s) = 0").select("doc_id")
     first = _checkpoint(sets.filter("size(s) > 0").groupBy("s").agg(F.min("doc_id").alias("doc_id")).select("doc_id"))
     kept = dedup.ordered_keep(first, dedup.near_pairs(docs), _checkpoint)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -19,3 +21,15 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all nodes share, by the setting spark.checkpoint.dir; a temporary one of
+    our own only where it is unset and driver and executors are one process."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all nodes share")
+        root = "file://" + tempfile.mkdtemp(prefix="corpusmill-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return root

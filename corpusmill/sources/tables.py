@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from corpusmill.functions import text as X
 
 # Columns that hold text, prompts, answers, code and conversations, and role names.
-TEXT_COLUMNS = "text content document article body passage abstract sentence description".split()
-PROMPT_COLUMNS = "prompt question instruction input query problem task".split()
-ANSWER_COLUMNS = "answer response output completion solution answers".split()
-CODE_COLUMNS = "code solution_code func_code program".split()
-USER_ROLES = "human user prompter".split()
-ASSISTANT_ROLES = "gpt assistant bot model".split()
+TEXT_COLUMNS = ["text", "content", "document", "article", "body", "passage", "abstract", "sentence", "description"]
+PROMPT_COLUMNS = ["prompt", "question", "instruction", "input", "query", "problem", "task"]
+ANSWER_COLUMNS = ["answer", "response", "output", "completion", "solution", "answers"]
+CODE_COLUMNS = ["code", "solution_code", "func_code", "program"]
+USER_ROLES = ["human", "user", "prompter"]
+ASSISTANT_ROLES = ["gpt", "assistant", "bot", "model"]
 
 PRETRAIN = "text string, source string, category string, content_type string"
 PAIRS = "prompt string, thinking string, answer string, source string, category string"

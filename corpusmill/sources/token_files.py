@@ -57,8 +57,9 @@ class TokenFiles(DataSource):
 
 
 def write(pieces, path: str, vocab_size: int) -> int:
-    """Write pieces (offset, ids), which tile the stream, as one file of a local or mounted
-    folder: each task writes its pieces at their places.  Gives the number of ids."""
+    """Write pieces (offset, ids), which tile the stream, as one file of a folder that is mounted
+    on all nodes: each task writes its pieces at their places.  Gives the number of ids.  Blocks
+    of ``packed.write`` go through Spark's committer instead, to any store."""
     import numpy as np
     from pyspark.sql import functions as F
 

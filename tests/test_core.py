@@ -102,11 +102,33 @@ def test_record_scan_skips_spurious_separators_and_tails(spark):
     assert got == [(0, 0), (1, 0), (2, 0), (3, 0), (4, 1), (5, 1), (6, 1), (7, 1)]
 
 
-def test_exact_dedup_is_idempotent(spark):
-    df = spark.createDataFrame([(3, "x"), (1, "x"), (2, "y"), (4, None)], "doc_id long, text string")
+def test_exact_dedup_keeps_one_row_of_each_text(spark):
+    df = spark.createDataFrame([(3, "x"), (1, "x"), (1, "x"), (2, "y"), (4, None), (5, None), (None, "z"), (None, "y")], "doc_id long, text string")
     once = dedup.exact(df)
-    assert sorted(r.doc_id for r in once.collect()) == sorted(r.doc_id for r in dedup.exact(once).collect())
-    assert {1, 2} <= {r.doc_id for r in once.collect()}
+    rows = lambda d: sorted(((r.doc_id, r.text) for r in d.collect()), key=repr)
+    assert rows(once) == rows(dedup.exact(once)) == sorted([(1, "x"), (2, "y"), (4, None), (None, "z")], key=repr)
+    assert dedup.exact(df.limit(0)).count() == 0
+
+
+def test_offsets_and_budgets_with_other_columns_carried(spark):
+    df = spark.range(300_000).select((F.col("id") * 7919 % 300_000).alias("id"), (F.col("id") % 5 + 1).alias("n"), F.concat(F.lit("text "), F.col("id")).alias("text")).repartition(6)
+    got = packing.running_offset(df, ["id"], F.col("n"), 16)
+    wrong = got.join(df.select(F.col("id").alias("i"), F.col("n").alias("m")), F.col("id") == F.col("i")).groupBy().agg(F.count("text").alias("rows"), F.countDistinct("offset").alias("places"), F.max(F.col("offset") + F.col("n")).alias("end"), F.sum(F.col("offset") * F.col("id")).alias("check")).first()
+    n = {r.id: r.n for r in df.select("id", "n").collect()}
+    total = check = 0
+    for i in range(300_000):
+        check += total * i
+        total += n[i]
+    assert (wrong.rows, wrong.places, wrong.end, wrong.check) == (300_000, 300_000, total, check)
+    groups = df.withColumn("g", F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id") % 3))
+    kept = {r.id for r in packing.within_budget(groups, "g", "id", F.col("n"), 200_000, 16).collect()}
+    expected, held = set(), {}
+    for i in range(300_000):
+        g = i % 3
+        if held.get(g, 0) < 200_000:
+            expected.add(i)
+            held[g] = held.get(g, 0) + n[i]
+    assert kept == expected
 
 
 def test_ordered_keep_is_greedy(spark):
@@ -127,7 +149,7 @@ def test_subtitles(spark):
     assert one(spark, X.subtitle_text(F.col("t")), t=vtt) == "Hello you Hello"
 
 
-@pytest.mark.parametrize(("url", "mime", "kind"), [("http://a/b.PDF?x", None, "pdf"), ("http://www.youtube.com/w", None, "video"), ("http://a/b", "Image/png; q=1", "image"), ("http://a/.txt", None, "html"), ("http://a.b/c.d/e", None, "html")])
+@pytest.mark.parametrize(("url", "mime", "kind"), [("http://a/b.PDF?x", None, "pdf"), ("http://a/b.csv", None, "xlsx"), ("http://a/b", "text/csv", "csv"), ("http://www.youtube.com/w", None, "video"), ("http://a/b", "Image/png; q=1", "image"), ("http://a/.txt", None, "html"), ("http://a.b/c.d/e", None, "html")])
 def test_content_kinds(spark, url, mime, kind):
     assert one(spark, X.content_kind(F.col("u"), F.lit(mime).cast("string")), u=url) == kind
 
@@ -150,7 +172,7 @@ def test_judges_that_fail_keep_rows(spark):
     df = spark.createDataFrame([(i, "good" if i % 2 else "bad") for i in range(20)], "id long, text string")
     got = {r.id: r.keep for r in judging.judged(df, lambda texts: [t == "good" for t in texts]).collect()}
     assert got == {i: bool(i % 2) for i in range(20)}
-    assert all(r.keep for r in judging.judged(df, lambda texts: [1 / 0]).collect())
+    assert all(r.keep and "ZeroDivisionError" in r.judge_error for r in judging.judged(df, lambda texts: [1 / 0]).collect())
 
 
 def test_token_arrays_round_trip(spark):
