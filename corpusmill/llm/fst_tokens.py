@@ -1,17 +1,20 @@
 """Operator 5: token counts by compiled finite-state transducers.
 
 Two deterministic transducers read the normalised text.  The first walks over classes of
-characters and cuts the text as the tokenizer's splitting pattern does; its transitions
-are annotated with the cuts they emit.  A batch is dealt into chunks of one length; each
-chunk's state map (entry state to exit state) comes from all states in lockstep, the maps
-compose by a parallel prefix scan, and with its entry state known each chunk emits its
-cuts.  The second transducer reads the bytes of one match, the last of them as its own
-symbol.  It is a subset construction, compiled as it is met: a state holds, for each place
-where a token could have begun, the node of the token trie, the last token before the
-place and the token count up to there, relative to the present one.  Merges by rank have
-the property that two tokens may follow each other if and only if the merges leave that
-pair as it is, so at most one of them ends at each place; the transition is annotated with
-the change of the count.
+characters and cuts the text as the tokenizer's splitting pattern does; the second reads the
+bytes of one match, the last of them as its own symbol, and its transitions are annotated with
+the change of the token count.  It is a subset construction, compiled as it is met: a state
+holds, for each place where a token could have begun, the node of the token trie, the last
+token before the place and the token count up to there, relative to the present one.  Merges
+by rank have the property that two tokens may follow each other if and only if the merges leave
+that pair as it is, so at most one of them ends at each place.  Together, a transition of the
+first that begins a match emits that match's tokens.
+
+A text is dealt into chunks.  A chunk's state map gives, for each state it can be entered in,
+the state it is left in and the number of tokens of the matches that begin in it: all states
+run in lockstep until they have met, from where on they share one run.  The maps, counts
+included, compose by a parallel prefix scan, and a text's count is that of its composed chunks
+from the start state.
 
 Defined results: null and empty texts have no bytes and no tokens; repeated rows give
 repeated results; an empty table gives an empty table; other columns are ignored.
@@ -22,7 +25,7 @@ from __future__ import annotations
 import json
 import re
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -33,7 +36,7 @@ from pyspark.sql import types as T
 from corpusmill.llm.bpe_codec import BYTE_CHAR
 from corpusmill.llm.common import groups, pick, strings
 
-CHUNK = 2048
+CHUNK = 512
 #: States of the second transducer, and matches, that a worker remembers before it starts afresh.
 MAX_STATES = 400_000
 MAX_WORDS = 250_000
@@ -87,6 +90,7 @@ def _step(state: int, c: int) -> tuple[int, int]:
 
 NEXT = np.array([[_step(s, c)[0] for s in range(STATES)] for c in range(CLASSES)], np.int64).reshape(-1)
 CUTS = np.array([[_step(s, c)[1] for s in range(STATES)] for c in range(CLASSES)], np.uint8).reshape(-1)
+_STEPS = [[_step(s, c) for s in range(STATES)] for c in range(CLASSES)]
 
 
 @lru_cache(maxsize=1)
@@ -104,70 +108,98 @@ def class_table() -> np.ndarray:
     return table
 
 
-def compose(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """State maps as rows: where one enters, the other leaves."""
-    return np.take_along_axis(second, first, axis=1)
+Maps = tuple[np.ndarray, np.ndarray]  # by chunk and entry state: exit state, tokens
 
 
-def scan(maps: np.ndarray) -> np.ndarray:
+def compose(first: Maps, second: Maps) -> Maps:
+    """What two chunks in a row do, pair by pair."""
+    (left, n), (out, m) = first, second
+    return np.take_along_axis(out, left, axis=1), n + np.take_along_axis(m, left, axis=1)
+
+
+def scan(maps: Maps) -> Maps:
     """Inclusive prefix composition, by doubling: log2 rounds over all chunks at once."""
-    maps, step = maps.copy(), 1
-    while step < len(maps):
-        maps[step:] = compose(maps[:-step], maps[step:])
+    (out, n), step = (maps[0].copy(), maps[1].copy()), 1
+    while step < len(out):
+        out[step:], n[step:] = compose((out[:-step], n[:-step]), (out[step:], n[step:]))
         step *= 2
-    return maps
-
-
-def cuts(classes: np.ndarray) -> np.ndarray:
-    """For each character, whether a match begins there; the sequence begins in START."""
-    n = len(classes)
-    rows = -(-n // CHUNK)
-    grid = np.zeros(rows * CHUNK, np.int64)  # SPACE
-    grid[:n] = classes
-    grid = np.ascontiguousarray(grid.reshape(rows, CHUNK).T) * STATES
-    if rows > 1:
-        # All states in lockstep until a chunk's states have met, then one of them.
-        state = np.tile(np.arange(STATES), (rows, 1))
-        live, maps = np.arange(rows), np.empty((rows, STATES), np.int64)
-        single: list[tuple[int, np.ndarray]] = []
-        for t in range(CHUNK):
-            state = NEXT.take(grid[t, live][:, None] + state)
-            if t % 32 == 31 or t == CHUNK - 1:
-                met = (state == state[:, :1]).all(axis=1)
-                if met.any():
-                    single.append((t, live[met]))
-                    maps[live[met], 0] = state[met, 0]
-                    live, state = live[~met], state[~met]
-                if not len(live):
-                    break
-        maps[live] = state
-        since = np.full(rows, CHUNK)
-        for t, at in single:
-            since[at] = t + 1
-        order = np.argsort(since, kind="stable")
-        one, bound = maps[order, 0].copy(), since[order]
-        k = 0
-        for t in range(int(bound[0]), CHUNK):
-            k = int(np.searchsorted(bound, t, side="right"))
-            one[:k] = NEXT.take(grid[t, order[:k]] + one[:k])
-        met = bound < CHUNK
-        maps[order[met]] = one[met][:, None]
-        done = np.isin(np.arange(rows), np.concatenate([at for _, at in single]) if single else [])
-        last = done & (since == CHUNK)
-        maps[last] = maps[last][:, :1]
-        entry = np.concatenate([[START], scan(maps)[:-1, START]])
-    else:
-        entry = np.array([START])
-    emitted = np.empty((CHUNK, rows), np.uint8)
-    state = entry
+    return out, n
+
+
+def match_end(classes: np.ndarray, at: int) -> int:
+    """Where the match that begins here ends."""
+    state, t = _fresh(int(classes[at]))[0], at + 1
+    while t < len(classes):
+        state, cut = _STEPS[int(classes[t])][state]
+        if cut & CUT_BEFORE_LAST:
+            return t - 1
+        if cut or classes[t] == SPACE:
+            return t
+        t += 1
+    return t
+
+
+def state_maps(classes: np.ndarray, begin: np.ndarray, size: np.ndarray, tokens: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> Maps:
+    """Maps of chunks of at most CHUNK characters; ``tokens`` counts matches (begins, ends)."""
+    rows = len(begin)
+    place = begin[:, None] + np.arange(CHUNK)
+    inside = np.arange(CHUNK) < size[:, None]
+    grid = np.where(inside, classes[np.minimum(place, len(classes) - 1)], SPACE).T.astype(np.int64) * STATES
+    # All states in lockstep until a chunk's states have met.
+    state, live = np.tile(np.arange(STATES), (rows, 1)), np.arange(rows)
+    since, out = np.full(rows, CHUNK), np.empty((rows, STATES), np.int64)
+    heads: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for t in range(CHUNK):
-        at = grid[t] + state
-        emitted[t] = CUTS.take(at)
-        state = NEXT.take(at)
-    emitted = emitted.T.reshape(-1)[:n]
-    begins = (emitted & CUT_HERE).astype(bool)
-    begins[:-1] |= (emitted[1:] & CUT_BEFORE_LAST).astype(bool)
-    return begins
+        at = grid[t, live][:, None] + state
+        cut, state = CUTS.take(at), NEXT.take(at)
+        if cut.any():
+            for kind, back in ((CUT_HERE, 0), (CUT_BEFORE_LAST, 1)):
+                r, s = np.nonzero(cut & kind)
+                heads.append((live[r], s, begin[live[r]] + t - back))
+        met = (state == state[:, :1]).all(axis=1)
+        if met.any():
+            since[live[met]] = t + 1
+            out[live[met]] = state[met]
+            live, state = live[~met], state[~met]
+        if not len(live):
+            break
+    out[live] = state
+    # From there, one run for all.
+    order = np.argsort(since, kind="stable")
+    bound, one = since[order], out[order, 0]
+    cuts = np.zeros((CHUNK, rows), np.uint8)
+    for t in range(int(bound[0]) if rows else CHUNK, CHUNK):
+        k = int(np.searchsorted(bound, t, side="right"))
+        at = grid[t, order[:k]] + one[:k]
+        cuts[t, :k] = CUTS.take(at)
+        one[:k] = NEXT.take(at)
+    out[order[bound < CHUNK]] = one[bound < CHUNK][:, None]
+    back = np.empty(rows, np.int64)
+    back[order] = np.arange(rows)
+    cuts = cuts.T[back]
+    r1, t1 = np.nonzero(cuts & CUT_HERE)
+    r2, t2 = np.nonzero(cuts & CUT_BEFORE_LAST)
+    row, start = np.concatenate([r1, r2]), np.concatenate([begin[r1] + t1, begin[r2] + t2 - 1])
+    by = np.lexsort((start, row))
+    row, start = row[by], start[by]
+    n = np.zeros((rows, STATES), np.int64)
+    blank = np.append(np.flatnonzero(classes == SPACE), len(classes))
+    if len(row):
+        end = blank[np.searchsorted(blank, start)]
+        last = np.append(row[1:] != row[:-1], True)
+        end[:-1] = np.where(last[:-1], end[:-1], np.minimum(end[:-1], start[1:]))
+        for i in np.flatnonzero(last & (end >= begin[row] + size[row])).tolist():  # it goes on in the next chunk
+            end[i] = match_end(classes, int(start[i]))
+        n += np.bincount(row, weights=tokens(start, end), minlength=rows).astype(np.int64)[:, None]
+    if heads:
+        r, s, start = (np.concatenate(x) for x in zip(*heads, strict=True))
+        some, at = np.unique(start, return_inverse=True)
+        real = (some >= 0) & (classes[some] != SPACE)  # no state that is reached has others
+        end = np.array([match_end(classes, p) if ok else 0 for p, ok in zip(some.tolist(), real.tolist(), strict=True)], np.int64)
+        got = np.zeros(len(some), np.int64)
+        got[real] = tokens(some[real], end[real])
+        np.add.at(n, (r, s), got[at])
+    return out, n
 
 
 # ---- the second transducer: tokens of one match ----------------------------------------
@@ -321,7 +353,7 @@ class Counter:
 
     def __call__(self, texts: list[str]) -> np.ndarray:
         extra = np.zeros(len(texts), np.int64)
-        parts, ends, at = [], np.empty(len(texts), np.int64), 0
+        parts, sizes, of = [], [], []
         for i, text in enumerate(texts):
             if any(s in text for s in self.special):  # each is one token, and the text is cut there
                 found = self.split_special.split(text)
@@ -329,25 +361,26 @@ class Counter:
             else:
                 found = [text]
             for x in found:
-                x = self._normal(x)
-                parts += (x, "\n")
-                at += len(x) + 1
-            ends[i] = at
-        big = "".join(parts)
+                parts.append(self._normal(x) + "\n")
+                sizes.append(len(parts[-1]))
+                of.append(i)
+        big, sizes = "".join(parts), np.array(sizes, np.int64)
         classes = self.table[np.frombuffer(big.encode("utf-32-le"), np.uint32)]
-        begins = cuts(classes)
-        starts = np.flatnonzero(begins)
-        stops = np.append(starts[1:], len(big))
-        # A match ends at the next one or at white space.
-        blank = np.flatnonzero(classes == SPACE)
-        first_blank = blank[np.minimum(np.searchsorted(blank, starts), len(blank) - 1)] if len(blank) else stops
-        stops = np.minimum(stops, first_blank)
+        # A part begins and ends in the start state, so the scan may run through all of them.
+        chunks = -(-sizes // CHUNK)
+        ends = np.cumsum(chunks)
+        number = np.arange(ends[-1]) - np.repeat(ends - chunks, chunks)
+        begin = np.repeat(np.cumsum(sizes) - sizes, chunks) + number * CHUNK
+        self.counts.age()
         counts = self.counts
-        counts.age()
-        n = np.array([counts[big[a:b]] for a, b in zip(starts.tolist(), stops.tolist(), strict=True)], np.int64)
-        sums = np.concatenate([[0], np.cumsum(n)])
-        upto = sums[np.searchsorted(starts, ends)]
-        return np.diff(upto, prepend=0) + extra
+
+        def tokens(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+            return np.array([counts[big[a:b]] for a, b in zip(start.tolist(), end.tolist(), strict=True)], np.int64)
+
+        size = np.minimum(CHUNK, np.repeat(np.cumsum(sizes), chunks) - begin)
+        _, upto = scan(state_maps(classes, begin, size, tokens))
+        total = np.diff(upto[ends - 1, START], prepend=0)
+        return np.bincount(np.array(of), weights=total, minlength=len(texts)).astype(np.int64) + extra
 
 
 @lru_cache(maxsize=2)

@@ -98,7 +98,7 @@ def test_ans_store_of_repeated_rows_and_nothing(spark):
     assert ans_store.store_and_read(odd(spark).limit(0), path, vocab_size=50257).count() == 0
 
 
-@pytest.mark.parametrize("chunk", [8, 2048])
+@pytest.mark.parametrize("chunk", [1, 8, 512])
 def test_transducers_count_as_the_library(spark, monkeypatch, chunk):
     from tokenizers import Tokenizer
 
@@ -116,14 +116,23 @@ def test_token_count_query_rows(spark):
     assert got[9].over_limit and got[9].n_bytes == len(LONG)
 
 
-def test_state_maps_compose_in_any_order():
+def test_state_maps_compose_with_their_counts():
     rng = np.random.default_rng(1)
-    maps = rng.integers(0, 7, (37, 7))
-    state, out = 0, []
-    for m in maps:
-        state = m[state]
-        out.append(state)
-    assert fst_tokens.scan(maps)[:, 0].tolist() == out
+    maps, counts = rng.integers(0, 7, (37, 7)), rng.integers(0, 99, (37, 7))
+    out, n = fst_tokens.scan((maps, counts))
+    for entry in range(7):
+        state, total = entry, 0
+        for k in range(37):
+            total += counts[k, state]
+            state = maps[k, state]
+            assert (out[k, entry], n[k, entry]) == (state, total)
+
+
+def test_token_counts_of_repeated_rows_and_nothing(spark):
+    df = spark.createDataFrame([(1, "a b's"), (1, "a b's"), (2, None)], "doc_id long, text string")
+    rows = sorted((r.doc_id, r.n_tokens) for r in fst_tokens.count_tokens(df, P.path("word_bpe_49k.json")).collect())
+    assert rows == [(1, 3), (1, 3), (2, 0)]
+    assert fst_tokens.count_tokens(df.limit(0), P.path("word_bpe_49k.json")).count() == 0
 
 
 # ---- 2: chat ---------------------------------------------------------------------------------
