@@ -188,3 +188,48 @@ def strip_bad(text: Column) -> Column:
 def without_fences(text: Column) -> Column:
     """Lines that open or close a code fence away."""
     return F.array_join(F.filter(F.split(text, "\n"), lambda x: ~F.startswith(F.ltrim(x), F.lit("```"))), "\n")
+
+
+def chat_prompt(prompt: Column, system: Column | None = None, thinking: bool = False) -> Column:
+    """A prompt as an opened chat: an optional system turn, the user's, and the assistant's begun."""
+    head = F.lit("") if system is None else F.when(F.coalesce(system, F.lit("")) != "", F.concat(F.lit("<|im_start|>system\n"), system, F.lit("<|im_end|>\n"))).otherwise("")
+    tail = F.lit("<|im_end|>\n<|im_start|>assistant\n" + ("<think>\n" if thinking else ""))
+    return F.concat(head, F.lit("<|im_start|>user\n"), prompt, tail)
+
+
+def chat_messages(turns: Column) -> Column:
+    """A list of turns (role, content) as one chat text."""
+    return F.array_join(F.transform(turns, lambda t: F.concat(F.lit("<|im_start|>"), t["role"], F.lit("\n"), t["content"], F.lit("<|im_end|>\n"))), "")
+
+
+def plain_prompt(prompt: Column) -> Column:
+    return F.concat(F.lit("user\n"), prompt, F.lit("\nassistant\n"))
+
+
+def links_density(markdown: Column) -> Column:
+    """Share of a text's characters that stand in markdown links."""
+    return F.when(F.length(markdown) == 0, 0.0).otherwise(1 - F.length(F.regexp_replace(markdown, r"\[[^\]]*\]\([^)]*\)", "")) / F.length(markdown))
+
+
+def pruned_markdown(markdown: Column, most_links: float = 0.45, least_words: int = 3) -> Column:
+    """Without blocks that are mostly links, or too short to say anything; headings stay."""
+    keep = lambda b: F.startswith(b, F.lit("#")) | ((links_density(b) <= most_links) & (F.size(F.split(strip(b), r"\s+")) >= least_words))
+    return F.array_join(F.filter(F.transform(F.split(markdown, r"\n\s*\n"), strip), lambda b: (b != "") & keep(b)), "\n\n")
+
+
+def flat_table(rows: Column, title: Column | None = None, most: int = 2000) -> Column:
+    """Rows of cells as lines of cells between bars, blank rows left out, under a sheet's title."""
+    cells = lambda r: F.array_join(F.filter(F.transform(r, lambda c: strip(F.coalesce(c, F.lit("")))), lambda c: c != ""), " | ")
+    lines = F.filter(F.transform(F.slice(rows, 1, most), cells), lambda x: x != "")
+    text = F.array_join(lines, "\n")
+    return text if title is None else F.concat(F.lit("--- Sheet: "), title, F.lit(" ---\n"), text)
+
+
+def extracted(kind: Column, content: Column) -> Column:
+    """Struct (text, error) of fetched content by its kind: html, text, csv and captions; others
+    need libraries that are not here, which the error tells."""
+    bare = F.when(kind == "html", html_to_text(content)).when(kind.isin("text", "csv"), content).when(kind == "captions", subtitle_text(content))
+    least = F.when(kind == "html", 200).when(kind == "captions", 100).otherwise(0)
+    text = F.when(F.length(bare) > least, bare)
+    known = kind.isin("html", "text", "csv", "captions")
+    return F.struct(text.alias("text"), F.when(~known, F.concat(F.lit("not installed: "), kind)).when(text.isNull(), F.lit("extraction failed")).alias("error"))

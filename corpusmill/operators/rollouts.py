@@ -65,3 +65,43 @@ def records(stream: DataFrame, by: str, end_id: int = 0) -> DataFrame:
     d = d.withColumn("record", F.coalesce(F.sum(valid).over(before), F.lit(0)).cast("long"))
     d = d.withColumn("_any", F.max("mask").over(Window.partitionBy(by, "record")))
     return d.filter("_any = 1").drop("_seg", "_has", "_any")
+
+
+def penalised(logits: DataFrame, generated: DataFrame, by: str, penalty: float) -> DataFrame:
+    """Logits with those of tokens generated before made smaller: divided by the penalty above
+    zero, multiplied below."""
+    seen = generated.select(by, "token").distinct().withColumn("_seen", F.lit(True))
+    x = F.col("logit")
+    smaller = F.when(x > 0, x / penalty).otherwise(x * penalty)
+    return logits.join(seen, [by, "token"], "left").withColumn("logit", F.when(F.col("_seen"), smaller).otherwise(x)).drop("_seen")
+
+
+def greedy(logits: DataFrame, by: str) -> DataFrame:
+    """The token with the largest logit of each row, the smallest of equal ones."""
+    return logits.groupBy(by).agg(F.max_by("token", F.struct("logit", -F.col("token"))).alias("token"))
+
+
+def cross_entropy(tokens: DataFrame) -> DataFrame:
+    """One row: loss and accuracy over tokens under the mask, from (logp, hit, mask)."""
+    return tokens.agg(masked_mean(-F.col("logp"), F.col("mask")).alias("loss"), masked_mean(F.col("hit").cast("double"), F.col("mask")).alias("accuracy"), F.sum("mask").cast("long").alias("tokens"))
+
+
+def per_log(metrics: DataFrame, step: str, every: int, *values: str) -> DataFrame:
+    """Means of the values since the last log, a log every so many steps."""
+    return metrics.groupBy(F.floor(F.col(step) / every).alias("log")).agg(F.count("*").alias("n"), *[F.avg(v).alias(v) for v in values])
+
+
+def sampled_prompts(prompts: DataFrame, order: list[str], batch: int, batches: int, seed: int) -> DataFrame:
+    """batch, slot and the row of prompts drawn with replacement: draws are hashes, joined to the
+    rows by number."""
+    from corpusmill.operators import packing
+
+    numbered = packing.running_offset(prompts, order, F.lit(1)).withColumnRenamed("offset", "number")
+    n = prompts.count()
+    slots = prompts.sparkSession.range(batches * batch).select(F.floor(F.col("id") / batch).alias("batch"), (F.col("id") % batch).alias("slot"), F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(max(n, 1))).alias("number"))
+    return slots.join(numbered, "number").drop("number")
+
+
+def usable_prompts(df: DataFrame, prompt_ids: str, truth: str, most: int) -> DataFrame:
+    """Prompts shorter than ``most`` ids that have an answer."""
+    return df.filter((F.size(prompt_ids) < most) & (F.coalesce(F.col(truth), F.lit("")) != ""))

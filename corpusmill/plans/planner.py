@@ -94,3 +94,106 @@ def param_count(hidden: Column, layers: Column, inner: Column, heads: Column, kv
     attention = 2 * hidden * width + 2 * hidden * kv_heads * head_dim + 2 * head_dim
     layer = attention + 3 * hidden * inner + 2 * hidden
     return vocab * hidden * F.when(tied, 1).otherwise(2) + layers * layer + hidden
+
+
+def parse_params(text: Column) -> Column:
+    """Parameters of "0.6B", "600M", "5K", "1000"."""
+    s = F.upper(F.regexp_replace(text, r"\s", ""))
+    number = F.regexp_extract(s, r"^([0-9.]+)", 1).cast("double")
+    factor = F.when(F.endswith(s, F.lit("B")), 1e9).when(F.endswith(s, F.lit("M")), 1e6).when(F.endswith(s, F.lit("K")), 1e3).otherwise(1.0)
+    return F.floor(number * factor).cast("long")
+
+
+# Raw bytes per token where nothing is measured.
+BYTES_PER_TOKEN = {"pretrain": 5.0, "sft": 8.0, "grpo": 6.0}
+
+
+def bytes_per_token(source_bytes: Column, tokens: Column, stage: str) -> Column:
+    measured = F.when((source_bytes > 0) & (tokens > 0), source_bytes / tokens)
+    return F.coalesce(measured, F.lit(BYTES_PER_TOKEN[stage]))
+
+
+def human_bytes(n: Column) -> Column:
+    out = F.format_string("%d B", n.cast("long"))
+    for power, unit in enumerate(("KB", "MB", "GB", "TB", "PB"), 1):
+        out = F.when(n >= 1000**power, F.format_string(f"%.2f {unit}", n / float(1000**power))).otherwise(out)
+    return out
+
+
+def sft_plan(plans: DataFrame, seq_len: int, micro: int, accumulate: int, world: int, epochs: int, tokens: str = "sft_tokens") -> DataFrame:
+    """Batch, samples and steps an epoch, learning rate of supervised tuning on a token budget."""
+    auto = max(1, round(500_000 / (micro * world * seq_len)))
+    batch = micro * (accumulate or auto) * world * seq_len
+    t = F.col(tokens)
+    each = F.greatest(F.lit(batch), F.floor(t / max(1, epochs)))
+    p = plans.withColumn("batch", F.lit(batch).cast("long")).withColumn("steps", F.greatest(F.lit(1), F.floor(each / batch)).cast("long"))
+    p = p.withColumn("samples", F.greatest(F.lit(1), F.floor(F.floor(t / 600) / max(1, epochs))).cast("long"))
+    return p.withColumn("lr", peak_lr(F.col("batch"), "sft")).withColumn("download", (t * BYTES_PER_TOKEN["sft"]).cast("long"))
+
+
+def grpo_plan(plans: DataFrame, seq_len: int, group: int, params: str = "params") -> DataFrame:
+    """Prompts (a step each), batch, learning rate, clip and response length by model size."""
+    n = F.col(params)
+    p = plans.withColumn("prompts", F.when(n >= 5e9, 32_000).when(n >= 1e9, 8_000).otherwise(4_000).cast("long"))
+    p = p.withColumn("steps", F.col("prompts")).withColumn("batch", F.lit(group * seq_len).cast("long"))
+    p = p.withColumn("lr", F.when(n < 1e9, 1.0e-6).when(n < 5e9, 7.5e-7).otherwise(5.0e-7)).withColumn("clip", F.when(n < 2e9, 0.1).otherwise(0.2))
+    return p.withColumn("response", F.when(n < 2e9, 2048).otherwise(4096).cast("long")).withColumn("prompt_tokens", F.col("prompts") * 512)
+
+
+# Head counts that are tried, and the ranges of layers and hidden sizes.
+HEADS = [4, 6, 8, 10, 12, 16, 20, 24, 32, 40, 48, 64]
+LAYERS, HIDDEN = range(12, 65, 2), range(256, 8193, 64)
+
+
+def architectures(targets: DataFrame, target: str = "params", vocab: int = 151_936, head_dim: int = 128, slack: float = 0.10) -> DataFrame:
+    """Adds the best shape (hidden, layers, heads, kv_heads, inner, actual, score) within ``slack``
+    of each target: by score, then by closeness, then by layers, hidden size and heads.
+
+    Shapes are a grid of some ten thousand rows; targets are sizes of models, a handful, and each
+    is held against all shapes.
+    """
+    spark = targets.sparkSession
+    grid = spark.range(len(LAYERS)).select((F.col("id") * LAYERS.step + LAYERS.start).alias("layers"))
+    longs = lambda values: F.array(*[F.lit(v).cast("long") for v in values])
+    grid = grid.withColumn("hidden", F.explode(longs(HIDDEN))).withColumn("heads", F.explode(longs(HEADS))).withColumn("kv_heads", F.greatest(F.lit(2), F.floor(F.col("heads") / 4)).cast("long"))
+    ratio = F.col("hidden") / F.col("layers")
+    grid = grid.filter((ratio >= 18) & (ratio <= 180) & (F.col("heads") % F.col("kv_heads") == 0))
+    grid = grid.withColumn("inner", F.greatest(F.lit(256), (F.bround(F.col("hidden") * 3 / 256) * 256).cast("long")))
+    mlp = F.col("inner") / F.col("hidden")
+    shape = F.when(ratio.between(30, 45), 2.0).when(ratio.between(25, 50), 1 + F.least(ratio - 25, 50 - ratio) / 5).when(ratio <= 65, F.greatest(F.lit(0.0), F.least(ratio - 18, 65 - ratio) / 7)).otherwise(-1.0)
+    fixed = shape + F.least(F.lit(2.4), 0.4 * (F.col("heads") - 4)) + F.when(mlp.between(2.5, 3.5), 0.5).when(mlp.between(2, 4), 0.0).otherwise(-0.5) + 0.2
+    t = F.col("_t")
+    wanted = targets.select(F.col(target).alias("_t")).distinct()
+    both = wanted.join(F.broadcast(grid.withColumn("_fixed", fixed)), F.lit(True))
+    both = both.withColumn("actual", param_count(F.col("hidden"), F.col("layers"), F.col("inner"), F.col("heads"), F.col("kv_heads"), F.lit(head_dim), F.lit(vocab), t < 2_000_000_000))
+    away = F.abs(F.col("actual") - t) / t
+    both = both.withColumn("_away", F.round(away, 4)).filter(away <= slack).withColumn("score", F.round(F.col("_fixed") + 1 - F.least(away, F.lit(0.3)) / 0.3, 9))
+    columns = ["hidden", "layers", "heads", "kv_heads", "inner", "actual", "score"]
+    best = both.groupBy("_t").agg(F.min_by(F.struct(*columns), F.struct(-F.col("score"), F.col("_away"), F.col("layers"), F.col("hidden"), F.col("heads"))).alias("shape"))
+    return targets.join(best, F.col(target) == F.col("_t"), "left").select(*[targets[c] for c in targets.columns], *[F.col(f"shape.{c}").alias(c) for c in columns])
+
+
+def vram_gb(params: Column, batch: Column, seq_len: Column, layers: Column, hidden: Column, inner: Column, heads: Column, head_dim: Column) -> Column:
+    """Weights, gradients and optimiser at 12 bytes a parameter, and a step's activations."""
+    each = hidden * 2 + inner * 4 + heads * head_dim * 2
+    return (params * 12 + batch.cast("double") * seq_len * layers * each) / float(1024**3)
+
+
+def retry_delay(attempt: Column, base: float, most: float) -> Column:
+    """The longest wait before an attempt is tried again; the actual one is drawn below it."""
+    return F.least(F.lit(most), base * F.pow(F.lit(2.0), attempt - 1))
+
+
+def retryable(status: Column) -> Column:
+    return status.isNull() | (status == 429) | status.between(500, 599)
+
+
+def matched_peak(names: DataFrame, table: DataFrame, name: str = "gpu") -> DataFrame:
+    """Adds tflops of the table's entry (key, tflops) that a device's name is, else of the one that
+    shares most words with it, three at least.  The table is a list of devices."""
+    split = lambda c: F.array_distinct(F.split(F.lower(c), r"[\s\-_]+"))
+    known = table.select(F.col("key"), F.col("tflops"), split(F.col("key")).alias("_k"))
+    wanted = names.select(F.col(name).alias("_n")).distinct()
+    score = F.when(F.lower("key") == F.lower("_n"), 1_000_000).otherwise(F.size(F.array_intersect(split(F.col("_n")), "_k")))
+    best = wanted.join(F.broadcast(known), F.lit(True)).withColumn("_s", score).filter("_s >= 3").groupBy("_n").agg(F.max_by("tflops", F.struct("_s", "key")).alias("tflops"))
+    return names.join(best, names[name] == best["_n"], "left").drop("_n")

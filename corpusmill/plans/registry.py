@@ -35,10 +35,14 @@ def query(sql: str | None = None):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from corpusmill.plans import more  # noqa: F401  registers its own
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    from corpusmill.plans import more  # noqa: F401
+
     return dict(_SQL)
 
 
@@ -70,10 +74,14 @@ def transcript_filter(t, spark):
     return t("documents").select("doc_id", filters.transcript_reason(F.col("text")).alias("reason"))
 
 
-@query("""SELECT doc_id, CASE WHEN length(text) < 500 THEN 'too_short' WHEN len(list_filter(string_split(text, chr(10)), lambda x: length(x) > 1000)) > 0 THEN 'line_too_long'
+_PATHS = ["", "src/a.py", "lib/b.exe", "vendor/c.go", "web/d.min.js", ".bashrc", "x/y.SQL", "gen/generated_e.rs"]
+
+
+@query("""SELECT doc_id, CASE WHEN length(text) < 500 THEN 'too_short' WHEN doc_id % 8 = 2 THEN 'disallowed_extension' WHEN doc_id % 8 = 3 THEN 'skip_path:vendor/' WHEN doc_id % 8 = 4 THEN 'skip_path:.min.js' WHEN doc_id % 8 = 7 THEN 'skip_path:generated' WHEN len(list_filter(string_split(text, chr(10)), lambda x: length(x) > 1000)) > 0 THEN 'line_too_long'
   WHEN list_sum(list_transform(string_split(text, chr(10)), lambda x: length(x))) / len(string_split(text, chr(10))) > 200 THEN 'avg_line_too_long' END AS reason FROM documents""")
 def code_filter(t, spark):
-    return t("documents").select("doc_id", filters.code_reason(F.col("text"), F.lit("")).alias("reason"))
+    path = F.get(F.array(*map(F.lit, _PATHS)), (F.col("doc_id") % 8).cast("int"))
+    return t("documents").select("doc_id", filters.code_reason(F.col("text"), path).alias("reason"))
 
 
 @query(f"WITH {_TOPS}, j AS (SELECT lang, source, {_PROSE} AS reason FROM documents LEFT JOIN tops USING (doc_id)) SELECT lang, source, coalesce(reason, 'pass') AS reason, count(*) AS n FROM j GROUP BY ALL")
@@ -145,7 +153,12 @@ def near_pairs(t, spark):
     return dedup.near_pairs(t("documents")).withColumn("jaccard", F.round("jaccard", 9))
 
 
-@query()
+@query(f"""WITH RECURSIVE {_SHINGLES}, r AS (SELECT s, min(doc_id) AS id FROM s GROUP BY s), x AS (SELECT id, len(s) AS n, unnest(s) AS x FROM r),
+  p AS (SELECT a.id AS a, b.id AS b FROM (SELECT a.id AS i, b.id AS j, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS c FROM x a JOIN x b ON a.x = b.x AND a.id < b.id GROUP BY a.id, b.id) q JOIN r a ON a.id = q.i JOIN r b ON b.id = q.j WHERE c / (na + nb - c) >= 0.8),
+  o AS (SELECT id, row_number() OVER (ORDER BY id) AS k, (SELECT list(a) FROM p WHERE p.b = v.id) AS before FROM (SELECT DISTINCT b AS id FROM p) v),
+  g AS (SELECT CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS dropped UNION ALL SELECT o.k, CASE WHEN len(list_filter(o.before, lambda y: NOT list_contains(g.dropped, y))) > 0 THEN list_append(g.dropped, o.id) ELSE g.dropped END FROM g JOIN o ON o.k = g.k + 1),
+  gone AS (SELECT unnest(dropped) AS id FROM (SELECT dropped FROM g ORDER BY k DESC LIMIT 1))
+  SELECT id AS doc_id FROM r WHERE id NOT IN (SELECT id FROM gone) UNION ALL SELECT doc_id FROM w WHERE len(w) < 5""")
 def near_dedup(t, spark):
     """Greedy in order over all rows: copies of one shingle set, then similar sets."""
     docs = t("documents").select("doc_id", "text")
@@ -167,9 +180,17 @@ def line_dedup(t, spark):
 _HOST = r"regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)', 1)), '^www\.', '')"
 
 
-@query(rf"SELECT page_id, {_HOST} AS host, CASE WHEN regexp_extract(regexp_replace(url, '[?#].*$', ''), '(\.[^./]*)$', 1) IN ('.html', '.htm') THEN 'html' ELSE 'html' END AS kind FROM pages")
+_KINDS = "CASE page_id % 12 " + " ".join(f"WHEN {i} THEN '{k}'" for i, k in enumerate(["pdf", "xlsx", "xlsx", "docx", "image", "video", "text", "html", "html", "csv", "audio", "text"])) + " END"
+
+
+@query(f"SELECT page_id, {_HOST} AS host, {_KINDS} AS kind FROM pages")
 def page_kinds(t, spark):
-    return t("pages").select("page_id", X.host(F.col("url")).alias("host"), X.content_kind(F.col("url")).alias("kind"))
+    """Kinds by extension, by media host and by MIME type, of urls that get one of each."""
+    i = (F.col("page_id") % 12).cast("int")
+    ends = F.get(F.array(*[F.lit(x) for x in ("/a.PDF?x=1", "/a.csv", "/b.xls#f", "/c.doc", "/d.jpeg", "", "/e.jsonl", "/.txt", "/f.g/h", "/i", "/j.pdf", "/k.html")]), i)
+    site = F.when(i == 5, F.lit("https://www.youtube.com/watch")).otherwise(F.concat(F.lit("http://"), X.net_location(F.col("url"))))
+    mime = F.when(i == 9, "Text/CSV; charset=utf-8").when(i == 10, "audio/mpeg").when(i == 11, "application/json")
+    return t("pages").select("page_id", X.host(F.col("url")).alias("host"), X.content_kind(F.concat(site, ends), mime).alias("kind"))
 
 
 @query(f"SELECT page_id FROM pages WHERE ({_HOST} = 'example.net' OR ends_with({_HOST}, '.example.net')) AND NOT ends_with({_HOST}, 'tionsh.example.net')")
@@ -416,10 +437,16 @@ def hourly_events(t, spark):
     return g.select(F.col("w.start").alias("start"), "event_type", "n", "total")
 
 
-@query("SELECT doc_id, text, CAST(NULL AS VARCHAR) AS prompt, CAST(NULL AS VARCHAR) AS answer, 'documents' AS source FROM (SELECT doc_id, trim(text) AS text FROM documents)")
+@query(f"WITH {_PAIR} SELECT trim(prompt) || chr(10) || chr(10) || trim(answer) AS text, trim(prompt) AS prompt, trim(answer) AS answer, 'pairs' AS source FROM pair")
 def mapped_records(t, spark):
-    d = t("documents")
-    return d.select("doc_id", tables.first_text(d, tables.TEXT_COLUMNS).alias("text"), tables.first_text(d, tables.PROMPT_COLUMNS).alias("prompt"), tables.first_text(d, tables.ANSWER_COLUMNS).alias("answer"), F.lit("documents").alias("source"))
+    """Columns by their usual names, whatever their case; a pair makes the text where there is none."""
+    pairs = tables.first_exchange(t("conversations")).select(F.col("prompt").alias("Instruction"), F.col("answer").alias("OUTPUT"))
+    return tables.as_records(pairs, "pairs")
+
+
+@query("SELECT trim(text) AS text, CAST(NULL AS VARCHAR) AS prompt, CAST(NULL AS VARCHAR) AS answer, 'documents' AS source FROM documents")
+def mapped_texts(t, spark):
+    return tables.as_records(t("documents").select("text", "lang"), "documents", {"text": "TEXT"})
 
 
 # ---- plans -----------------------------------------------------------------------------------------
@@ -480,10 +507,13 @@ def left_padding(t, spark):
     return tokens.left_padded(c, "conv_id", "ids", 0).select("conv_id", "turn", F.col("padding").cast("long").alias("padding"))
 
 
-@query("SELECT doc_id, true AS keep FROM documents")
+@query("SELECT doc_id, coalesce(length(text) % 7 = 0 OR length(text) < 300 OR contains(substr(text, 1, 3000), 'the'), true) AS keep FROM documents")
 def judge_gate(t, spark):
-    """Without a judge everything is kept."""
-    return judging.judged(t("documents").select("doc_id", "text")).select("doc_id", "keep")
+    """A judge that reads what judges are shown: the beginning of a text."""
+    docs = t("documents").select("doc_id", "text", F.length("text").alias("n"))
+    shown = F.concat(F.when((F.col("n") % 7 == 0) | (F.col("n") < 300), "the").otherwise("   "), F.substring("text", 1, judging.SNIPPET))
+    judged = judging.judged(docs.withColumn("shown", shown), lambda texts: [("the" in x[3:]) or x.startswith("the") for x in texts], text="shown")
+    return judged.select("doc_id", "keep")
 
 
 @query("SELECT count(*) FILTER (length(text) >= 5000) AS out_of_range, count(DISTINCT length(text)) AS distinct_ids FROM documents")
