@@ -36,7 +36,11 @@ def bloom_unseen(df: DataFrame, size_bytes: int, text: str = "text", order: str
 
 def minhashes(shingles: Column, n: int = BANDS * ROWS) -> Column:
     """The least of each of n hash functions over a set of shingles."""
-    return F.array(*[F.array_min(F.transform(shingles, lambda s, seed=i: F.xxhash64(s, F.lit(seed)))) for i in range(n)])
+
+    def least(seed: int) -> Column:
+        return F.array_min(F.transform(shingles, lambda s: F.xxhash64(s, F.lit(seed))))
+
+    return F.array(*[least(i) for i in range(n)])
 
 
 def lsh_pairs(df: DataFrame, text: str = "text", order: str = "doc_id", bands: int = BANDS, rows: int = ROWS) -> DataFrame:

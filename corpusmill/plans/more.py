@@ -125,7 +125,7 @@ def bloom_dedup(t, spark):
 
 @query()
 def minhash_pairs(t, spark):
-    """MinHash bands; hashes that SQL lacks, so held against the exact pairs by a test."""
+    """MinHash bands; SQL lacks the hashes, so a test holds them against sets of known similarity."""
     return sketches.lsh_pairs(t("documents").select("doc_id", "text"))
 
 
