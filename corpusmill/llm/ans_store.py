@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from corpusmill.llm.bpe_codec import to_chars
-from corpusmill.llm.common import PieceEncoder, groups, materialize, new_path, pick, strings
+from corpusmill.llm.common import PieceEncoder, groups, materialize, new_path, pick, strings, tidy
 
 MAGIC = b"RNS1"
 LANES = 256
@@ -109,7 +109,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, vocab_size: int)
                 at += len(texts)
 
     docs = pick(docs, "doc_id", "text")
-    return docs.select(docs.doc_id.cast("long"), docs.text).mapInArrow(run, "doc_id long, n_tokens long, ids binary")
+    return docs.select(docs.doc_id.cast("long"), docs.text).mapInArrow(tidy(run), "doc_id long, n_tokens long, ids binary")
 
 
 # ---- the coder ------------------------------------------------------------------------
@@ -227,7 +227,7 @@ def write(tokens: DataFrame, path: str, vocab_size: int, n_buckets: int, block_i
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(seen[at])], ["id", "n"])
 
-    rows = tokens.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    rows = tokens.select("ids").mapInArrow(tidy(count), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(vocab_size, np.int64)
     for r in rows:
         counts[r.id] = r.n
@@ -284,7 +284,7 @@ def write(tokens: DataFrame, path: str, vocab_size: int, n_buckets: int, block_i
             yield flush()
 
     ordered = placed.select("bucket", "doc_id", "ids").repartitionById(max(n_buckets, 1), F.col("bucket").cast("int")).sortWithinPartitions("bucket", "doc_id", "ids")
-    ordered.mapInArrow(blocks, _BLOCK).write.option("compression", "none").parquet(f"{path}/blocks")
+    ordered.mapInArrow(tidy(blocks), _BLOCK).write.option("compression", "none").parquet(f"{path}/blocks")
 
 
 def _times(m: list[int], v: int) -> int:
@@ -335,7 +335,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 inner[0] = inner[-1] = False
                 yield pa.RecordBatch.from_arrays([docs.values.cast(pa.int64()), pa.array(begin), pa.array(piece), pa.array(n), pa.array(crc, pa.int64()), pa.array(inner)], ["doc_id", "start", "piece", "n", "crc", "whole"])
 
-    parts = spark.read.parquet(f"{path}/blocks").select("start", "doc_ids", "pieces", "first_start", "payload").mapInArrow(decode, "doc_id long, start long, piece long, n long, crc long, whole boolean")
+    parts = spark.read.parquet(f"{path}/blocks").select("start", "doc_ids", "pieces", "first_start", "payload").mapInArrow(tidy(decode), "doc_id long, start long, piece long, n long, crc long, whole boolean")
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -349,7 +349,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
     # A document in one piece has its checksum; only the pieces of split ones are gathered and joined.
     whole = parts.groupBy("doc_id", "start").agg(F.sum("n").alias("n_tokens"), F.count("*").alias("k"), F.max("crc").alias("crc"), F.collect_list(F.when(~F.col("whole"), F.struct("piece", "n", "crc"))).alias("found"))
-    return whole.select("doc_id", "start", "n_tokens", "crc", F.when(F.col("k") > 1, F.col("found")).alias("found")).mapInArrow(joined, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return whole.select("doc_id", "start", "n_tokens", "crc", F.when(F.col("k") > 1, F.col("found")).alias("found")).mapInArrow(tidy(joined), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def store_and_read(docs: DataFrame, tokenizer_path: str, *, end_id: int = 0, vocab_size: int, n_buckets: int | None = None) -> DataFrame:

@@ -38,14 +38,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.common import groups as text_groups
-from corpusmill.llm.common import materialize, pick, strings
+from corpusmill.llm.common import materialize, pick, strings, tidy
 from corpusmill.llm.pigeonhole_join import mix, word_hashes
 
 ORDER = 3
 BACKOFF = 0.4
 UNSEEN = 0.5
 #: Words of a group of documents, and of the corpus for each bucket of hashes.
-GROUP_WORDS, BUCKET_WORDS = 1 << 21, 1 << 21
+GROUP_WORDS, BUCKET_WORDS = 1 << 20, 1 << 21
 #: Bits of a hash besides those that choose its bucket.
 KEY_BITS = 44
 
@@ -111,16 +111,12 @@ def gather(docs: DataFrame, group_words: int = GROUP_WORDS) -> DataFrame:
             yield flush()
 
     docs = pick(docs, "doc_id", "text")
-    return docs.select(docs.doc_id.cast("long"), docs.text).mapInArrow(run, "group long, doc_ids array<long>, sizes array<long>, words binary, places binary")
+    return docs.select(docs.doc_id.cast("long"), docs.text).mapInArrow(tidy(run), "group long, doc_ids array<long>, sizes array<long>, words binary, places binary")
 
 
-def _group(words: bytes, places: bytes, sizes: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct words in order, each word's place among them, its hash, and documents' sizes."""
-    table, at = _unpack(words, "<u8"), _unpack(places, "<u4")
-    order = np.argsort(table)
-    place = np.empty(len(table), np.int64)
-    place[order] = np.arange(len(table))
-    return table[order], place[at], table[at], np.array(sizes, np.int64)
+def _group(words: bytes, places: bytes) -> np.ndarray:
+    """The hash of each word of a group."""
+    return _unpack(words, "<u8")[_unpack(places, "<u4")]
 
 
 def count_tables(groups: DataFrame, order: int, bits: int) -> DataFrame:
@@ -132,7 +128,7 @@ def count_tables(groups: DataFrame, order: int, bits: int) -> DataFrame:
         ends = np.arange(buckets, dtype=np.uint64) << np.uint64(min(64 - bits, KEY_BITS)) if bits else np.zeros(1, np.uint64)
         for batch in batches:
             for group, sizes, words, places in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                _, _, h, sizes = _group(words, places, sizes)
+                h, sizes = _group(words, places), np.array(sizes, np.int64)
                 for n, (_, keys) in enumerate(_keys(h, sizes, order, bits), 1):
                     k, c = np.unique(keys, return_counts=True)
                     cut = np.append(np.searchsorted(k, ends), len(k))
@@ -162,8 +158,8 @@ def count_tables(groups: DataFrame, order: int, bits: int) -> DataFrame:
         if held:
             yield flush(now, held)
 
-    asked = groups.select("group", "sizes", "words", "places").mapInArrow(ask, "bucket int, group long, n int, k binary, c binary")
-    return asked.repartition(buckets, "bucket").sortWithinPartitions("bucket", "n").mapInArrow(answer, "group long, n int, bucket int, counts binary")
+    asked = groups.select("group", "sizes", "words", "places").mapInArrow(tidy(ask), "bucket int, group long, n int, k binary, c binary")
+    return asked.repartition(buckets, "bucket").sortWithinPartitions("bucket", "n").mapInArrow(tidy(answer), "group long, n int, bucket int, counts binary")
 
 
 def _elsewhere(keys: np.ndarray, rest: np.ndarray, doc: np.ndarray, some: int = 1 << 17) -> np.ndarray:
@@ -192,9 +188,9 @@ def score(docs: DataFrame, *, order: int = ORDER, backoff: float = BACKOFF, unse
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for ids, sizes, words, places, found in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-                _, _, h, sizes = _group(words, places, sizes)
+                h, sizes = _group(words, places), np.array(sizes, np.int64)
                 doc = np.repeat(np.arange(len(sizes)), sizes)
-                value, seen, level = np.zeros(len(h)), np.zeros(len(h), bool), np.zeros(len(h), np.int64)
+                value, seen, level = np.zeros(len(h)), np.zeros(len(h), bool), np.zeros(len(h), np.int8)
                 context = (total - sizes)[doc].astype(np.float64)  # words outside the document
                 for n, (inside, keys) in enumerate(_keys(h, sizes, order, bits), 1):
                     got = [_unpack(x["counts"], "<u8") for x in sorted((x for x in found or [] if x["n"] == n), key=lambda x: x["bucket"])]
@@ -212,7 +208,7 @@ def score(docs: DataFrame, *, order: int = ORDER, backoff: float = BACKOFF, unse
                 back = np.concatenate([[0], np.cumsum(~seen)])
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes), pa.array(np.diff(back[ends]).astype(np.int64)), pa.array(sums, pa.float64())], ["doc_id", "n_words", "n_backoff", "score"])
 
-    return groups.join(answers, "group", "left").select("doc_ids", "sizes", "words", "places", "answers").mapInArrow(look_up, "doc_id long, n_words long, n_backoff long, score double")
+    return groups.join(answers, "group", "left").select("doc_ids", "sizes", "words", "places", "answers").mapInArrow(tidy(look_up), "doc_id long, n_words long, n_backoff long, score double")
 
 
 ORACLE = f"""

@@ -25,7 +25,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from corpusmill.llm.common import CACHE_PIECES, PieceEncoder, groups, pick, strings
+from corpusmill.llm.common import CACHE_PIECES, PieceEncoder, groups, pick, strings, tidy
 
 #: One printable character for each byte, so that a piece is a plain string: bytes that
 #: print as they are stand for themselves, the others follow from code point 256 on.
@@ -151,7 +151,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, *, keep_ids
                 at += len(texts)
 
     docs = pick(docs, "doc_id", "text")
-    return docs.select(docs.doc_id.cast("long"), docs.text).mapInArrow(run, T.StructType(fields))
+    return docs.select(docs.doc_id.cast("long"), docs.text).mapInArrow(tidy(run), T.StructType(fields))
 
 
 def decode_documents(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
@@ -164,4 +164,4 @@ def decode_documents(encoded: DataFrame, ranks_path: str, pattern: str) -> DataF
                 part = batch.slice(i, 256)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([c.decode(v.as_py() or b"").decode("utf-8", "replace") for v in part.column(1)], pa.string())], ["doc_id", "text"])
 
-    return pick(encoded, "doc_id", "ids").mapInArrow(run, "doc_id long, text string")
+    return pick(encoded, "doc_id", "ids").mapInArrow(tidy(run), "doc_id long, text string")

@@ -2,30 +2,29 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
-import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
 from itertools import chain, filterfalse
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from corpusmill.session import shared_folder
+
 #: Characters of text that are tokenised at a time; bounds the worker's lists.
 GROUP_CHARS = 1 << 20
 #: Distinct pieces that a worker remembers before it starts afresh.
-CACHE_PIECES = 1 << 19
+CACHE_PIECES = 1 << 18
 
 _BEFORE_SPACE = re.compile(r"\s ")
 
 
 def work_root(spark: SparkSession) -> str:
-    """The shared folder of this session; a folder of our own only where none is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="corpusmill-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/corpusmill"
+    """A folder of ours in the one that all nodes share."""
+    return f"{shared_folder(spark).rstrip('/')}/corpusmill"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -59,6 +58,21 @@ def parallel(df: DataFrame, least: int | None = None) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= least else df.repartition(least)
 
 
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A task's function that gives its memory back at the end: workers live on, and what they
+    keep counts against the executor while later stages run."""
+
+    @wraps(run)
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+        if trim:
+            trim(0)
+
+    return wrapped
+
+
 def groups(texts: Iterable[str | None]) -> Iterator[list[str]]:
     """Consecutive texts (null: empty) in lists of about GROUP_CHARS characters."""
     out, chars = [], 0

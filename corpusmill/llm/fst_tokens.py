@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from corpusmill.llm.bpe_codec import BYTE_CHAR
-from corpusmill.llm.common import groups, pick, strings
+from corpusmill.llm.common import groups, pick, strings, tidy
 
 CHUNK = 512
 #: States of the second transducer, and matches, that a worker remembers before it starts afresh.
@@ -403,4 +403,4 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 2048) -> Dat
                 at += len(texts)
 
     docs = pick(docs, "doc_id", "text")
-    return docs.select(docs.doc_id.cast("long"), docs.text).mapInArrow(run, schema)
+    return docs.select(docs.doc_id.cast("long"), docs.text).mapInArrow(tidy(run), schema)

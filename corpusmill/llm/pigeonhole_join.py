@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import groups, materialize, pick, strings
+from corpusmill.llm.common import groups, materialize, pick, strings, tidy
 from corpusmill.llm.graph import components
 
 WORDS = 5
@@ -316,7 +316,7 @@ def fingerprints(docs: DataFrame, n: int, seed: int) -> DataFrame:
                 )
                 at += len(texts)
 
-    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, "doc_id long, text_hash long, n_shingles long, node long, guard long, hist binary, coarse binary")
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(tidy(run), "doc_id long, text_hash long, n_shingles long, node long, guard long, hist binary, coarse binary")
 
 
 def shared_keys(docs: DataFrame, n: int, percent: int, seed: int, buckets: int) -> DataFrame:
@@ -413,8 +413,8 @@ def shared_keys(docs: DataFrame, n: int, percent: int, seed: int, buckets: int)
         if rows:
             yield flush(now, rows)
 
-    packed = docs.select("text").mapInArrow(pack, "bucket int, k binary, f binary, count binary, nodes binary, room binary")
-    return packed.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(unpack, "key long, node long, flags int, others long")
+    packed = docs.select("text").mapInArrow(tidy(pack), "bucket int, k binary, f binary, count binary, nodes binary, room binary")
+    return packed.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(tidy(unpack), "key long, node long, flags int, others long")
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, percent: int, seed: int) -> DataFrame:
@@ -479,8 +479,8 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, perce
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").alias("rep"), F.xxhash64("text").alias("text_hash"), "text").alias("d").join(meets.alias("m"), (F.col("d.text_hash") == F.col("m.text_hash")) & F.col("d.rep").eqNullSafe(F.col("m.rep")))
     schema = "g long, part int, salt int, guest boolean, node long, bs array<long>, "
-    sent = rows.select("g", "part", "salt", "guest", "node", "bs", "text").mapInArrow(sets, schema + "h binary")
-    return materialize(sent.repartition(tasks, "g", "part", "salt").sortWithinPartitions("g", "part", "salt", "guest").mapInArrow(linked, "a long, b long"), "links")
+    sent = rows.select("g", "part", "salt", "guest", "node", "bs", "text").mapInArrow(tidy(sets), schema + "h binary")
+    return materialize(sent.repartition(tasks, "g", "part", "salt").sortWithinPartitions("g", "part", "salt", "guest").mapInArrow(tidy(linked), "a long, b long"), "links")
 
 
 def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -497,7 +497,7 @@ def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(i).filter(keep) for i in range(3)], ["a", "b", "g"])
 
     rows = pairs.join(nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("hist").alias("x")), "a").join(nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("hist").alias("y")), "b")
-    return materialize(rows.select("a", "b", "g", "x", "y", "na", "nb").mapInArrow(run, "a long, b long, g long"), "possible")
+    return materialize(rows.select("a", "b", "g", "x", "y", "na", "nb").mapInArrow(tidy(run), "a long, b long, g long"), "possible")
 
 
 def _probing(shared: DataFrame) -> DataFrame:
@@ -562,7 +562,7 @@ def _met(rows: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(arrays, ["a", "b", "g"])
 
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return index.unionByName(guests).repartition(tasks, "key", "part").sortWithinPartitions("key", "part", "guest").mapInArrow(meet, "a long, b long, g long")
+    return index.unionByName(guests).repartition(tasks, "key", "part").sortWithinPartitions("key", "part", "guest").mapInArrow(tidy(meet), "a long, b long, g long")
 
 
 def link(docs: DataFrame, *, n: int = WORDS, percent: int = PERCENT, buckets: int | None = None) -> DataFrame:

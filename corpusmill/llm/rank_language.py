@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import groups, pick, strings
+from corpusmill.llm.common import groups, pick, strings, tidy
 
 PROFILE = 400
 HELD_OUT = 2
@@ -107,7 +107,7 @@ def learn(docs: DataFrame, size: int = PROFILE) -> dict[str, list[int]]:
                         held = 0
         yield from flush()
 
-    counted = docs.select("lang", "text").mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counted = docs.select("lang", "text").mapInArrow(tidy(count), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     # As the codes are unsigned, those with the top bit come last.
     first = Window.partitionBy("lang").orderBy(F.desc("n"), F.col("gram") < 0, "gram")
     rows = counted.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= size).select("lang", "gram", "rank").collect()
@@ -155,4 +155,4 @@ def predict(docs: DataFrame, profiles: dict[str, list[int]], size: int = PROFILE
                 at += len(texts)
 
     docs = pick(docs, "doc_id", "text")
-    return docs.select(docs.doc_id.cast("long"), docs.text).mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    return docs.select(docs.doc_id.cast("long"), docs.text).mapInArrow(tidy(run), "doc_id long, held_out boolean, lang_pred string, score double")

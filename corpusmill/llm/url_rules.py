@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import pick
+from corpusmill.llm.common import pick, tidy
 
 #: Fixed values of the contract.
 RULES = [
@@ -112,9 +112,9 @@ def apply_rules(pages: DataFrame, rules: DataFrame, default: str = "allow") -> D
             columns = list(zip(*out, strict=True)) or [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if i else pa.int64()) for i, c in enumerate(columns)], ["page_id", "host", "path", "rule", "verdict"])
 
-    rows = p.mapInArrow(deal, _ROW).unionByName(r.mapInArrow(spread, _ROW))
+    rows = p.mapInArrow(tidy(deal), _ROW).unionByName(r.mapInArrow(tidy(spread), _ROW))
     rows = rows.repartitionById(len(ends) + 1, F.col("part")).sortWithinPartitions("part", "key", "kind", "path", "page_id")
-    return rows.mapInArrow(sweep, _OUT)
+    return rows.mapInArrow(tidy(sweep), _OUT)
 
 
 ORACLE = r"""
