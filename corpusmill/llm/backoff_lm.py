@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.common import groups as text_groups
-from corpusmill.llm.common import materialize, pick, strings, tidy
+from corpusmill.llm.common import materialize_bucketed, pick, strings, tidy
 from corpusmill.llm.pigeonhole_join import mix, word_hashes
 
 ORDER = 3
@@ -179,10 +179,11 @@ def _elsewhere(keys: np.ndarray, rest: np.ndarray, doc: np.ndarray, some: int =
 def score(docs: DataFrame, *, order: int = ORDER, backoff: float = BACKOFF, unseen: float = UNSEEN, bits: int | None = None) -> DataFrame:
     """doc_id, n_words, n_backoff, score of every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
-    groups = materialize(gather(docs), "groups")
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    groups = materialize_bucketed(gather(docs), "groups", "group", partitions)
     total = groups.select(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     if bits is None:
-        bits = (max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_WORDS)) - 1).bit_length()
+        bits = (max(partitions, -(-total // BUCKET_WORDS)) - 1).bit_length()
     answers = count_tables(groups, order, bits).groupBy("group").agg(F.collect_list(F.struct("n", "bucket", "counts")).alias("answers"))
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -40,6 +40,27 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialize_bucketed(df: DataFrame, name: str, by: str, buckets: int) -> DataFrame:
+    """As ``materialize``, in buckets of a column: a join on it moves the other side only."""
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    table = f"corpusmill_{path.rsplit('-', 1)[-1]}"
+    df.write.format("parquet").bucketBy(buckets, by).option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
+#: Bytes of rows that a Python worker is sent at a time, where the session sets nothing.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Texts are long: by Spark's default a batch of rows has 64 MB, in the executor's memory
+    twice and in the worker's once.  Any other setting stays as it is."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) in ("67108864b", "64MB"):
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def purge(spark: SparkSession) -> None:
     """Delete what ``materialize`` wrote in this session's folder."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
@@ -48,7 +69,9 @@ def purge(spark: SparkSession) -> None:
 
 
 def pick(df: DataFrame, *names: str) -> DataFrame:
-    """Only the named columns; extra columns, whatever their names, never get further."""
+    """Only the named columns; extra columns, whatever their names, never get further.  What
+    is done with them gets small batches."""
+    small_batches(df.sparkSession)
     return df.select(*[df[f"`{n}`"] for n in names])
 
 

@@ -63,7 +63,7 @@ BLOCK = 2048
 #: Rounds that hold nodes against one hub each, before all pairs left are.
 ROUNDS = 2
 #: Shingles that a bucket of keys gets, and keys that are packed at a time.
-BUCKET_SHINGLES, PACKED_KEYS = 1 << 21, 1 << 20
+BUCKET_SHINGLES, PACKED_KEYS = 1 << 20, 1 << 19
 _MASK = (1 << 64) - 1
 
 
