@@ -8,6 +8,9 @@ Verdicts belong to rows, told apart by a 64-bit hash of doc_id and text: rows wi
 are judged like others, and texts under one doc_id each by itself.  Of linked rows one is
 left, that with the smallest doc_id, one without doc_id only if no other is linked to it; of
 rows with the same doc_id and text one is left behind that stage, the least by its columns.
+
+Defined results: null texts have no letter and go at the first stage; empty tables stay empty;
+extra columns come along to the last stage but one, whatever their names, and end there.
 """
 
 from __future__ import annotations
