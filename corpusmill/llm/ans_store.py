@@ -51,6 +51,8 @@ _HEADER = struct.Struct("<4sIIII")
 
 
 SPACE_CHAR = to_chars(b" ")
+#: Pieces that a worker remembers; with half of them encoding takes a quarter longer.
+REMEMBERED = 1 << 19
 
 
 class LibraryEncoder:
@@ -68,7 +70,7 @@ class LibraryEncoder:
             spec = json.load(f)
         before = spec["pre_tokenizer"] or {}
         direct = spec["normalizer"] is None and before.get("type") == "ByteLevel" and before["use_regex"] and not before["add_prefix_space"]
-        self.pieces = PieceEncoder(self._matches if direct else self._texts, self._texts, lambda t: any(s in t for s in special))
+        self.pieces = PieceEncoder(self._matches if direct else self._texts, self._texts, lambda t: any(s in t for s in special), REMEMBERED)
 
     def _matches(self, matches: list[str]) -> list[bytes]:
         run, code = self.tokenizer.model.tokenize, "H" if self.width == "<u2" else "I"

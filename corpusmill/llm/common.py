@@ -131,7 +131,8 @@ class PieceEncoder:
 
     MARKS = frozenset(".,;:!?")
 
-    def __init__(self, matches: Callable[[list[str]], list[bytes]], texts: Callable[[list[str]], list[bytes]], whole: Callable[[str], bool] | None = None):
+    def __init__(self, matches: Callable[[list[str]], list[bytes]], texts: Callable[[list[str]], list[bytes]], whole: Callable[[str], bool] | None = None, remembered: int = CACHE_PIECES):
+        self.remembered = remembered
         self.matches, self.texts, self.whole = matches, texts, whole
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -176,7 +177,7 @@ class PieceEncoder:
     def __call__(self, texts: list[str]) -> list[bytes]:
         split = [None if _BEFORE_SPACE.search(t) or (self.whole and self.whole(t)) else t.split(" ") for t in texts]
         heads = self.texts([t if pieces is None else pieces.pop(0) for t, pieces in zip(texts, split, strict=True)])
-        if len(self.young) > CACHE_PIECES:  # what wasn't met for long is forgotten
+        if len(self.young) > self.remembered:  # what wasn't met for long is forgotten
             self.young, self.old = {}, self.young
         wanted = set(filterfalse(self.young.__contains__, chain.from_iterable(filter(None, split))))
         known = self._learn(wanted).__getitem__
