@@ -509,10 +509,12 @@ def left_padding(t, spark):
 
 @query("SELECT doc_id, coalesce(length(text) % 7 = 0 OR length(text) < 300 OR contains(substr(text, 1, 3000), 'the'), true) AS keep FROM documents")
 def judge_gate(t, spark):
-    """A judge that reads what judges are shown: the beginning of a text."""
+    """A judge that reads what judges are shown: the beginning of a text, here behind a mark of
+    three characters; it finds nothing against a missing text."""
     docs = t("documents").select("doc_id", "text", F.length("text").alias("n"))
     shown = F.concat(F.when((F.col("n") % 7 == 0) | (F.col("n") < 300), "the").otherwise("   "), F.substring("text", 1, judging.SNIPPET))
-    judged = judging.judged(docs.withColumn("shown", shown), lambda texts: [("the" in x[3:]) or x.startswith("the") for x in texts], text="shown")
+    docs = docs.withColumn("shown", F.coalesce(shown, F.lit("the")))
+    judged = judging.judged(docs, lambda texts: [("the" in x[3:]) or x.startswith("the") for x in texts], text="shown", snippet=3 + judging.SNIPPET)
     return judged.select("doc_id", "keep")
 
 
