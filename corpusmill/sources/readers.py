@@ -13,9 +13,12 @@ MOST_JSON_BYTES = 300 << 20
 
 
 def worker_share(files: DataFrame, worker: int, workers: int, path: str = "path") -> DataFrame:
-    """The files whose place in order of their names falls to a worker."""
-    place = F.row_number().over(Window.orderBy(path)) - 1  # one row per file
-    return files.withColumn("_place", place).filter(F.col("_place") % workers == worker).drop("_place")
+    """The files whose place in order of their names, those without one last, falls to a worker;
+    with their place.  Each row is a file, whether its name occurs again or not."""
+    from corpusmill.operators import packing
+
+    placed = packing.running_offset(files.withColumn("_none", F.col(path).isNull()), ["_none", path], F.lit(1))
+    return placed.filter(F.col("offset") % workers == worker).withColumnRenamed("offset", "place").drop("_none")
 
 
 def shuffled(files: DataFrame, seed: int = 42, path: str = "path") -> DataFrame:

@@ -1,5 +1,7 @@
 """Queries against their SQL on tables that the generated data does not have."""
 
+import random
+
 import pyarrow as pa
 import pyarrow.parquet as pq
 from conftest import same
@@ -17,3 +19,8 @@ def test_judge_gate_shows_the_judge_all_of_the_beginning(spark, tmp_path):
     """The last characters shown, the first ones not shown, and a missing text."""
     texts = [("x" * at + "the").ljust(3502, "x") for at in (2990, 2995, 2996, 2997, 2998, 3000)] + ["x" * 3502, None]
     check(spark, tmp_path, "judge_gate", documents={"doc_id": list(range(len(texts))), "text": texts})
+
+def test_worker_files_counts_repeated_urls(spark, tmp_path):
+    urls = [f"http://h/{i // 3}" for i in range(40)] + ["http://h/5", None, None, ""]
+    random.Random(1).shuffle(urls)
+    check(spark, tmp_path, "worker_files", pages={"page_id": list(range(len(urls))), "url": pa.array(urls, pa.string())})
