@@ -24,3 +24,15 @@ def test_worker_files_counts_repeated_urls(spark, tmp_path):
     urls = [f"http://h/{i // 3}" for i in range(40)] + ["http://h/5", None, None, ""]
     random.Random(1).shuffle(urls)
     check(spark, tmp_path, "worker_files", pages={"page_id": list(range(len(urls))), "url": pa.array(urls, pa.string())})
+
+
+def test_intervals_that_occur_again_change_nothing(spark, tmp_path):
+    """The SQL itself needs rows without repeats: its ORDER BY leaves equal rows open, and its
+    two windows may take them in different orders."""
+    ids = [i * 37 for i in range(600)]
+    for name, times in (("once", 1), ("again", 9)):
+        (tmp_path / name).mkdir()
+        many = [i + 20000 * k for k in range(times) for i in ids]
+        pq.write_table(pa.table({"event_id": many, "user_id": [i % 20000 % 5 for i in many]}), tmp_path / name / "events.parquet")
+    for query in ("merged_intervals", "unused_intervals"):
+        same(registry.queries()[query](spark, str(tmp_path / "again")), registry.oracle_sql()[query], str(tmp_path / "once"))
