@@ -2,7 +2,7 @@
 
 1. Words of every document become features (a word's hash among FEATURES); blocks of BLOCK
    words are the passages.  Document frequencies over all passages give the idf weights.
-2. Randomised SVD, distributed: with A a bounded sample of the passages' normalised TF-IDF rows and W a random
+2. Randomised SVD, distributed: with A all passages' normalised TF-IDF rows and W a random
    FEATURES x (RANK + EXTRA) matrix, each task adds its passages' share of (A'A)W; the sum is
    of fixed size whatever the corpus.  The leading eigenpairs follow from it by Nyström's
    formula on the driver.
@@ -59,9 +59,11 @@ RARE = 0.6
 _PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»„“”‘’…–—¿¡|"
 #: Windows begin at multiples of so many words.
 STEP = 8
-#: Passages that the latent basis is fitted on: rows are sampled once the corpus has more, each
-#: by itself, copies too.  Frequencies and the search cover all rows.
-FIT_PASSAGES = 1 << 18
+#: Passages that the latent basis is fitted on: all, unless a caller sets a bound and so has rows
+#: sampled, each by itself, copies too.  Frequencies and the search cover all rows anyway.
+FIT_PASSAGES: int | None = None
+#: Passages that the fit takes at a time.
+FIT_AT_ONCE = 1 << 13
 #: Slices in which sums over features are passed on.
 SLICES = 16
 
@@ -248,22 +250,33 @@ def fit(docs: DataFrame, rank: int = RANK, seed: int = 1) -> Basis:
         return np.random.default_rng(seed).standard_normal((FEATURES + 1, size)).astype(np.float32)
 
     def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        omega, total = matrix(), np.zeros((FEATURES + 1, size), np.float32)
-        for rows in (x for many in _passages(batches) for x in np.array_split(many, -(-len(many) // 512))):
-            w = idf[rows]
-            w /= np.maximum(np.sqrt((w * w).sum(axis=1, keepdims=True)), 1e-9)
-            y = np.einsum("pbk,pb->pk", omega[rows], w)
-            f = rows.reshape(-1)
-            order = np.argsort(f, kind="stable")
-            g = f[order]
-            first = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
-            total[g[first]] += np.add.reduceat(y[order // BLOCK] * w.reshape(-1)[order][:, None], first, axis=0)
-        yield _slices(total[:FEATURES].reshape(-1))
-
-    # The basis is the index's fit; a task's partial sum has a fixed size, so few tasks sum it.
-    share_of = min(1.0, FIT_PASSAGES / n)
-    sample = docs.sample(share_of, seed=seed) if share_of < 1 else docs
-    z = _added(sample.repartition(2 * docs.sparkSession.sparkContext.defaultParallelism).mapInArrow(tidy(share), "slice int, sum binary"), "<f4")
+        # A passage's row of A is its features' idf over its norm, so idf is multiplied in by
+        # feature, before the first sum and behind the second one.
+        omega, total = matrix() * idf[:, None], np.zeros((size, FEATURES + 1))
+
+        def add(rows: np.ndarray) -> None:
+            y = np.empty((size, len(rows)))
+            for i in range(0, len(rows), 128):
+                part = rows[i : i + 128]
+                w = idf[part]
+                y[:, i : i + 128] = (omega[part].sum(axis=1) / np.maximum(np.einsum("pb,pb->p", w, w), 1e-18)[:, None]).T
+            feature = rows.reshape(-1).astype(np.intp)
+            for c in range(size):
+                total[c] += np.bincount(feature, np.repeat(y[c], BLOCK), FEATURES + 1)
+
+        held: list[np.ndarray] = []
+        for rows in _passages(batches):
+            held.append(rows)
+            if sum(map(len, held)) >= FIT_AT_ONCE:
+                add(np.concatenate(held))
+                held = []
+        if held:
+            add(np.concatenate(held))
+        yield _slices((total * idf).T[:FEATURES].astype(np.float32).reshape(-1))
+
+    if FIT_PASSAGES and FIT_PASSAGES < n:
+        docs = docs.sample(FIT_PASSAGES / n, seed=seed)
+    z = _added(docs.mapInArrow(tidy(share), "slice int, sum binary"), "<f4")
     z = np.concatenate([z[i] for i in range(SLICES)]).reshape(FEATURES, size).astype(np.float64)
     # Nyström: A'A is about Z (W'Z)^-1 Z'.
     core = matrix()[:FEATURES].astype(np.float64).T @ z

@@ -506,3 +506,35 @@ def test_url_rules_nest_and_spread(spark):
         assert (got[i].host, got[i].path, got[i].rule, got[i].verdict) == (host, path, rule, verdict)
     assert url_rules.apply_rules(pages.limit(0), rules).count() == 0
     assert {r.verdict for r in url_rules.apply_rules(pages, rules.limit(0)).collect()} == {"allow"}
+
+
+def test_the_basis_is_fitted_on_every_passage(spark, monkeypatch):
+    """Nothing is sampled by itself, and the sums are those of the whole matrix."""
+    sampled = []
+    monkeypatch.setattr(type(spark.range(1)), "sample", lambda self, *a, **b: sampled.append(a) or self)
+    rng = random.Random(4)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.7)) % 3000}" for _ in range(50)) for _ in range(400)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    parts, added, n = [], latent_leaks._added, 1 << 20
+
+    def counted(*a):
+        parts.append({k: x.copy() for k, x in added(*a).items()})
+        if len(parts) == 1:  # as if the corpus were large
+            assert parts[0][latent_leaks.SLICES - 1][-1] == 800
+            parts[0][latent_leaks.SLICES - 1][-1] = n
+        return parts[-1]
+
+    monkeypatch.setattr(latent_leaks, "_added", counted)
+    latent_leaks.fit(docs)
+    df, z = (np.concatenate([p[i] for i in range(latent_leaks.SLICES)]) for p in parts)
+    rows = [latent_leaks.words_of(t).feature for t in texts]
+    blocks = [r[i : i + latent_leaks.BLOCK] for r in rows for i in range(0, len(r), latent_leaks.BLOCK)]
+    assert not sampled and len(blocks) == 800
+    size = latent_leaks.RANK + latent_leaks.EXTRA
+    w = np.random.default_rng(1).standard_normal((latent_leaks.FEATURES + 1, size)).astype(np.float32)
+    idf = np.where(df > 0, np.log((1 + n) / (1 + df)) + 1e-3, 0)
+    expected = np.zeros((latent_leaks.FEATURES, size))
+    for b in blocks:
+        a = idf[b] / np.linalg.norm(idf[b])
+        np.add.at(expected, b, a[:, None] * (a @ w[b]))
+    assert np.abs(z.reshape(-1, size) - expected).max() < 1e-3 * np.abs(expected).max()
