@@ -128,3 +128,10 @@ def test_stages_take_empty_tables_and_extra_columns(spark):
         assert stage(spark, docs.limit(0), SF).count() == 0
         some = docs.limit(30).selectExpr("*", "1 as node", "'x' as key", "array(1) as words")
         assert stage(spark, some, SF).count() > 0
+
+
+def test_the_leaks_stage_fits_on_all_its_rows(spark, monkeypatch):
+    docs, seen, fit = spark.read.parquet(f"{SF}/documents.parquet"), [], latent_leaks.fit
+    monkeypatch.setattr(latent_leaks, "fit", lambda d: seen.append((d.count(), latent_leaks.FIT_PASSAGES)) or fit(d))
+    corpus_pipeline.remove_benchmark_leaks(spark, docs, SF)
+    assert seen == [(docs.count(), None)]
