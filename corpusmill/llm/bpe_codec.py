@@ -116,6 +116,11 @@ class Codec:
         known.update(zip(new, self._matches(new), strict=True))
         return [b"".join([known[w] for w in words]) for words in split]
 
+    def forget(self) -> None:
+        """Gives back what was remembered of texts."""
+        self.known = {}
+        self.pieces.forget()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
         return self.pieces(texts)
@@ -149,6 +154,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, *, keep_ids
                 columns = [batch.column(0).slice(at, len(texts)), pa.array([len(p) // 4 for p in packed], pa.int64()), pa.array([sha(p) for p in packed]), pa.array([sha(c.decode(p)) for p in packed])]
                 yield pa.RecordBatch.from_arrays(columns + ([pa.array(packed, pa.binary())] if keep_ids else []), names)
                 at += len(texts)
+        c.forget()
 
     docs = pick(docs, "doc_id", "text")
     return docs.select(docs.doc_id.cast("long"), docs.text).mapInArrow(tidy(run), T.StructType(fields))

@@ -7,7 +7,8 @@ import re
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 from functools import wraps
-from itertools import chain, filterfalse
+from itertools import chain, compress, repeat
+from operator import is_
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -50,7 +51,7 @@ def materialize_bucketed(df: DataFrame, name: str, by: str, buckets: int) -> Dat
 
 
 #: Bytes of rows that a Python worker is sent at a time, where the session sets nothing.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -179,6 +180,19 @@ class PieceEncoder:
         heads = self.texts([t if pieces is None else pieces.pop(0) for t, pieces in zip(texts, split, strict=True)])
         if len(self.young) > self.remembered:  # what wasn't met for long is forgotten
             self.young, self.old = {}, self.young
-        wanted = set(filterfalse(self.young.__contains__, chain.from_iterable(filter(None, split))))
-        known = self._learn(wanted).__getitem__
-        return [h + b"".join(map(known, p)) if p else h for h, p in zip(heads, split, strict=True)]
+        pieces = list(chain.from_iterable(filter(None, split)))
+        ids = list(map(self.young.get, pieces))
+        wanted = set(compress(pieces, map(is_, ids, repeat(None))))
+        if wanted:
+            known = self._learn(wanted)
+            ids = [known[p] if x is None else x for x, p in zip(ids, pieces, strict=True)]
+        out, at = [], 0
+        for h, p in zip(heads, split, strict=True):
+            n = len(p) if p else 0
+            out.append(h + b"".join(ids[at : at + n]) if n else h)
+            at += n
+        return out
+
+    def forget(self) -> None:
+        """Between tasks: most of what is remembered is rare, and idle workers should be small."""
+        self.young, self.old = {}, {}

@@ -194,8 +194,10 @@ def _added(partial: DataFrame, dtype: str) -> np.ndarray:
     return {r.slice: np.frombuffer(r.sum, dtype) for r in rows}
 
 
-def _slices(x: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array([s.tobytes() for s in np.split(x, SLICES)], pa.binary())], ["slice", "sum"])
+def _slices(x: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """One by one: the executor holds a batch outside its heap."""
+    for i, s in enumerate(np.split(x, SLICES)):
+        yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([s.tobytes()], pa.binary())], ["slice", "sum"])
 
 
 def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
@@ -233,7 +235,7 @@ def fit(docs: DataFrame, rank: int = RANK, seed: int = 1) -> Basis:
             first[:, 1:] = rows[:, 1:] != rows[:, :-1]
             df[:FEATURES] += np.bincount(rows[first], minlength=FEATURES + 1)[:FEATURES]
             df[-1] += len(rows)
-        yield _slices(df)
+        yield from _slices(df)
 
     df = _added(docs.mapInArrow(tidy(frequencies), "slice int, sum binary"), "<i8")
     if not df:
@@ -272,11 +274,12 @@ def fit(docs: DataFrame, rank: int = RANK, seed: int = 1) -> Basis:
                 held = []
         if held:
             add(np.concatenate(held))
-        yield _slices((total * idf).T[:FEATURES].astype(np.float32).reshape(-1))
+        yield from _slices((total * idf).T[:FEATURES].astype(np.float32).reshape(-1))
 
     if FIT_PASSAGES and FIT_PASSAGES < n:
         docs = docs.sample(FIT_PASSAGES / n, seed=seed)
-    z = _added(docs.mapInArrow(tidy(share), "slice int, sum binary"), "<f4")
+    # A task's partial sum has a fixed size, so few tasks sum it, each over several parts of the rows.
+    z = _added(docs.coalesce(2 * docs.sparkSession.sparkContext.defaultParallelism).mapInArrow(tidy(share), "slice int, sum binary"), "<f4")
     z = np.concatenate([z[i] for i in range(SLICES)]).reshape(FEATURES, size).astype(np.float64)
     # Nyström: A'A is about Z (W'Z)^-1 Z'.
     core = matrix()[:FEATURES].astype(np.float64).T @ z
