@@ -18,8 +18,9 @@ by cost, first what is empty, then those whose subset most others have.
 3. In ROUNDS rounds, each node is held against one hub of its keys.  Linked ones form
    components, so that near copies never expand into all pairs.
 4. Keys in which several components are left are dealt out in blocks of BLOCK indexed nodes,
-   past which the probing ones stream; pairs of different components that sizes and
-   histograms don't exclude are verified exactly.
+   past which the probing ones stream, those that one node leads to one task, which tells of
+   a pair once; pairs of different components that sizes and histograms don't exclude are
+   verified exactly.
 
 A histogram counts a set's elements by hash in bins of about PER_BIN; the distance of two is
 at most the difference of the sets.  A shingle is a 64-bit hash, a node the 64-bit hash of
@@ -60,6 +61,10 @@ BROADCAST_IDS = 1_000_000
 HELD, GROUP = 1 << 21, 512
 #: Indexed nodes of a key that are held together.
 BLOCK = 2048
+#: Rows of keys with one lead that stay together, and pairs that a task holds before it tells of them.
+LEAD_ROWS, MET_PAIRS = 1 << 15, 1 << 20
+#: What a node is to a key: those that are indexed are sorted before the guests.
+INDEXED, BOTH, GUEST = 0, 1, 2
 #: Rounds that hold nodes against one hub each, before all pairs left are.
 ROUNDS = 2
 #: Shingles that a bucket of keys gets, and keys that are packed at a time.
@@ -534,35 +539,83 @@ def _stars(met: DataFrame) -> DataFrame:
 
 def _met(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b, g) of different components that meet in a key which the larger one, a,
-    probes and b indexes, as far as sizes and coarse histograms allow; some more than once."""
-    rows = rows.withColumn("parts", F.ceil(F.col("many") / BLOCK).cast("int"))
-    columns = ["node", "root", "n", "coarse"]
-    index = rows.filter("indexes").select("key", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), F.lit(False).alias("guest"), *columns)
-    guests = rows.filter("probes").select("key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(True).alias("guest"), *columns)
+    probes and b indexes, as far as sizes and coarse histograms allow; some more than once.
+
+    Like texts meet in most of their keys, so keys go where their lead does, the node that
+    shares most, and a pair is told of once there."""
+    busy = rows.groupBy("lead").count().filter(F.col("count") > LEAD_ROWS).select("lead", F.ceil(F.col("count") / LEAD_ROWS).alias("salts"))
+    rows = rows.join(F.broadcast(busy), "lead", "left").withColumn("lead", F.when(F.col("salts").isNull(), F.col("lead")).otherwise(F.xxhash64("lead", F.pmod("key", "salts"))))
+    rows = rows.filter("probes or indexes").withColumn("parts", F.ceil(F.col("many") / BLOCK).cast("int")).withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    # A key in one part gets each node once; in several, an indexed one goes to its own part, a probing one to all.
+    places = F.expr(f"""CASE WHEN parts = 1 THEN array(struct(0 AS part, CASE WHEN NOT probes THEN {INDEXED} WHEN indexes THEN {BOTH} ELSE {GUEST} END AS kind))
+        ELSE concat(filter(array(struct(own AS part, {INDEXED} AS kind)), x -> indexes), filter(transform(sequence(0, parts - 1), p -> struct(p AS part, {GUEST} AS kind)), x -> probes)) END""")
+    placed = rows.select("lead", "key", F.explode(places).alias("at"), "node", "root", "n", "coarse").select("lead", "at.part", "key", "at.kind", "node", "root", "n", "coarse")
+
+    def once(found: list[tuple[np.ndarray, ...]]) -> list[tuple[np.ndarray, ...]]:
+        if not found:
+            return []
+        a, b, g = (np.concatenate([x[i] for x in found]) for i in range(3))
+        order = np.lexsort((b, a))
+        a, b, g = a[order], b[order], g[order]
+        new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+        return [(a[new], b[new], g[new])]
+
+    def sent(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[i] for x in found]) if found else np.empty(0, np.int64)) for i in range(3)], ["a", "b", "g"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held, ready = None, [], None
+        group, now, held, guests, ready = None, None, [], [], None
+        done, found, size = [], [], 0  # pairs of groups that are through, and of this one
+
+        def visit(node: int, root: int, n: int, hist: bytes) -> int:
+            (nodes, roots, sizes), hists = ready
+            at = np.flatnonzero(((sizes < n) | ((sizes == n) & (nodes < node))) & (roots != root) & (100 * sizes >= percent * n))
+            if len(at):
+                at = at[distance(hists[at], np.frombuffer(hist, np.uint8)) <= _most_different(np.int64(n), sizes[at], percent)]
+            if len(at):
+                found.append((np.full(len(at), node, np.int64), nodes[at], roots[at]))
+            return len(at)
+
+        def seated() -> int:
+            """Makes ready for guests; those that are indexed as well come first."""
+            nonlocal ready
+            ready = [np.array([x[i] for x in held], np.int64) for i in range(3)], np.frombuffer(b"".join(x[3] for x in held), np.uint8).reshape(-1, 1 << LEAST_BITS)
+            return sum(visit(*x) for x in guests)
+
         for batch in batches:
-            found = []
-            for key, part, guest, node, root, n, hist in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (key, part) != now:
-                    now, held, ready = (key, part), [], None
-                if not guest:
-                    held.append((node, root, n, hist))
+            for lead, part, key, kind, *x in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (lead, part, key) != now:
+                    if guests and ready is None:
+                        size += seated()
+                    if (lead, part) != group:
+                        done += once(found)
+                        found.clear()
+                        group, size = (lead, part), 0
+                    now, held, guests, ready = (lead, part, key), [], [], None
+                if kind != GUEST:
+                    held.append(x)
+                    if kind == BOTH:
+                        guests.append(x)
                     continue
                 if ready is None:
-                    ready = [np.array([x[i] for x in held], np.int64) for i in range(3)], np.frombuffer(b"".join(x[3] for x in held), np.uint8).reshape(-1, 1 << LEAST_BITS)
-                (nodes, roots, sizes), hists = ready
-                at = np.flatnonzero(((sizes < n) | ((sizes == n) & (nodes < node))) & (roots != root) & (100 * sizes >= percent * n))
-                if len(at):
-                    at = at[distance(hists[at], np.frombuffer(hist, np.uint8)) <= _most_different(np.int64(n), sizes[at], percent)]
-                if len(at):
-                    found.append((np.full(len(at), node, np.int64), nodes[at], roots[at]))
-            arrays = [pa.array(np.concatenate([x[i] for x in found]) if found else np.empty(0, np.int64)) for i in range(3)]
-            yield pa.RecordBatch.from_arrays(arrays, ["a", "b", "g"])
+                    size += seated()
+                size += visit(*x)
+                if size > MET_PAIRS:
+                    found[:] = once(found)
+                    size = sum(len(y[0]) for y in found)
+                    if size > MET_PAIRS // 2:
+                        yield sent(found)
+                        found.clear()
+                        size = 0
+            if done:
+                yield sent(done)
+                done = []
+        if guests and ready is None:
+            seated()
+        yield sent(done + once(found))
 
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return index.unionByName(guests).repartition(tasks, "key", "part").sortWithinPartitions("key", "part", "guest").mapInArrow(tidy(meet), "a long, b long, g long")
+    return placed.repartition(tasks, "lead", "part").sortWithinPartitions("lead", "part", "key", "kind").mapInArrow(tidy(meet), "a long, b long, g long")
 
 
 def link(docs: DataFrame, *, n: int = WORDS, percent: int = PERCENT, buckets: int | None = None) -> DataFrame:
@@ -589,7 +642,7 @@ def link(docs: DataFrame, *, n: int = WORDS, percent: int = PERCENT, buckets: in
         roots = materialize(components(links), "roots")
 
     # What meets in a probed key and is not yet together.
-    rows = _meeting(left, roots, ROUNDS).join(nodes.select("node", "n", "coarse"), "node").select("key", "many", "node", "root", "n", "coarse", "probes", "indexes")
+    rows = _meeting(left, roots, 0).join(nodes.select("node", "n", "coarse"), "node").select("key", "many", F.col("hub.node").alias("lead"), "node", "root", "n", "coarse", "probes", "indexes")
     more = _possible(_met(materialize(rows, "rows"), percent).distinct(), nodes, percent)
     together = components(links.unionByName(_verified(more, nodes, docs, n, percent, seed)))
 

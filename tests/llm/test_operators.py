@@ -538,3 +538,24 @@ def test_the_basis_is_fitted_on_every_passage(spark, monkeypatch):
         a = idf[b] / np.linalg.norm(idf[b])
         np.add.at(expected, b, a[:, None] * (a @ w[b]))
     assert np.abs(z.reshape(-1, size) - expected).max() < 1e-3 * np.abs(expected).max()
+
+
+@pytest.mark.parametrize("block, lead_rows, met_pairs", [(2048, 1 << 15, 1 << 20), (3, 8, 4)])
+def test_keys_of_one_lead_tell_of_a_pair_once(spark, monkeypatch, block, lead_rows, met_pairs):
+    for name, x in (("BLOCK", block), ("LEAD_ROWS", lead_rows), ("MET_PAIRS", met_pairs)):
+        monkeypatch.setattr(pigeonhole_join, name, x)
+    rng = np.random.default_rng(3)
+    full = bytes([255] * (1 << pigeonhole_join.LEAST_BITS))  # excludes nothing
+    size = {node: int(rng.integers(50, 55)) for node in range(12)}
+    rows = [(key, node, node // 2, bool(rng.random() < 0.7), bool(rng.random() < 0.7)) for key in range(40) for node in range(12) if rng.random() < 0.8]
+    many = collections.Counter(r[0] for r in rows)
+    lead = {key: min(r[1] for r in rows if r[0] == key) for key in many}
+    expected = set()
+    for key, a, root, probes, _ in rows:
+        expected |= {(a, b, g) for k, b, g, _, indexes in rows if k == key and probes and indexes and root != g and (size[b], b) < (size[a], a)}
+    table = spark.createDataFrame([(key, many[key], lead[key], node, root, size[node], full, probes, indexes) for key, node, root, probes, indexes in rows], "key long, many long, lead long, node long, root long, n long, coarse binary, probes boolean, indexes boolean")
+    found = [tuple(r) for r in pigeonhole_join._met(table, 80).collect()]
+    assert set(found) == expected
+    if block == 2048:  # one row for each pair and lead
+        assert len(found) <= len(expected) * len(set(lead.values()))
+        assert len(found) < sum(k == key and probes and indexes and root != g and (size[b], b) < (size[a], a) for key, a, root, probes, _ in rows for k, b, g, _, indexes in rows) / 3
