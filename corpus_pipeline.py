@@ -15,6 +15,9 @@ extra columns come along to the last stage but one, whatever their names, and en
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,12 +84,23 @@ def _without(docs: DataFrame, keys: DataFrame) -> DataFrame:
     return docs.withColumn("_key", _key(docs)).join(keys, "_key", "left_anti").select(*docs.columns)
 
 
+def _settled(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage, on executors that have given back what the ones before it took."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        common.settle(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 STAGES = [
-    ("language", identify_language),
-    ("quality", apply_quality_rules),
-    ("near_copies", drop_near_copies),
-    ("leaks", remove_benchmark_leaks),
-    ("encode", encode),
+    ("language", _settled(identify_language)),
+    ("quality", _settled(apply_quality_rules)),
+    ("near_copies", _settled(drop_near_copies)),
+    ("leaks", _settled(remove_benchmark_leaks)),
+    ("encode", _settled(encode)),
 ]
 
 #: The sets of linked documents and the tokenizer have no SQL; tests hold the stages against brute force.

@@ -12,6 +12,7 @@ from operator import is_
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from corpusmill.session import shared_folder
 
@@ -97,6 +98,14 @@ def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
     return wrapped
 
 
+def settle(spark: SparkSession) -> int:
+    """Lets executors collect their garbage: a heap that one stage has filled is given back only
+    by a full collection, which a JVM with room left never starts, while the workers of the
+    next stage stand beside it.  The number of tasks that had one."""
+    n = spark.sparkContext.defaultParallelism
+    return spark.range(0, n, 1, n).filter(F.expr("reflect('java.lang.System', 'gc') is not null")).count()
+
+
 def groups(texts: Iterable[str | None]) -> Iterator[list[str]]:
     """Consecutive texts (null: empty) in lists of about GROUP_CHARS characters."""
     out, chars = [], 0

@@ -135,3 +135,11 @@ def test_the_leaks_stage_fits_on_all_its_rows(spark, monkeypatch):
     monkeypatch.setattr(latent_leaks, "fit", lambda d: seen.append((d.count(), latent_leaks.FIT_PASSAGES)) or fit(d))
     corpus_pipeline.remove_benchmark_leaks(spark, docs, SF)
     assert seen == [(docs.count(), None)]
+
+
+def test_each_stage_settles_the_executors_first(spark, monkeypatch):
+    docs, calls, settle = spark.read.parquet(f"{SF}/documents.parquet"), [], common.settle
+    monkeypatch.setattr(common, "settle", lambda s: calls.append(settle(s)))
+    for name, stage in corpus_pipeline.STAGES[:2]:
+        docs = stage(spark, docs, SF)
+    assert calls == [spark.sparkContext.defaultParallelism] * 2
