@@ -79,7 +79,8 @@ class LibraryEncoder:
         return [array(code, [t.id for t in run(c)]).tobytes() for c in chars]
 
     def _texts(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.width).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        code = "H" if self.width == "<u2" else "I"
+        return [array(code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         return self.pieces(texts)

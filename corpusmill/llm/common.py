@@ -191,10 +191,11 @@ class PieceEncoder:
             self.young, self.old = {}, self.young
         pieces = list(chain.from_iterable(filter(None, split)))
         ids = list(map(self.young.get, pieces))
-        wanted = set(compress(pieces, map(is_, ids, repeat(None))))
-        if wanted:
-            known = self._learn(wanted)
-            ids = [known[p] if x is None else x for x, p in zip(ids, pieces, strict=True)]
+        missing = list(compress(range(len(pieces)), map(is_, ids, repeat(None))))
+        if missing:
+            known = self._learn({pieces[i] for i in missing})
+            for i in missing:
+                ids[i] = known[pieces[i]]
         out, at = [], 0
         for h, p in zip(heads, split, strict=True):
             n = len(p) if p else 0
