@@ -19,11 +19,12 @@ by cost, first what is empty, then those whose subset most others have.
    components, so that near copies never expand into all pairs.
 4. Keys in which several components are left are dealt out in blocks of BLOCK indexed nodes,
    past which the probing ones stream, those that one node leads to one task, which tells of
-   a pair once; pairs of different components that sizes and histograms don't exclude are
-   verified exactly.
+   a pair once; pairs of different components that sizes, sketches and histograms don't
+   exclude are verified exactly.
 
-A histogram counts a set's elements by hash in bins of about PER_BIN; the distance of two is
-at most the difference of the sets.  A shingle is a 64-bit hash, a node the 64-bit hash of
+A histogram counts a set's elements by hash in bins of about PER_BIN, a sketch has one bit for
+each of smaller bins, whether the count is odd; the distance of two is at most the difference
+of the sets.  A shingle is a 64-bit hash, a node the 64-bit hash of
 its set, which a second one guards against collisions; verification compares the sets
 themselves: those of one component are held together, HELD shingles at a time, and a set is
 sent to each such part once, however many pairs it has there.  Sets are not stored, which would
@@ -53,8 +54,8 @@ WORDS = 5
 PERCENT = 80
 BAND = 1.5
 SLACK = 0.15
-#: Elements in a bin of a histogram, and its fewest bins as a power of two.
-PER_BIN, LEAST_BITS = 4, 6
+#: Elements in a bin of a histogram, its fewest bins and a sketch's most bits as powers of two.
+PER_BIN, LEAST_BITS, MOST_BITS = 4, 6, 11
 #: Ids up to this many are broadcast (16 MB); beyond it the join is shuffled.
 BROADCAST_IDS = 1_000_000
 #: Shingles of the sets that are held together, and sets that are sent past them at a time.
@@ -271,8 +272,19 @@ def histogram(h: np.ndarray) -> np.ndarray:
     return np.minimum(np.bincount((mix(h, 15) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8)
 
 
-def coarse(h: np.ndarray) -> np.ndarray:
-    return np.minimum(np.bincount((mix(h, 15) >> np.uint64(64 - LEAST_BITS)).astype(np.int64), minlength=1 << LEAST_BITS), 255).astype(np.uint8)
+def sketch(h: np.ndarray) -> np.ndarray:
+    """A bit for each bin, whether its number of elements is odd, packed: eight bins for one of
+    the histogram's, up to 1 << MOST_BITS."""
+    bits = min(MOST_BITS, bits_of(len(h)) + 3)
+    return np.packbits(np.bincount((mix(h, 15) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype(np.uint8) & 1)
+
+
+def flipped(sketches: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """Bits in which each row differs from one other, which has as many or more: an element
+    flips one, so it is a lower bound on the difference of the sets."""
+    if len(one) > sketches.shape[1]:
+        one = np.packbits(np.bitwise_xor.reduce(np.unpackbits(one).reshape(8 * sketches.shape[1], -1), axis=1))
+    return np.bitwise_count(sketches ^ one).sum(axis=1, dtype=np.int64)
 
 
 def _folded(hist: np.ndarray, bins: int) -> np.ndarray:
@@ -314,7 +326,7 @@ def fingerprints(docs: DataFrame, n: int, seed: int) -> DataFrame:
                     if new:
                         met.add(x)
                     hists.append(histogram(h).tobytes() if new else None)
-                    rough.append(coarse(h).tobytes() if new else None)
+                    rough.append(sketch(h).tobytes() if new else None)
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(i).slice(at, len(texts)) for i in (0, 1)), pa.array([len(h) for h in sets], pa.int64()), pa.array(node, pa.int64()), pa.array(guard, pa.int64()), pa.array(hists, pa.binary()), pa.array(rough, pa.binary())],
                     ["doc_id", "text_hash", "n_shingles", "node", "guard", "hist", "coarse"],
@@ -539,7 +551,7 @@ def _stars(met: DataFrame) -> DataFrame:
 
 def _met(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b, g) of different components that meet in a key which the larger one, a,
-    probes and b indexes, as far as sizes and coarse histograms allow; some more than once.
+    probes and b indexes, as far as sizes and sketches allow; some more than once.
 
     Like texts meet in most of their keys, so keys go where their lead does, the node that
     shares most, and a pair is told of once there."""
@@ -567,19 +579,24 @@ def _met(rows: DataFrame, percent: int) -> DataFrame:
         group, now, held, guests, ready = None, None, [], [], None
         done, found, size = [], [], 0  # pairs of groups that are through, and of this one
 
-        def visit(node: int, root: int, n: int, hist: bytes) -> int:
-            (nodes, roots, sizes), hists = ready
-            at = np.flatnonzero(((sizes < n) | ((sizes == n) & (nodes < node))) & (roots != root) & (100 * sizes >= percent * n))
-            if len(at):
-                at = at[distance(hists[at], np.frombuffer(hist, np.uint8)) <= _most_different(np.int64(n), sizes[at], percent)]
-            if len(at):
-                found.append((np.full(len(at), node, np.int64), nodes[at], roots[at]))
-            return len(at)
+        def visit(node: int, root: int, n: int, own: bytes) -> int:
+            some, one = 0, np.frombuffer(own, np.uint8)
+            for nodes, roots, sizes, sketches in ready:
+                at = np.flatnonzero(((sizes < n) | ((sizes == n) & (nodes < node))) & (roots != root) & (100 * sizes >= percent * n))
+                if len(at):
+                    at = at[flipped(sketches[at], one) <= _most_different(np.int64(n), sizes[at], percent)]
+                if len(at):
+                    found.append((np.full(len(at), node, np.int64), nodes[at], roots[at]))
+                some += len(at)
+            return some
 
         def seated() -> int:
-            """Makes ready for guests; those that are indexed as well come first."""
+            """Makes ready for guests, by the length of sketches; those that are indexed as well come first."""
             nonlocal ready
-            ready = [np.array([x[i] for x in held], np.int64) for i in range(3)], np.frombuffer(b"".join(x[3] for x in held), np.uint8).reshape(-1, 1 << LEAST_BITS)
+            alike: dict[int, list] = {}
+            for x in held:
+                alike.setdefault(len(x[3]), []).append(x)
+            ready = [(*(np.array([x[i] for x in xs], np.int64) for i in range(3)), np.frombuffer(b"".join(x[3] for x in xs), np.uint8).reshape(len(xs), -1)) for xs in alike.values()]
             return sum(visit(*x) for x in guests)
 
         for batch in batches:

@@ -559,3 +559,31 @@ def test_keys_of_one_lead_tell_of_a_pair_once(spark, monkeypatch, block, lead_ro
     if block == 2048:  # one row for each pair and lead
         assert len(found) <= len(expected) * len(set(lead.values()))
         assert len(found) < sum(k == key and probes and indexes and root != g and (size[b], b) < (size[a], a) for key, a, root, probes, _ in rows for k, b, g, _, indexes in rows) / 3
+
+
+def test_sketches_bound_the_difference():
+    rng = np.random.default_rng(7)
+    for n in (1, 30, 255, 257, 400, 513, 1100, 5000):
+        for _ in range(20):
+            one = rng.integers(0, 1 << 63, n, np.uint64)
+            kept = one[rng.random(n) < 0.9]
+            other = np.concatenate([kept, rng.integers(0, 1 << 63, int(rng.integers(0, n // 10 + 2)), np.uint64)])
+            large, small = (one, other) if len(one) >= len(other) else (other, one)
+            found = int(pigeonhole_join.flipped(pigeonhole_join.sketch(small)[None, :], pigeonhole_join.sketch(large))[0])
+            assert found <= len(np.setxor1d(one, other))
+
+
+def test_texts_that_share_a_passage_do_not_meet_in_all_pairs(spark, monkeypatch):
+    rng, met = random.Random(4), []
+    passage = " ".join(f"p{rng.randint(0, 9999)}" for _ in range(300))
+    docs = spark.createDataFrame([(i, passage + "".join(f" w{rng.randint(0, 10**9)}" for _ in range(60))) for i in range(40)], "doc_id long, text string")
+    counted = pigeonhole_join._met
+
+    def count(rows, percent):
+        found = counted(rows, percent)
+        met.append(found.count())
+        return found
+
+    monkeypatch.setattr(pigeonhole_join, "_met", count)
+    assert {(r.doc_id, r.component_id) for r in pigeonhole_join.link(docs, buckets=2).collect()} == {(i, i) for i in range(40)}
+    assert met[0] < 40  # of 780 pairs
