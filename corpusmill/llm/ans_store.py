@@ -23,14 +23,18 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, compress, repeat
+from operator import is_
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -42,6 +46,7 @@ MAGIC = b"RNS1"
 LANES = 256
 STEPS = 256  # rounds between checkpoints: 65,536 ids
 BLOCK_IDS = LANES * STEPS * 4
+SIDE = 8  # blocks that a worker codes side by side
 SCALE_BITS = 19  # the table's frequencies sum to 2**19
 LOW = np.uint64(1 << 31)  # states stay in [2**31, 2**63)
 _HEADER = struct.Struct("<4sIIII")
@@ -50,45 +55,168 @@ _HEADER = struct.Struct("<4sIIII")
 # ---- encoding texts -------------------------------------------------------------------
 
 
-SPACE_CHAR = to_chars(b" ")
-#: Pieces that a worker remembers; with half of them encoding takes a quarter longer.
+SPACE_CHAR, LINE_CHAR = to_chars(b" "), to_chars(b"\n")
+#: Units that a worker remembers; with half of them encoding takes a quarter longer.
 REMEMBERED = 1 << 19
+#: Longer units, in characters, are not: they hardly come again.
+LONGEST = 64
+#: Bytes of text that are encoded at a time, or one longer text.
+GROUP_BYTES = 4 << 20
+
+# Classes of bytes.  HIGH is any byte of a character beyond ASCII; APART cuts nothing.
+_APART, _SPACE, _LINE, _LETTER, _DIGIT, _MARK, _HIGH = range(7)
+_CLASS = np.full(256, _APART, np.uint8)
+_CLASS[[i for i in range(0x21, 0x7F) if chr(i) != "'"]] = _MARK  # an apostrophe takes letters behind it
+for _chars, _kind in ((range(0x30, 0x3A), _DIGIT), ([*range(0x41, 0x5B), *range(0x61, 0x7B)], _LETTER), ([0x20], _SPACE), ([0x0A], _LINE), (range(0x80, 0x100), _HIGH)):
+    _CLASS[list(_chars)] = _kind
+#: First bytes of two-byte characters that are letters all: U+00C0 to U+02BF, but for two
+#: signs, and U+0400 to U+047F.
+_LETTER_LEAD = np.isin(np.arange(256), [*range(0xC3, 0xCB), 0xD0, 0xD1])
+_SIGNS = np.array([0x97, 0xB7], np.uint8)  # of C3: multiplication and division
+_BEFORE_LINE = np.isin(np.arange(8), [_LETTER, _DIGIT, _MARK])
+_CUT = np.zeros(64, bool)
+_CUT[[8 * x + y for x, y in ((_LETTER, _MARK), (_DIGIT, _MARK), (_MARK, _LETTER), (_MARK, _DIGIT), (_LETTER, _DIGIT), (_DIGIT, _LETTER))]] = True
+_CUT[[8 * x + _SPACE for x in (_LETTER, _DIGIT, _MARK, _HIGH)]] = True
+
+
+def unit_starts(data: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Where UTF-8 texts, back to back in ``data`` and beginning at ``rows``, can be cut so
+    that byte-level splitting gives each unit the tokens it has in its text.
+
+    A match is letters, digits or marks with at most one space before them, an apostrophe
+    with letters, or white space, which alone looks at what follows.  So a match ends where
+    letters, digits and marks change, and where white space begins; no cut is made behind
+    white space but for a single line break, which is a match of its own.
+    """
+    cls = _CLASS[data]
+    high = np.flatnonzero(cls == _HIGH)
+    high = high[high > 0]
+    before = data[high - 1]
+    cls[high[_LETTER_LEAD[before] & ~((before == 0xC3) & np.isin(data[high], _SIGNS))]] = _LETTER  # the last byte of a letter
+    pair = cls[:-1] * np.uint8(8) + cls[1:]
+    cut = np.zeros(len(data), bool)
+    cut[1:] = _CUT[pair]
+    at = np.flatnonzero(pair == 8 * _HIGH + _SPACE)  # white space beyond ASCII, or what may be
+    one, two = data[np.maximum(at - 1, 0)], data[np.maximum(at - 2, 0)]
+    blank = (one == 0xC2) | ((two == 0xE2) & ((one == 0x80) | (one == 0x81))) | ((two == 0xE3) & (one == 0x80)) | ((two == 0xE1) & ((one == 0x9A) | (one == 0xA0)))
+    cut[at[blank] + 1] = False
+    at = np.flatnonzero(pair[1:] == 8 * _LINE + _LETTER) + 1
+    at = at[_BEFORE_LINE[cls[at - 1]]]
+    cut[at] = cut[at + 1] = True
+    cut[rows[rows < len(data)]] = True
+    return np.flatnonzero(cut)
 
 
 class LibraryEncoder:
-    """Ids of texts as the tokenizers library gives them without added special tokens.
-
-    Where the file has byte-level splitting and no normaliser, a single match goes straight
-    to the library's model, byte-mapped as its splitter would; all else takes the whole way.
+    """Ids of texts as the tokenizers library gives them without added special tokens, each
+    text closed by an end id.
+
+    Where the file has byte-level splitting and no normaliser, texts are cut into units, the
+    distinct units of many texts are found by Arrow, and only those not remembered are
+    encoded; a unit that is a single match goes straight to the library's model, byte-mapped
+    as its splitter would.  Texts with a special string in them, and all texts of other
+    files, are not cut this way.
     """
 
-    def __init__(self, path: str, width: str):
+    def __init__(self, path: str, width: str, end_id: int):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer, self.width = Tokenizer.from_file(path), width
-        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.end = np.array([end_id], width).tobytes()
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         before = spec["pre_tokenizer"] or {}
-        direct = spec["normalizer"] is None and before.get("type") == "ByteLevel" and before["use_regex"] and not before["add_prefix_space"]
-        self.pieces = PieceEncoder(self._matches if direct else self._texts, self._texts, lambda t: any(s in t for s in special), REMEMBERED)
+        self.direct = spec["normalizer"] is None and before.get("type") == "ByteLevel" and before["use_regex"] and not before["add_prefix_space"]
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.pieces = None if self.direct else PieceEncoder(self._texts, self._texts, lambda t: any(s in t for s in self.special), REMEMBERED)
 
     def _matches(self, matches: list[str]) -> list[bytes]:
+        """Of letters, with or without a space before them."""
         run, code = self.tokenizer.model.tokenize, "H" if self.width == "<u2" else "I"
-        # ASCII letters stand for themselves.
-        chars = [SPACE_CHAR + m[1:] if m[0] == " " and m.isascii() else to_chars(m.encode()) for m in matches]
+        # ASCII letters stand for themselves; the others are mapped all at once.
+        other = iter(to_chars("\n".join(m for m in matches if not m.isascii()).encode()).split(LINE_CHAR))
+        chars = [(SPACE_CHAR + m[1:] if m[0] == " " else m) if m.isascii() else next(other) for m in matches]
         return [array(code, [t.id for t in run(c)]).tobytes() for c in chars]
 
     def _texts(self, texts: list[str]) -> list[bytes]:
         code = "H" if self.width == "<u2" else "I"
         return [array(code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        return self.pieces(texts)
+    def _units(self, units: list[str]) -> list[bytes]:
+        """Ids of distinct units, remembered or not."""
+        if len(self.young) > REMEMBERED:  # what wasn't met for long is forgotten
+            self.young, self.old = {}, self.young
+        ids = list(map(self.young.get, units))
+        words, rest = [], []
+        for i in compress(range(len(units)), map(is_, ids, repeat(None))):
+            u = units[i]
+            if (found := self.old.get(u)) is not None:
+                ids[i] = self.young[u] = found
+            else:
+                (words if (u[1:] if u[0] == " " else u).isalpha() else rest).append(i)
+        for places, encode in ((words, self._matches), (rest, self._texts)):
+            new = [units[i] for i in places]
+            for i, u, found in zip(places, new, encode(new) if new else [], strict=True):
+                ids[i] = found
+                if len(u) <= LONGEST:
+                    self.young[u] = found
+        return ids
+
+    def _cut(self, texts: pa.Array) -> pa.Array:
+        """The packed ids of a few texts."""
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        first, last = int(offsets[0]), int(offsets[-1])
+        if first == last:
+            return pa.array([self.end] * len(texts), pa.binary())
+        held = texts.buffers()[2]
+        data = np.frombuffer(held, np.uint8)[first:last]
+        offsets = offsets - first
+        starts = unit_starts(data, offsets[:-1])
+        for found in (m.start() for s in self.special for m in re.finditer(re.escape(s.encode()), data)):
+            row = int(np.searchsorted(offsets, found, "right")) - 1
+            starts = starts[(starts <= offsets[row]) | (starts >= offsets[row + 1])]
+        places = pa.py_buffer(np.append(starts, last - first) + first)
+        coded = pa.Array.from_buffers(pa.large_string(), len(starts), [None, places, held]).dictionary_encode()
+        units = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        values = pa.array([*self._units(units), self.end], pa.binary())
+        ends = np.searchsorted(starts, offsets[1:])  # units before the end of each text
+        taken = values.take(pa.array(np.insert(coded.indices.to_numpy(), ends, len(units))))
+        bounds = np.frombuffer(taken.buffers()[1], np.int32)[np.append(0, ends + np.arange(1, len(ends) + 1))]
+        return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(bounds), taken.buffers()[2]])
+
+    def __call__(self, texts: pa.Array) -> Iterator[pa.Array]:
+        """The packed ids of strings (null: empty), in arrays of some of them."""
+        if not self.direct:
+            for some in groups(strings(texts)):
+                yield pa.array([ids + self.end for ids in self.pieces(some)], pa.binary())
+            return
+        texts = texts.cast(pa.large_string()).fill_null("")
+        sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < len(texts):
+            done = int(sizes[at - 1]) if at else 0
+            to = max(at + 1, int(np.searchsorted(sizes, done + GROUP_BYTES, "right")))
+            yield self._cut(texts.slice(at, to - at))
+            at = to
+
+
+def together(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Consecutive batches as one, up to some bytes."""
+    held, total = [], 0
+    for batch in batches:
+        if held and total + batch.nbytes > size:
+            yield pa.concat_batches(held)
+            held, total = [], 0
+        held.append(batch)
+        total += batch.nbytes
+    if held:
+        yield pa.concat_batches(held)
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str, width: str) -> LibraryEncoder:
-    return LibraryEncoder(path, width)
+def encoder(path: str, width: str, end_id: int) -> LibraryEncoder:
+    return LibraryEncoder(path, width, end_id)
 
 
 def width_of(vocab_size: int) -> str:
@@ -99,17 +227,15 @@ def width_of(vocab_size: int) -> str:
 def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, vocab_size: int) -> DataFrame:
     """doc_id, n_tokens (with the end id) and packed ids of every document."""
     width = width_of(vocab_size)
-    end = np.array([end_id], width).tobytes()
-    each = len(end)
+    each = np.dtype(width).itemsize
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer_path, width)
-        for batch in batches:
+        enc = encoder(tokenizer_path, width, end_id)
+        for batch in together(batches, GROUP_BYTES):
             at = 0
-            for texts in groups(strings(batch.column(1))):
-                packed = [ids + end for ids in enc(texts)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), pa.array([len(p) // each for p in packed], pa.int64()), pa.array(packed, pa.binary())], ["doc_id", "n_tokens", "ids"])
-                at += len(texts)
+            for packed in enc(batch.column(1)):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(packed)), pc.divide(pc.binary_length(packed).cast(pa.int64()), each), packed], ["doc_id", "n_tokens", "ids"])
+                at += len(packed)
 
     docs = pick(docs, "doc_id", "text")
     return docs.select(docs.doc_id.cast("long"), docs.text).mapInArrow(tidy(run), "doc_id long, n_tokens long, ids binary")
@@ -139,74 +265,112 @@ class Coder:
     def __init__(self, freq: np.ndarray):
         self.freq = freq.astype(np.uint64)
         self.start = np.concatenate([[0], np.cumsum(freq)[:-1]]).astype(np.uint64)
-        self.symbol = np.repeat(np.arange(len(freq), dtype=np.uint32), freq)
+        symbol = np.repeat(np.arange(len(freq), dtype=np.int64), freq)
+        self.filler = symbol[0] if len(symbol) else 0
+        # All that a slot tells: its symbol, its place among that symbol's slots, their number.
+        self.slots = symbol << 40 | (np.arange(len(symbol)) - self.start.astype(np.int64)[symbol]) << 20 | freq.astype(np.int64)[symbol]
 
     def encode(self, ids: np.ndarray) -> bytes:
         """One block."""
-        n, lanes = len(ids), LANES
-        steps = -(-n // lanes)
-        filler = int(self.symbol[0])
-        grid = np.full(steps * lanes, filler, np.uint32)
-        grid[:n] = ids
-        grid = grid.reshape(steps, lanes)
+        return self.encode_all([ids])[0]
+
+    def encode_all(self, blocks: list[np.ndarray]) -> list[bytes]:
+        """Blocks by themselves, coded side by side: a step on more lanes costs little more."""
+        lanes = LANES
+        steps = np.array([-(-len(ids) // lanes) for ids in blocks])
+        order = np.argsort(-steps, kind="stable")  # those with a step t stand in front
+        most_steps = int(steps.max())
+        grid = np.full((most_steps, len(blocks), lanes), self.filler, np.uint32)
+        for at, b in enumerate(order):
+            whole = len(blocks[b]) // lanes
+            grid[:whole, at] = blocks[b][: whole * lanes].reshape(whole, lanes)
+            grid[whole : whole + 1, at, : len(blocks[b]) - whole * lanes] = blocks[b][whole * lanes :]
+        grid = grid.reshape(most_steps, -1)
         freq, start = self.freq[grid], self.start[grid]
         if not freq.all():
             raise ValueError("an id that the table lacks")
-        most = freq << np.uint64(63 - SCALE_BITS)
-        state = np.full(lanes, LOW, np.uint64)
-        words, full = np.empty((steps, lanes), np.uint32), np.empty((steps, lanes), bool)
+        width = lanes * np.searchsorted(-steps[order], -np.arange(most_steps), "left")  # lanes with a step t
+        state = np.full(lanes * len(blocks), LOW, np.uint64)
+        words, full = np.empty(grid.shape, np.uint32), np.empty(grid.shape, bool)
         n_seg = -(-steps // STEPS)
-        states = np.empty((n_seg, lanes), np.uint64)
-        scale, half = np.uint64(SCALE_BITS), np.uint64(32)
-        for t in range(steps - 1, -1, -1):
-            np.greater_equal(state, most[t], out=full[t])
-            words[t] = state.astype(np.uint32)
-            state = np.where(full[t], state >> half, state)
-            q = state // freq[t]
-            state = (q << scale) + (state - q * freq[t]) + start[t]
+        states = np.empty((-(-most_steps // STEPS), len(state)), np.uint64)
+        scale, half, room = np.uint64(1 << SCALE_BITS), np.uint64(32), np.uint64(63 - SCALE_BITS)
+        for t in range(most_steps - 1, -1, -1):
+            w = int(width[t])
+            x, f, over = state[:w], freq[t, :w], full[t, :w]
+            np.greater_equal(x, f << room, out=over)
+            words[t, :w] = x
+            x = np.where(over, x >> half, x)
+            x += x // f * (scale - f)  # the quotient by f goes above the scale, the rest stays
+            x += start[t, :w]
+            state[:w] = x
             if t % STEPS == 0:
                 states[t // STEPS] = state
-        places = np.concatenate([[0], np.cumsum(full.sum(axis=1))]).astype(np.uint32)
-        out = [_HEADER.pack(MAGIC, n, lanes, n_seg, int(places[-1]))]
-        for s in range(n_seg):
-            crc = zlib.crc32(np.ascontiguousarray(ids[s * STEPS * lanes : (s + 1) * STEPS * lanes], "<u4").tobytes())
-            out += [struct.pack("<II", crc, int(places[s * STEPS])), states[s].astype("<u8").tobytes()]
-        return b"".join([*out, words[full].astype("<u4").tobytes()])
+        out = [b""] * len(blocks)
+        for at, b in enumerate(order):
+            ids, mine = blocks[b], slice(at * lanes, (at + 1) * lanes)
+            over = full[: steps[b], mine]
+            places = np.concatenate([[0], np.cumsum(over.sum(axis=1))]).astype(np.uint32)
+            parts = [_HEADER.pack(MAGIC, len(ids), lanes, int(n_seg[b]), int(places[-1]))]
+            for s in range(n_seg[b]):
+                crc = zlib.crc32(np.ascontiguousarray(ids[s * STEPS * lanes : (s + 1) * STEPS * lanes], "<u4").tobytes())
+                parts += [struct.pack("<II", crc, int(places[s * STEPS])), states[s, mine].astype("<u8").tobytes()]
+            out[b] = b"".join([*parts, words[: steps[b], mine][over].astype("<u4").tobytes()])
+        return out
 
     def decode(self, block: bytes) -> np.ndarray:
-        """The ids of a block; its segments are decoded side by side."""
-        magic, n, lanes, n_seg, n_words = _HEADER.unpack_from(block)
-        if magic != MAGIC:
-            raise ValueError("not a block")
-        at, size = _HEADER.size, 8 + 8 * lanes
-        crcs, places = np.empty(n_seg, np.uint32), np.empty(n_seg, np.int64)
-        state = np.empty((n_seg, lanes), np.uint64)
-        for s in range(n_seg):
-            crcs[s], places[s] = struct.unpack_from("<II", block, at + s * size)
-            state[s] = np.frombuffer(block, "<u8", lanes, at + s * size + 8)
-        words = np.concatenate([np.frombuffer(block, "<u4", n_words, at + n_seg * size), np.zeros(1, np.uint32)]).astype(np.uint64)
-        steps = -(-n // lanes)
-        out = np.zeros((n_seg, STEPS, lanes), np.uint32)
-        mask, scale, half = np.uint64((1 << SCALE_BITS) - 1), np.uint64(SCALE_BITS), np.uint64(32)
-        live = np.full(n_seg, STEPS)
-        live[-1] = steps - (n_seg - 1) * STEPS
-        for t in range(min(STEPS, int(live.max()))):
-            k = n_seg if t < live[-1] else n_seg - 1
+        """The ids of a block."""
+        return self.decode_all([block])[0]
+
+    def decode_all(self, blocks: list[bytes]) -> list[np.ndarray]:
+        """The ids of each block; all segments of all blocks are decoded side by side."""
+        crcs, places, steps, states, words, sizes, held = [], [], [], [], [], [], 0
+        for block in blocks:
+            magic, n, lanes, n_seg, n_words = _HEADER.unpack_from(block)
+            if magic != MAGIC or lanes != LANES:
+                raise ValueError("not a block")
+            at, size = _HEADER.size, 8 + 8 * lanes
+            for s in range(n_seg):
+                crc, place = struct.unpack_from("<II", block, at + s * size)
+                crcs.append(crc)
+                places.append(held + place)
+                steps.append(min(STEPS, -(-n // lanes) - s * STEPS))
+                states.append(np.frombuffer(block, "<i8", lanes, at + s * size + 8))
+            words.append(np.frombuffer(block, "<u4", n_words, at + n_seg * size))
+            sizes.append((n, n_seg))
+            held += n_words
+        order = np.argsort(-np.array(steps), kind="stable")  # those with a step t stand in front
+        steps, places, state = np.array(steps)[order], np.array(places)[order], np.stack(states)[order]
+        words = np.concatenate(words).astype(np.int64)
+        out = np.zeros((len(order), STEPS, LANES), np.uint32)
+        few, low = (1 << 20) - 1, int(LOW)
+        active = np.searchsorted(-steps, -np.arange(steps[0]), "left")
+        for t, k in enumerate(active.tolist()):
             x = state[:k]
-            slot = x & mask
-            sym = self.symbol[slot]
-            out[:k, t] = sym
-            x = self.freq[sym] * (x >> scale) + slot - self.start[sym]
-            need = x < LOW
-            rank = np.cumsum(need, axis=1)
-            x = np.where(need, (x << half) | words[np.where(need, places[:k, None] + rank - 1, n_words)], x)
-            places[:k] += rank[:, -1]
-            state[:k] = x
-        ids = out.reshape(-1)[:n]
-        for s in range(n_seg):
-            if zlib.crc32(ids[s * STEPS * lanes : (s + 1) * STEPS * lanes].astype("<u4").tobytes()) != crcs[s]:
-                raise ValueError(f"checksum of segment {s} differs")
-        return ids
+            slot = self.slots[x & ((1 << SCALE_BITS) - 1)]
+            out[:k, t] = slot >> 40
+            x >>= SCALE_BITS
+            x *= slot & few
+            x += slot >> 20 & few
+            need = x < low
+            number = np.count_nonzero(need, axis=1)
+            ends = np.cumsum(number)
+            at = np.flatnonzero(need)
+            word = np.arange(len(at)) + np.repeat(places[:k] - (ends - number), number)
+            flat = x.reshape(-1)
+            flat[at] = flat[at] << 32 | words.take(word, mode="clip")  # broken places end at the checksum
+            places[:k] += number
+        back = np.empty_like(order)
+        back[order] = np.arange(len(order))
+        out, found, first = out[back], [], 0
+        for n, n_seg in sizes:
+            ids = out[first : first + n_seg].reshape(-1)[:n]
+            for s in range(n_seg):
+                if zlib.crc32(ids[s * STEPS * LANES : (s + 1) * STEPS * LANES].astype("<u4").tobytes()) != crcs[first + s]:
+                    raise ValueError(f"checksum of segment {s} differs")
+            found.append(ids)
+            first += n_seg
+        return found
 
 
 # ---- writing and reading --------------------------------------------------------------
@@ -255,22 +419,30 @@ def write(tokens: DataFrame, path: str, vocab_size: int, n_buckets: int, block_i
     for b in sorted(sums):
         starts[b], before = before, before + sums[b]
 
+    longs = pa.list_(pa.int64())
+    schema = pa.schema(list(zip(("bucket", "block", "start", "n_ids", "doc_ids", "pieces", "first_start", "payload"), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), longs, longs, pa.int64(), pa.binary()), strict=True)))
+
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder.cache_clear()  # what a worker remembered for the texts
         coder = Coder(freq)
         now, number, start, docs, parts, size, first = None, 0, 0, [], [], 0, 0
+        full: list[tuple] = []
+
+        def close() -> Iterator[pa.RecordBatch]:
+            full.append((now, number, start, size, [d for d, _ in docs], [k for _, k in docs], first, np.concatenate(parts)))
+            if len(full) == SIDE:
+                yield flush()
 
         def flush() -> pa.RecordBatch:
-            ids = np.concatenate(parts)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([x], t) for x, t in ((now, pa.int64()), (number, pa.int64()), (start, pa.int64()), (len(ids), pa.int64()), ([d for d, _ in docs], pa.list_(pa.int64())), ([k for _, k in docs], pa.list_(pa.int64())), (first, pa.int64()), (coder.encode(ids), pa.binary()))],
-                ["bucket", "block", "start", "n_ids", "doc_ids", "pieces", "first_start", "payload"],
-            )
+            *columns, ids = zip(*full, strict=True)
+            full.clear()
+            return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip([*columns, coder.encode_all(ids)], schema, strict=True)], schema=schema)
 
         for batch in batches:
             for b, doc, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 if b != now:
                     if size:
-                        yield flush()
+                        yield from close()
                     now, number, start, docs, parts, size = b, 0, starts[b], [], [], 0
                 ids, begin = np.frombuffer(packed.as_buffer(), width), start + size
                 while len(ids):
@@ -281,9 +453,11 @@ def write(tokens: DataFrame, path: str, vocab_size: int, n_buckets: int, block_i
                     parts.append(ids[:k])
                     size, ids = size + k, ids[k:]
                     if size == block_ids:
-                        yield flush()
+                        yield from close()
                         number, start, docs, parts, size = number + 1, start + size, [], [], 0
         if size:
+            yield from close()
+        if full:
             yield flush()
 
     ordered = placed.select("bucket", "doc_id", "ids").repartitionById(max(n_buckets, 1), F.col("bucket").cast("int")).sortWithinPartitions("bucket", "doc_id", "ids")
@@ -325,8 +499,9 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(freq)
         for batch in batches:
-            for start, docs, pieces, first, payload in zip(*(batch.column(i) for i in range(5)), strict=True):
-                ids = coder.decode(payload.as_py())
+            payloads = (batch.column(4).slice(i, SIDE).to_pylist() for i in range(0, batch.num_rows, SIDE))
+            decoded = chain.from_iterable(map(coder.decode_all, payloads))
+            for start, docs, pieces, first, ids in zip(*(batch.column(i) for i in range(4)), decoded, strict=True):
                 n = np.array(pieces.as_py(), np.int64)
                 ends = np.cumsum(n)
                 at = ends - n
