@@ -67,9 +67,12 @@ def near_dedup(method: str = "exact") -> Callable[[DataFrame], DataFrame]:
 def chained(df: DataFrame, checkpoint, method: str = "exact", text: str = "text", order: str = "doc_id") -> DataFrame:
     """Rows left by exact, then by near duplicates: an exact copy of a row that was dropped as a
     near duplicate is an exact duplicate still."""
-    first = dedup.exact(df, text, order)
-    ids = dedup.with_shingles(first.select(F.col(order).alias(order), F.col(text).alias(text)), text)
-    same = ids.filter("size(shingles) > 0").groupBy(F.sort_array("shingles").alias("s")).agg(F.min(order).alias(order)).select(order)
-    short = ids.filter("size(shingles) = 0").select(order)
-    kept = dedup.ordered_keep(checkpoint(same), near_dedup(method)(first.select(order, text)), checkpoint)
-    return first.join(kept.select(F.col("id").alias(order)).unionByName(short), order, "left_semi")
+    return dedup.exact(df.join(chained_ids(df, checkpoint, method, text, order), order, "left_semi"), text, order)
+
+
+def chained_ids(df: DataFrame, checkpoint, method: str = "exact", text: str = "text", order: str = "doc_id") -> DataFrame:
+    """The ids of ``chained``.  No text is shuffled, only the hashes of its shingles."""
+    sets = checkpoint(dedup.shingle_sets(df, text, order).filter("id is not null"))
+    short, sets = sets.filter("n = 0").select(F.col("id").alias(order)), sets.filter("n > 0")
+    kept = dedup.greedy_near(sets, checkpoint) if method == "exact" else dedup.ordered_keep(sets.select("id"), near_dedup(method)(df.select(order, text)), checkpoint)
+    return kept.select(F.col("id").alias(order)).unionByName(short)
